@@ -28,16 +28,21 @@ SCORE_THRESHOLD = 0.85
 
 
 def score_steps(
-    scored: DataFrame, score: str = "score", label: str = "label", *, max_key_rows: int = MAX_KEY_ROWS
+    scored: DataFrame,
+    score: str = "score",
+    label: str = "label",
+    *,
+    by: list[str] | None = None,
+    max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
-    """One row per distinct score with positives/negatives at and up to that score."""
-    positive = F.col(label).cast("int")
-    steps = scored.groupBy(F.col(score).alias("score")).agg(
+    """One row per distinct score (per ``by``) with positives/negatives at and up to it."""
+    positive, by = F.col(label).cast("int"), by or []
+    steps = scored.groupBy(*by, F.col(score).alias("score")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
     )
     return ordered_columns(
         steps,
-        [],
+        by,
         ["score"],
         running={"pos_upto": ("sum", F.col("pos")), "neg_upto": ("sum", F.col("neg"))},
         max_key_rows=max_key_rows,

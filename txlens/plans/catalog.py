@@ -18,6 +18,7 @@ from txlens.operators import (
     evaluation,
     gold,
     marts,
+    model,
     nodes,
     projection,
     replay,
@@ -675,3 +676,32 @@ def event_json_decode(spark, d):
         epoch_millis(F.col("timestamp")).alias("ts_ms"),
         F.col("_bad").cast("int").alias("bad"),
     )
+
+
+# --- model ------------------------------------------------------------------------------------
+
+
+def _split_gold(spark, d):
+    rows = sampling.strat_split(model.training_rows(_gold(spark, d)))
+    return rows.filter("split = 'train'"), rows.filter("split = 'test'")
+
+
+@query
+def train_gbt(spark, d):
+    """Hold-out AUC and the ten most important features of the trained classifier."""
+    train, test = _split_gold(spark, d)
+    fitted = model.train(train)
+    auc = evaluation.roc_auc(model.predict(fitted, test)).select(
+        F.lit("holdout_auc").alias("name"), F.col("auc").alias("value")
+    )
+    gains = model.feature_importance(spark, fitted).select(
+        F.concat(F.lit("importance:"), "feature").alias("name"), F.col("importance").alias("value")
+    )
+    return auc.unionByName(gains)
+
+
+@query
+def perm_importance(spark, d):
+    """AUC lost per permuted feature on the hold-out rows, for a smaller model."""
+    train, test = _split_gold(spark, d)
+    return model.permutation_importance(model.train(train, trees=20, depth=4), test)

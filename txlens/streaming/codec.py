@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txlens.functions.timeparts import parse_rfc3339
 from txlens.sources.schema import STREAM_MESSAGE
 
 TOPIC = "raw_transactions"
@@ -32,7 +31,7 @@ def decode_events(messages: DataFrame, schema: T.StructType = STREAM_MESSAGE) ->
     parsed = messages.withColumn("_event", event)
     fields = [F.col(f"_event.{f.name}").alias(f.name) for f in schema.fields if f.name != "timestamp"]
     carried = [c for c in messages.columns if c != "value"]
-    ts = parse_rfc3339(F.col("_event.timestamp")).alias("timestamp")
+    ts = F.col("_event.timestamp").try_cast("timestamp").alias("timestamp")
     # A damaged message has no id or no time: it cannot be placed in a stream.
     return parsed.select(*carried, "value", *fields, ts).withColumn(
         "_bad", F.col("transaction_id").isNull() | F.col("timestamp").isNull()
