@@ -226,16 +226,15 @@ def amount_profile(
         .groupBy(F.col(label).cast("int").alias(label), F.col(amount).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = ordered_columns(
-        counts, [label], ["value"], running={"upto": ("sum", F.col("n"))}, max_key_rows=max_key_rows
-    )
-    totals = F.broadcast(  # at most one row per label value
-        counts.groupBy(label).agg(
-            F.sum("n").alias("total"),
-            safe_div(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("mean"),
-        )
+    weighted = F.sum(F.col("value") * F.col("n"))
+    placed = ordered_columns(
+        counts,
+        [label],
+        ["value"],
+        running={"upto": ("sum", F.col("n"))},
+        whole={"total": F.sum("n"), "weighted": weighted},
+        max_key_rows=max_key_rows,
     )
-    placed = upto.join(totals, label)
 
     def at_rank(rank: Column) -> Column:
         """The value that covers a 0-based rank."""
@@ -249,13 +248,16 @@ def amount_profile(
             at_rank(F.floor(rank)).alias(f"_{name}_low"),
             at_rank(F.ceil(rank)).alias(f"_{name}_high"),
         ]
-    out = placed.groupBy(label, "total", "mean").agg(*picks)
+    out = placed.groupBy(label).agg(
+        F.max("total").alias("total"), F.max("weighted").alias("weighted"), *picks
+    )
     values = []
     for name, q in quantiles.items():
         rank = (F.col("total") - 1) * q
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
         values.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
-    return out.select(label, F.col("total").alias("payments"), "mean", *values)
+    mean = safe_div(F.col("weighted"), F.col("total")).alias("mean")
+    return out.select(label, F.col("total").alias("payments"), mean, *values)
 
 
 def segment_top_features(

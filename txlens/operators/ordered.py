@@ -132,9 +132,20 @@ def _running_over_slices(
     return out.drop(*[f"_b_{name}" for name in running])
 
 
-def _plain(df, keys, order, lags, running, whole) -> DataFrame:
-    group = Window.partitionBy(*keys)
-    ordered = group.orderBy(*order)
+def plain_columns(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    *,
+    lags: dict[str, tuple[str, int]] | None = None,
+    running: dict[str, tuple[str, Column]] | None = None,
+    whole: dict[str, Column] | None = None,
+) -> DataFrame:
+    """The columns of ``ordered_columns`` by windows: one task handles all rows of a key."""
+    lags, running, whole = lags or {}, running or {}, whole or {}
+    ordered = Window.partitionBy(*keys).orderBy(*order)
+    # The same order as the other columns, so that one sort serves them all.
+    group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = {name: F.lag(col, k).over(ordered) for name, (col, k) in lags.items()}
     first |= {name: agg.over(group) for name, agg in whole.items()}
@@ -143,7 +154,18 @@ def _plain(df, keys, order, lags, running, whole) -> DataFrame:
     return df.withColumns(then) if then else df
 
 
-def _hot(split: Split, keys, order, lags, running, whole, max_key_rows) -> DataFrame:
+def sliced_columns(
+    split: Split,
+    keys: list[str],
+    order: list[str],
+    *,
+    lags: dict[str, tuple[str, int]] | None = None,
+    running: dict[str, tuple[str, Column]] | None = None,
+    whole: dict[str, Column] | None = None,
+    max_key_rows: int = MAX_KEY_ROWS,
+) -> DataFrame:
+    """The columns of ``ordered_columns`` for hot keys, slice by slice."""
+    lags, running, whole = lags or {}, running or {}, whole or {}
     rows = split.hot
     if whole:
         stats = rows.groupBy(*keys).agg(*[agg.alias(name) for name, agg in whole.items()])
@@ -189,14 +211,14 @@ def ordered_columns(
     running  name -> ("sum" | "min" | "max", value): up to and including this row;
              the value may use columns added by ``lags`` and ``whole``
     """
-    lags, running, whole = lags or {}, running or {}, whole or {}
+    spec = {"lags": lags, "running": running, "whole": whole}
     split = split_hot(df, keys, max_key_rows)
     if split is None:
-        return _plain(df, keys, order, lags, running, whole)
-    hot = _hot(split, keys, order, lags, running, whole, max_key_rows)
+        return plain_columns(df, keys, order, **spec)
+    hot = sliced_columns(split, keys, order, **spec, max_key_rows=max_key_rows)
     if split.cold is None:
         return hot
-    return _plain(split.cold, keys, order, lags, running, whole).unionByName(hot)
+    return plain_columns(split.cold, keys, order, **spec).unionByName(hot)
 
 
 def sliding_count(

@@ -665,7 +665,7 @@ def event_json_encode(spark, d):
 def event_json_decode(spark, d):
     """Messages decoded with the fixed schema; every 13th is damaged and goes to quarantine."""
     damaged = F.when(
-        F.col("key").cast("bigint") % 13 == 0, F.substring("value", 1, 40)
+        F.col("key").cast("bigint") % 13 == 0, F.concat(F.lit("#"), "value")
     ).otherwise(F.col("value"))
     decoded = codec.decode_events(_messages(spark, d).withColumn("value", damaged))
     return decoded.select(

@@ -55,9 +55,9 @@ class Warehouse:
 
 
 def ingest(w: Warehouse) -> None:
-    """Typed landing tables; payments are ordered by time."""
+    """Typed landing tables; files of payments are ordered by time."""
     tx = projection.bronze_transactions(w.raw("transactions", schema.TRANSACTIONS))
-    write_sorted(tx, w.path("bronze", "transactions"), "timestamp", "transaction_id")
+    write_sorted(tx, w.path("bronze", "transactions"), "timestamp")
     metadata = w.raw("fraud_metadata", schema.FRAUD_METADATA)
     write_table(metadata, w.path("bronze", "fraud_metadata"))
     people = cards.registration_parts(w.raw("customers", schema.CUSTOMERS))
@@ -137,7 +137,7 @@ def gold_master(w: Warehouse) -> None:
         w.read("silver", "customer_features"),
         w.read("silver", "merchant_features"),
     )
-    write_sorted(out, w.path("gold", "transactions"), "timestamp", "transaction_id")
+    write_sorted(out, w.path("gold", "transactions"), "timestamp")
 
 
 def gold_full(w: Warehouse) -> None:

@@ -53,13 +53,13 @@ def write_table(df: DataFrame, path: str, rows_per_file: int | None = None) -> N
     writer.parquet(path)
 
 
-def write_sorted(df: DataFrame, path: str, sort: str, tie: str) -> None:
-    """Files ordered by ``sort`` for time-range pruning.
+def write_sorted(df: DataFrame, path: str, sort: str) -> None:
+    """Every file ordered by ``sort``, so its row groups carry narrow ranges.
 
-    The tie column lets equal sort values spread over several files.
+    No global order: that would shuffle the whole table once more and, to find the range
+    bounds, compute it twice.
     """
-    ranged = df.repartitionByRange(F.col(sort), F.col(tie)).sortWithinPartitions(sort)
-    write_table(ranged, path)
+    write_table(df.sortWithinPartitions(sort), path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
