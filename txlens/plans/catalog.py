@@ -39,6 +39,8 @@ QUERIES: dict[str, Query] = {}
 METRO = ["Mumbai", "New Delhi", "Chennai", "Bengaluru"]
 BIN_EDGES = [5.0, 20.0, 60.0, 150.0]
 BIN_NAMES = ["micro", "low", "medium", "high", "very_high"]
+SUSPICIOUS_RATE = 0.06
+WIDE_SECONDS = 6 * 3600
 FRAUD_MIX = {
     "upi_scam": 0.35,
     "account_takeover": 0.25,
@@ -99,7 +101,9 @@ def _customers(spark, d):
 
 def _network(spark, d):
     tx = fx.payments(spark, d)
-    return entity.network_tx_features(tx, entity.ip_reputation(tx), entity.device_reputation(tx))
+    return entity.network_tx_features(
+        tx, entity.ip_reputation(tx), entity.device_reputation(tx), SUSPICIOUS_RATE
+    )
 
 
 def _gold(spark, d):
@@ -604,6 +608,12 @@ def stream_burst(spark, d):
     return replay.stream_burst(fx.payments(spark, d))
 
 
+@query
+def stream_burst_wide(spark, d):
+    """The same count over six hours, where cards do repeat."""
+    return replay.stream_burst(fx.payments(spark, d), seconds=WIDE_SECONDS)
+
+
 @query
 def card_history(spark, d):
     return _millis(replay.card_history(fx.payments(spark, d)), "timestamp")

@@ -7,7 +7,14 @@ from __future__ import annotations
 
 from txlens.functions.names import CITY_NOISE
 from txlens.operators.evaluation import OPERATING_MODES, RECALL_TARGETS
-from txlens.plans.catalog import BIN_EDGES, BIN_NAMES, FRAUD_MIX, METRO
+from txlens.plans.catalog import (
+    BIN_EDGES,
+    BIN_NAMES,
+    FRAUD_MIX,
+    METRO,
+    SUSPICIOUS_RATE,
+    WIDE_SECONDS,
+)
 from txlens.sources import fixtures as fx
 from txlens.sources import lookups
 
@@ -146,7 +153,7 @@ seq AS (SELECT transaction_id, card_id, account_id, customer_id, merchant_id, me
   CAST(p2 < p1 AND p1 < amount AS INT) AS escalating_amounts_flag,
   CASE WHEN p_cat IS NOT NULL AND p_cat <> merchant_category THEN 1 ELSE 0 END
     AS merchant_category_switch_flag,
-  0 AS same_day_transaction_count, 0 AS is_holiday, 0 AS is_foreign, 0 AS is_cross_border,
+  CAST(0 AS BIGINT) AS same_day_transaction_count, 0 AS is_holiday, 0 AS is_foreign, 0 AS is_cross_border,
   0 AS is_ip_mismatch FROM moved)"""
 SEQ_DOUBLES = (
     "amount", "time_since_last_transaction", "hours_since_midnight", "spatial_velocity",
@@ -193,10 +200,10 @@ oracle(
     "gold_master", "SELECT * FROM gold", *GOLD_CTES,
     settle=(*SEQ_DOUBLES, "cf_fraud_rate", "cf_night_tx_ratio", "mf_fraud_rate"),
 )
-NET = """net AS (SELECT transaction_id, customer_id,
+NET = f"""net AS (SELECT transaction_id, customer_id,
   greatest(ip_fraud_rate, dev_fraud_rate) AS shared_entity_fraud_rate,
   greatest(ip_degree, dev_degree) AS degree,
-  CASE WHEN greatest(ip_fraud_rate, dev_fraud_rate) >= 0.1 AND greatest(ip_degree, dev_degree) > 1
+  CASE WHEN greatest(ip_fraud_rate, dev_fraud_rate) >= {SUSPICIOUS_RATE} AND greatest(ip_degree, dev_degree) > 1
     THEN 1 ELSE 0 END AS suspicious_cluster_member
   FROM tx JOIN ip USING (ip_address) JOIN dev USING (user_agent))"""
 ROLLUP = """rollup_net AS (SELECT customer_id, max(suspicious_cluster_member) AS net_suspicious_cluster_member,
@@ -710,7 +717,7 @@ oracle(
       ELSE 'Card Validity Ended' END AS status_reason FROM (
     SELECT account_id AS card_id, creation_date AS issue, creation_date + 1095 AS expiry,
       creation_date + CAST(2 + floor({_uniform('account_id', 'card-activation')} * 3) AS INT) AS activation,
-      date_diff('day', DATE '2001-06-30', creation_date + 1095) AS days_to_expiry,
+      CAST(date_diff('day', DATE '2001-06-30', creation_date + 1095) AS INT) AS days_to_expiry,
       CASE WHEN date_diff('day', DATE '2001-06-30', creation_date + 1095) <= 0 THEN 'Expired'
         WHEN {_uniform('account_id', 'card-status')} < 0.90 THEN 'Active' ELSE 'Blocked' END AS status
     FROM acc) c""",
@@ -718,8 +725,9 @@ oracle(
 )
 oracle(
     "registration_parts",
-    """SELECT account_id, year(creation_date) AS registration_year, month(creation_date) AS registration_month,
-    day(creation_date) AS registration_day FROM acc""",
+    """SELECT account_id, CAST(year(creation_date) AS INT) AS registration_year,
+    CAST(month(creation_date) AS INT) AS registration_month,
+    CAST(day(creation_date) AS INT) AS registration_day FROM acc""",
     ACC,
 )
 oracle("union_parts", "SELECT transaction_id, customer_id, amount FROM tx", TX, settle=("amount",))
@@ -753,14 +761,16 @@ oracle(
     TX,
     settle=("time_since_last_transaction", "spatial_velocity"),
 )
-oracle(
-    "stream_burst",
-    """SELECT transaction_id, card_id, n AS burst_count,
-    CASE WHEN n > 3 THEN 1 ELSE 0 END AS rapid_fire_transaction_flag FROM (SELECT *, count(*) OVER
-      (PARTITION BY card_id ORDER BY epoch_us(tx_ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS n
-    FROM tx) b""",
-    TX,
-)
+for _name, _seconds in (("stream_burst", 60), ("stream_burst_wide", WIDE_SECONDS)):
+    oracle(
+        _name,
+        f"""SELECT transaction_id, card_id, n AS burst_count,
+        CASE WHEN n > 3 THEN 1 ELSE 0 END AS rapid_fire_transaction_flag FROM (SELECT *, count(*) OVER
+          (PARTITION BY card_id ORDER BY epoch_us(tx_ts)
+            RANGE BETWEEN {_seconds * 1_000_000 - 1} PRECEDING AND CURRENT ROW) AS n
+        FROM tx) b""",
+        TX,
+    )
 oracle(
     "card_history",
     """SELECT card_id, transaction_id, merchant_category, amount, (epoch_us(tx_ts) // 1000) AS "timestamp",

@@ -104,10 +104,10 @@ SELECT event_id AS id,
   CASE WHEN event_id % 8 = 0 THEN concat('560 0', CAST(k AS STRING))
     WHEN event_id % 8 < 5 THEN concat('PIN-', CAST(400000 + k AS STRING)) END AS postcode,
   -- a level-8 hexagon cell id: mode 1, level 8, base cell, eight base-7 digits, padding
-  612489549324484607 + (event_id % 122) * 35184372088832
-    + (k % 7) * 4398046511104 + (user_id % 7) * 549755813888 + (k % 6) * 68719476736
-    + (event_id % 7) * 8589934592 + (k % 5) * 1073741824 + (event_id % 6) * 134217728
-    + (user_id % 5) * 16777216 + (event_id % 4) * 2097152 AS cell_bits
+  612489549324484607 + (k % 20) * 35184372088832
+    + (k % 7) * 4398046511104 + (k % 6) * 549755813888 + (k % 3) * 68719476736
+    + (event_id % 5) * 8589934592 + (user_id % 7) * 1073741824 + (event_id % 7) * 134217728
+    + (event_id % 6) * 16777216 + (event_id % 4) * 2097152 AS cell_bits
 FROM (
   SELECT *, 8.0E0 + CAST((k * 29) % 2900 AS DOUBLE) / 100 AS lat,
     68.0E0 + CAST((k * 71) % 2900 AS DOUBLE) / 100 AS lon
