@@ -99,6 +99,18 @@ def test_unique_counts_null_as_a_value(spark):
     assert [r.n for r in out] == [2, 1, 1]
 
 
+def test_range_text(spark):
+    df = spark.createDataFrame([("1.5_to_4.0", "12"), ("x_to_2", "a")], "r string, n string")
+    row = df.select(numeric.range_bounds(F.col("r"), 0.8, 1.2).alias("b"), numeric.int_or_zero(F.col("n")).alias("n"))
+    assert [(r.b.low, r.b.high, r.n) for r in row.collect()] == [(1.5, 4.0, 12), (0.8, 2.0, 0)]
+
+
+def test_scaled_amount_limits(spark):
+    df = spark.createDataFrame([(100.0,), (0.5,), (9e5,)], "a double")
+    out = df.select(numeric.scaled_amount(F.col("a"), F.lit(1.5))).collect()
+    assert [r[0] for r in out] == [150.0, 1.0, 500000.0]
+
+
 def test_empty_table(spark):
     tx = payments(spark, [("a", 0, 1, "x", 0.0)]).filter("false")
     assert sequence.sequence_features(tx).count() == 0
@@ -192,8 +204,8 @@ def test_node_roles(spark):
         node(10, addr__street="s"), node(11, building="yes"),
     ]
     df = spark.createDataFrame(rows, "id long, lat double, lon double, tags map<string,string>, h3_index string")
-    roles = nodes.node_roles(nodes.classify_nodes(df)).select("id", "role").collect()
-    assert sorted((r.id, r.role) for r in roles) == [
+    roles = nodes.node_roles(nodes.classify_nodes(df)).select("osm_id", "role").collect()
+    assert sorted((r.osm_id, r.role) for r in roles) == [
         (1, "merchant"), (2, "financial"), (2, "merchant"), (3, "financial"), (4, "merchant"),
         (6, "merchant"), (7, "residential"), (8, "merchant"), (10, "residential"),
     ]

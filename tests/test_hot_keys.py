@@ -4,7 +4,18 @@ import pytest
 from compare import rows_of
 from pyspark.sql import functions as F
 
-from txlens.operators import campaign, evaluation, ordered, replay, sequence
+from txlens.operators import (
+    campaign,
+    customer,
+    entity,
+    evaluation,
+    gold,
+    marts,
+    nodes,
+    ordered,
+    replay,
+    sequence,
+)
 from txlens.plans.catalog import settle
 from txlens.sources import fixtures as fx
 
@@ -99,3 +110,38 @@ def test_hot_rows_really_are_spread(spark, skewed):
     slices = ordered._slices(split.hot, ["customer_id", "timestamp", "transaction_id"], split.n_rows, 100)
     sizes = [r["count"] for r in slices.groupBy("_slice").count().collect()]
     assert len(sizes) >= 3 and max(sizes) < split.n_rows * 0.6
+
+
+def test_entity_joins_with_hot_entities(spark, skewed):
+    """Customer 3 owns a third of the rows, and each of 17 addresses many more than 20."""
+    silver = sequence.to_silver(sequence.sequence_features(skewed))
+    sides = customer.customer_activity(skewed), entity.merchant_features(skewed)
+    drop = "feature_calculated_at"
+    same(
+        gold.gold_master(silver, *sides).drop(drop),
+        gold.gold_master(silver, *sides, max_key_rows=20).drop(drop),
+    )
+    sides = entity.ip_reputation(skewed), entity.device_reputation(skewed)
+    same(
+        entity.network_tx_features(skewed, *sides),
+        entity.network_tx_features(skewed, *sides, max_key_rows=20),
+    )
+
+
+def test_hot_rows_join_without_a_shuffle(spark, skewed):
+    rows = skewed.select("transaction_id", "customer_id")
+    right = customer.customer_activity(skewed).select("customer_id", "fraud_rate")
+    out = ordered.join_unique(rows, right, ["customer_id"], max_key_rows=100)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [customer_id" in text.split("Union")[1]
+    assert out.count() == rows.count()
+
+
+def test_locality_with_a_hot_state(spark):
+    from txlens.plans import catalog
+
+    residents = nodes.residential_nodes(catalog._classified(spark, SMALL)).select(
+        "osm_id", "h3_index", F.lit("MH").alias("state")
+    )
+    index = marts.locality_index(catalog._staged_merchants(spark, SMALL))
+    same(marts.locality_match(residents, index), marts.locality_match(residents, index, max_key_rows=15))

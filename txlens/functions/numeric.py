@@ -36,3 +36,22 @@ def degrees_km(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Co
     """Flat-earth distance: Euclidean degrees times 111 km."""
     d_lat, d_lon = lat_a - lat_b, lon_a - lon_b
     return F.sqrt(d_lat * d_lat + d_lon * d_lon) * F.lit(111.0)
+
+
+def int_or_zero(text: Column) -> Column:
+    """Whole number in the text; 0 when it does not parse."""
+    return F.coalesce(text.try_cast("bigint"), F.lit(0))
+
+
+def range_bounds(text: Column, low: float, high: float) -> Column:
+    """'<a>_to_<b>' as a (low, high) struct; a part that does not parse takes its default."""
+    parts = F.split(text, "_to_")
+    return F.struct(
+        F.coalesce(F.get(parts, F.lit(0)).try_cast("double"), F.lit(low)).alias("low"),
+        F.coalesce(F.get(parts, F.lit(1)).try_cast("double"), F.lit(high)).alias("high"),
+    )
+
+
+def scaled_amount(amount: Column, factor: Column) -> Column:
+    """Amount times a factor, kept within the payment limits 1 and 500 000."""
+    return clamp(amount * factor, 1.0, 500_000.0)

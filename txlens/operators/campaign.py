@@ -8,7 +8,13 @@ from pyspark.sql.window import Window
 
 from txlens.functions.numeric import n_unique
 from txlens.functions.timeparts import epoch_millis
-from txlens.operators.ordered import MAX_KEY_ROWS, plain_columns, sliced_columns, split_hot
+from txlens.operators.ordered import (
+    MAX_KEY_ROWS,
+    join_unique,
+    plain_columns,
+    sliced_columns,
+    split_hot,
+)
 
 CAMPAIGN_GAP_MS = 172_800_000
 
@@ -33,14 +39,14 @@ def _totals_by_window(sessions: DataFrame) -> DataFrame:
     ).drop("_first")
 
 
-def _totals_by_join(sessions: DataFrame) -> DataFrame:
+def _totals_by_join(sessions: DataFrame, max_key_rows: int) -> DataFrame:
     """Totals of campaigns too large for one task: aggregated on the map side, joined back."""
     totals = sessions.groupBy(*_SESSION).agg(
         F.count(F.lit(1)).alias("campaign_txn_count"),
         F.sum("amount").alias("campaign_total_amount"),
         n_unique("merchant_id").alias("campaign_merchant_diversity"),
     )
-    return sessions.join(totals, _SESSION, "left")
+    return join_unique(sessions, totals, _SESSION, max_key_rows=max_key_rows)
 
 
 def campaign_features(
@@ -63,7 +69,7 @@ def campaign_features(
     else:
         hot = sliced_columns(split, _KEY, _ORDER, **spec, max_key_rows=max_key_rows)
         cold = plain_columns(split.cold, _KEY, _ORDER, **spec)
-        out = _totals_by_window(cold).unionByName(_totals_by_join(hot))
+        out = _totals_by_window(cold).unionByName(_totals_by_join(hot, max_key_rows))
     campaign_id = F.concat(
         F.col("customer_id").cast("string"), F.lit("-"), F.col("_seq").cast("string")
     )

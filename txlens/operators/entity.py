@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.numeric import n_unique, safe_div
+from txlens.operators.ordered import MAX_KEY_ROWS, join_unique
 
 
 def _fraud():
@@ -69,7 +70,12 @@ def device_reputation(tx: DataFrame) -> DataFrame:
 
 
 def network_tx_features(
-    tx: DataFrame, ip: DataFrame, device: DataFrame, suspicious_rate: float = 0.1
+    tx: DataFrame,
+    ip: DataFrame,
+    device: DataFrame,
+    suspicious_rate: float = 0.1,
+    *,
+    max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
     """Per-payment network columns from the two reputations.
 
@@ -80,17 +86,15 @@ def network_tx_features(
     rate = F.greatest("ip_fraud_rate", "dev_fraud_rate")
     degree = F.greatest("ip_degree", "dev_degree")
     suspicious = (rate >= suspicious_rate) & (degree > 1)
-    return (
-        tx.select("transaction_id", "customer_id", "ip_address", "user_agent")
-        .join(ip, "ip_address", "left")
-        .join(device, "user_agent", "left")
-        .select(
-            "transaction_id",
-            "customer_id",
-            F.coalesce(rate, F.lit(0.0)).alias("shared_entity_fraud_rate"),
-            F.coalesce(degree, F.lit(0)).alias("degree"),
-            F.coalesce(suspicious.cast("int"), F.lit(0)).alias("suspicious_cluster_member"),
-        )
+    rows = tx.select("transaction_id", "customer_id", "ip_address", "user_agent")
+    rows = join_unique(rows, ip, ["ip_address"], max_key_rows=max_key_rows)
+    rows = join_unique(rows, device, ["user_agent"], max_key_rows=max_key_rows)
+    return rows.select(
+        "transaction_id",
+        "customer_id",
+        F.coalesce(rate, F.lit(0.0)).alias("shared_entity_fraud_rate"),
+        F.coalesce(degree, F.lit(0)).alias("degree"),
+        F.coalesce(suspicious.cast("int"), F.lit(0)).alias("suspicious_cluster_member"),
     )
 
 

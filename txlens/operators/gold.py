@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlens.operators.ordered import MAX_KEY_ROWS, join_unique
+
 # Columns of the shipping gold table that stay zero until their signals are trusted.
 ZEROED = {
     "ip_fraud_rate": 0.0, "ip_degree": 0, "dev_fraud_rate": 0.0, "dev_degree": 0,
@@ -49,11 +51,24 @@ def _zeros(columns: dict[str, float]) -> dict:
     return {name: F.lit(value) for name, value in columns.items()}
 
 
-def gold_master(silver: DataFrame, customer: DataFrame, merchant: DataFrame) -> DataFrame:
+def _with_rates(
+    rows: DataFrame, customer: DataFrame, merchant: DataFrame, max_key_rows: int
+) -> DataFrame:
+    """Customer and merchant rates. Either entity may own a large share of the payments."""
+    out = join_unique(rows, _customer_side(customer), ["customer_id"], max_key_rows=max_key_rows)
+    return join_unique(out, _merchant_side(merchant), ["merchant_id"], max_key_rows=max_key_rows)
+
+
+def gold_master(
+    silver: DataFrame,
+    customer: DataFrame,
+    merchant: DataFrame,
+    *,
+    max_key_rows: int = MAX_KEY_ROWS,
+) -> DataFrame:
     """Shipping form: silver plus customer and merchant rates; unmatched entities get 0."""
     return (
-        silver.join(_customer_side(customer), "customer_id", "left")
-        .join(_merchant_side(merchant), "merchant_id", "left")
+        _with_rates(silver, customer, merchant, max_key_rows)
         .na.fill(0.0, ["cf_fraud_rate", "cf_night_tx_ratio", "mf_fraud_rate"])
         .withColumns(_zeros(ZEROED) | {"feature_calculated_at": F.current_timestamp()})
     )
@@ -66,6 +81,8 @@ def gold_full(
     merchant: DataFrame,
     network: DataFrame | None = None,
     campaign: DataFrame | None = None,
+    *,
+    max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
     """Full form. The joins on transaction_id come first and share one partitioning.
 
@@ -81,8 +98,7 @@ def gold_full(
     if campaign is not None:
         columns = ["campaign_txn_count", "campaign_total_amount", "campaign_merchant_diversity"]
         out = out.join(campaign.select("transaction_id", *columns), "transaction_id", "left")
-    out = out.join(_customer_side(customer), "customer_id", "left")
-    out = out.join(_merchant_side(merchant), "merchant_id", "left")
+    out = _with_rates(out, customer, merchant, max_key_rows)
     missing = {name: value for name, value in ZEROED_FULL.items() if name not in out.columns}
     filled = {name: value for name, value in ZEROED_FULL.items() if name not in missing}
     out = out.na.fill(filled) if filled else out
@@ -97,22 +113,25 @@ def gold_master_wide(
     merchant: DataFrame,
     device: DataFrame,
     network_rollup: DataFrame,
+    *,
+    max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
     """Library form: every silver table joined as is, nulls kept.
 
     Columns another side already provides are taken from the left.
     """
     out = tx
+    for side in (sequence, campaign):
+        new = [c for c in side.columns if c not in out.columns]
+        out = out.join(side.select("transaction_id", *new), "transaction_id", "left")
     for side, key in (
-        (sequence, "transaction_id"),
-        (campaign, "transaction_id"),
         (customer, "customer_id"),
         (network_rollup, "customer_id"),
         (merchant, "merchant_id"),
         (device, "user_agent"),
     ):
         new = [c for c in side.columns if c not in out.columns]
-        out = out.join(side.select(key, *new), key, "left")
+        out = join_unique(out, side.select(key, *new), [key], max_key_rows=max_key_rows)
     return out.withColumn("feature_calculated_at", F.current_timestamp())
 
 

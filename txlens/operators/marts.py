@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txlens.functions.cells import cell_parent
 from txlens.functions.names import clean_pincode, normalize_city
-from txlens.operators.ordered import sized_broadcast
+from txlens.operators.ordered import MAX_KEY_ROWS, join_unique, sized_broadcast
 from txlens.operators.spatial import spatial_join
 from txlens.sources import lookups
 
@@ -143,14 +143,20 @@ def locality_index(merchants: DataFrame, state: str = "state") -> DataFrame:
     )
 
 
-def locality_match(residents: DataFrame, index: DataFrame, state: str = "state") -> DataFrame:
+def locality_match(
+    residents: DataFrame,
+    index: DataFrame,
+    state: str = "state",
+    *,
+    max_key_rows: int = MAX_KEY_ROWS,
+) -> DataFrame:
     """Nearest tier that has merchants for each resident, else 'global'."""
     out = residents.withColumns({f"_{t}": k for t, k in _tiers(state).items()})
     for tier in TIERS:
         side = index.filter(F.col("tier") == tier).select(
             F.col("key").alias(f"_{tier}"), F.col("merchants").alias(f"{tier}_merchants")
         )
-        out = out.join(side, f"_{tier}", "left")
+        out = join_unique(out, side, [f"_{tier}"], max_key_rows=max_key_rows)
     best = F.coalesce(
         *[F.when(F.col(f"{t}_merchants") > 0, F.lit(t)) for t in TIERS], F.lit("global")
     )

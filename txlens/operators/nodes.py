@@ -21,7 +21,10 @@ def _tag(name: str) -> Column:
 
 
 def classify_nodes(nodes: DataFrame) -> DataFrame:
-    """Add merchant category, financial kind and the residential flag to each valid node."""
+    """Merchant category, financial kind and residential flag of each valid node.
+
+    The tag map is unpacked here once; the three outputs below only filter and project.
+    """
     shop, amenity, tourism = _tag("shop"), _tag("amenity"), _tag("tourism")
     # A present but unlisted amenity hides the tourism tag.
     category = (
@@ -34,49 +37,50 @@ def classify_nodes(nodes: DataFrame) -> DataFrame:
         _tag("landuse") == "residential", F.lit(False)
     )
     valid = F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)
+    chosen = (
+        F.when(F.col("category") == "shop", shop)
+        .when(F.col("category") == "amenity", amenity)
+        .when(F.col("category") == "tourism", tourism)
+    )
     return (
         nodes.filter(valid)
         .withColumn("category", category)
-        .withColumns(
-            {
-                "sub_category": F.when(F.col("category") == "shop", shop)
-                .when(F.col("category") == "amenity", amenity)
-                .when(F.col("category") == "tourism", tourism),
-                "kind": F.when(amenity.isin(FINANCIAL_AMENITIES), amenity),
-                "is_residential": F.col("category").isNull() & (homes | has_address),
-            }
+        .select(
+            F.col("id").alias("osm_id"),
+            "h3_index",
+            "lat",
+            "lon",
+            F.coalesce(_tag("name"), F.lit("Unknown Merchant")).alias("name"),
+            F.coalesce(_tag("operator"), _tag("brand")).alias("operator"),
+            "category",
+            chosen.alias("sub_category"),
+            F.when(amenity.isin(FINANCIAL_AMENITIES), amenity).alias("kind"),
+            (F.col("category").isNull() & (homes | has_address)).alias("is_residential"),
+            _tag("addr:city").alias("city"),
+            _tag("addr:postcode").alias("postcode"),
+            _tag("addr:state").alias("state"),
         )
     )
 
 
-def _address() -> list[Column]:
-    return [
-        _tag("addr:city").alias("city"),
-        _tag("addr:postcode").alias("postcode"),
-        _tag("addr:state").alias("state"),
-    ]
-
-
-def _position() -> list[Column]:
-    return [F.col("id").alias("osm_id"), F.col("h3_index"), F.col("lat"), F.col("lon")]
+_POSITION = ["osm_id", "h3_index", "lat", "lon"]
+_ADDRESS = ["city", "postcode", "state"]
 
 
 def financial_nodes(classified: DataFrame) -> DataFrame:
-    operator = F.coalesce(_tag("operator"), _tag("brand")).alias("operator")
     return classified.filter(F.col("kind").isNotNull()).select(
-        *_position(), "kind", operator, *_address()
+        *_POSITION, "kind", "operator", *_ADDRESS
     )
 
 
 def merchant_nodes(classified: DataFrame) -> DataFrame:
-    name = F.coalesce(_tag("name"), F.lit("Unknown Merchant")).alias("name")
     return classified.filter(F.col("category").isNotNull()).select(
-        *_position(), name, "category", "sub_category", *_address()
+        *_POSITION, "name", "category", "sub_category", *_ADDRESS
     )
 
 
 def residential_nodes(classified: DataFrame) -> DataFrame:
-    return classified.filter("is_residential").select(*_position(), *_address())
+    return classified.filter("is_residential").select(*_POSITION, *_ADDRESS)
 
 
 def node_roles(classified: DataFrame) -> DataFrame:

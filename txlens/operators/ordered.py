@@ -1,4 +1,4 @@
-"""Per-key ordered columns that survive a hot key.
+"""Per-key ordered columns and entity joins that survive a hot key.
 
 A plain window puts all rows of a key into one task. That is the right plan while
 every key is small, and the wrong one when a single customer, card or null key holds
@@ -78,6 +78,25 @@ def split_hot(df: DataFrame, keys: list[str], max_key_rows: int) -> Split | None
     return Split(cold, hot, hot_keys, found["keys"], found["rows"])
 
 
+def join_unique(
+    left: DataFrame, right: DataFrame, keys: list[str], *, max_key_rows: int = MAX_KEY_ROWS
+) -> DataFrame:
+    """Left join to a table with at most one row per key, safe for hot keys on the left.
+
+    The run-time skew split does not apply when the right side is an aggregate, so hot keys
+    are handled here: their right rows, one per hot key, are broadcast to the hot left rows,
+    which then need no shuffle. All other rows join as usual.
+    """
+    split = split_hot(left, keys, max_key_rows)
+    if split is None:
+        return left.join(right, keys, "left")
+    wanted, few = split.hot_keys.select(*keys), right
+    if split.n_keys <= MAX_BROADCAST_ROWS:
+        few = F.broadcast(join_null_safe(right, F.broadcast(wanted), keys, "left_semi"))
+    hot = split.hot.join(few, keys, "left")
+    return split.cold.join(right, keys, "left").unionByName(hot)
+
+
 def _slices(df: DataFrame, order: list[str], rows: int, max_rows: int) -> DataFrame:
     """Range-partition by ``order`` and fix the partition number as a column."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -12,9 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.operators.ordered import sized_broadcast
-
 CELL_DEGREES = 0.5
+MAX_BROADCAST_EDGES = 2_000_000  # four doubles each
 _PAD = 1e-9
 
 
@@ -119,13 +118,16 @@ def spatial_join(
 ) -> DataFrame:
     """Left join of points to the polygons that contain them.
 
-    The cell table is broadcast only when its counted size is small; otherwise the join
+    The cell table is broadcast only when its counted edges are few; otherwise the join
     shuffles on the cell number and a crowded cell is split at run time.
     """
     x, y = F.col(lon), F.col(lat)
-    cells = sized_broadcast(boundary_cells(shapes, size).withColumnsRenamed(
+    cells = boundary_cells(shapes, size).withColumnsRenamed(
         {"cell_x": "_cx", "cell_y": "_cy", "whole": "_whole", "edges": "_edges"}
-    ))
+    )
+    weight = cells.agg(F.sum(1 + F.coalesce(F.size("_edges"), F.lit(0)))).first()[0] or 0
+    if weight <= MAX_BROADCAST_EDGES:
+        cells = F.broadcast(cells)
     located = points.withColumns({"_px": F.floor(x / size), "_py": F.floor(y / size)})
     match = (
         (F.col("_px") == F.col("_cx"))

@@ -324,16 +324,16 @@ def mcc_enrich(spark, d):
 
 @query
 def classify_nodes(spark, d):
-    tag = F.col("tags")
+    role = F.col("role")
     return nodes.node_roles(_classified(spark, d)).select(
-        "id",
+        F.col("osm_id").alias("id"),
         "role",
-        F.when(F.col("role") == "merchant", F.col("category")).alias("category"),
-        F.when(F.col("role") == "merchant", F.col("sub_category"))
-        .when(F.col("role") == "financial", F.col("kind"))
+        F.when(role == "merchant", F.col("category")).alias("category"),
+        F.when(role == "merchant", F.col("sub_category"))
+        .when(role == "financial", F.col("kind"))
         .alias("sub_category"),
-        F.when(F.col("role") == "merchant", F.coalesce(tag["name"], F.lit("Unknown Merchant")))
-        .when(F.col("role") == "financial", F.coalesce(tag["operator"], tag["brand"]))
+        F.when(role == "merchant", F.col("name"))
+        .when(role == "financial", F.col("operator"))
         .alias("label"),
     )
 

@@ -68,6 +68,9 @@ def ingest(w: Warehouse) -> None:
     dates = ["issue_date", "activation_date", "expiry_date"]
     held = w.raw("cards", schema.CARDS).withColumns({c: F.col(c).cast("date") for c in dates})
     write_table(held, w.path("bronze", "cards"))
+    landed = w.read("bronze", "transactions")
+    figures = landed.agg(F.count(F.lit(1)), F.count_if(F.col("timestamp").isNull())).first()
+    print(f"payments landed: {figures[0]}, of which without a readable time: {figures[1]}")
 
 
 def silver_customer(w: Warehouse) -> None:
@@ -164,7 +167,12 @@ def gold_validate(w: Warehouse) -> None:
 
 
 def extract_nodes(w: Warehouse) -> None:
-    classified = nodes.classify_nodes(w.raw("map_nodes"))
+    """One pass over the raw tags; the three tables are cut from its compact result."""
+    some_role = "kind IS NOT NULL OR category IS NOT NULL OR is_residential"
+    write_table(
+        nodes.classify_nodes(w.raw("map_nodes")).filter(some_role), w.path("reference", "nodes")
+    )
+    classified = w.read("reference", "nodes")
     write_table(nodes.financial_nodes(classified), w.path("reference", "raw_financial"))
     write_table(nodes.merchant_nodes(classified), w.path("reference", "raw_merchants"))
     write_table(nodes.residential_nodes(classified), w.path("reference", "raw_residential"))
