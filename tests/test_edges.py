@@ -259,7 +259,7 @@ def test_point_in_polygon(spark, size, x, y, inside):
     schema = "name string, rings array<array<struct<lon:double,lat:double>>>"
     shapes = spark.createDataFrame([("a", [SQUARE, HOLE, ISLAND]), ("b", [NEXT_DOOR])], schema)
     point = spark.createDataFrame([(y, x)], "latitude double, longitude double")
-    out = spatial.spatial_join(point, shapes, size=size).collect()
+    out = spatial.spatial_join(point, spatial.shape_index(shapes, size), size=size).collect()
     assert {r.name for r in out if r.name} == inside and len(out) == max(1, len(inside))
 
 
@@ -276,7 +276,7 @@ def test_polygon_against_brute_force(spark):
     points = spark.range(2000).selectExpr(
         "id", "(id % 50) / 4.0d - 6.01d AS longitude", "cast(floor(id / 50) AS double) / 3d - 6d AS latitude"
     )
-    got = {r.id for r in spatial.spatial_join(points, shapes).filter("name IS NOT NULL").collect()}
+    got = {r.id for r in spatial.spatial_join(points, spatial.shape_index(shapes)).filter("name IS NOT NULL").collect()}
     edges = list(zip(star, star[1:] + star[:1]))
 
     def inside(x, y):

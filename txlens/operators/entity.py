@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.numeric import n_unique, safe_div
-from txlens.operators.ordered import MAX_KEY_ROWS, join_unique
+from txlens.operators.ordered import MAX_KEY_ROWS, join_entities
 
 
 def _fraud():
@@ -87,9 +87,8 @@ def network_tx_features(
     degree = F.greatest("ip_degree", "dev_degree")
     suspicious = (rate >= suspicious_rate) & (degree > 1)
     rows = tx.select("transaction_id", "customer_id", "ip_address", "user_agent")
-    rows = join_unique(rows, ip, ["ip_address"], max_key_rows=max_key_rows)
-    rows = join_unique(rows, device, ["user_agent"], max_key_rows=max_key_rows)
-    return rows.select(
+    sides = [(ip, ["ip_address"]), (device, ["user_agent"])]
+    return join_entities(rows, sides, max_key_rows=max_key_rows).select(
         "transaction_id",
         "customer_id",
         F.coalesce(rate, F.lit(0.0)).alias("shared_entity_fraud_rate"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlens.operators.ordered import MAX_KEY_ROWS, join_unique
+from txlens.operators.ordered import MAX_KEY_ROWS, join_entities
 
 # Columns of the shipping gold table that stay zero until their signals are trusted.
 ZEROED = {
@@ -52,11 +52,14 @@ def _zeros(columns: dict[str, float]) -> dict:
 
 
 def _with_rates(
-    rows: DataFrame, customer: DataFrame, merchant: DataFrame, max_key_rows: int
+    rows: DataFrame, counted: DataFrame, customer: DataFrame, merchant: DataFrame, max_key_rows: int
 ) -> DataFrame:
     """Customer and merchant rates. Either entity may own a large share of the payments."""
-    out = join_unique(rows, _customer_side(customer), ["customer_id"], max_key_rows=max_key_rows)
-    return join_unique(out, _merchant_side(merchant), ["merchant_id"], max_key_rows=max_key_rows)
+    sides = [
+        (_customer_side(customer), ["customer_id"]),
+        (_merchant_side(merchant), ["merchant_id"]),
+    ]
+    return join_entities(rows, sides, counted=counted, max_key_rows=max_key_rows)
 
 
 def gold_master(
@@ -68,7 +71,7 @@ def gold_master(
 ) -> DataFrame:
     """Shipping form: silver plus customer and merchant rates; unmatched entities get 0."""
     return (
-        _with_rates(silver, customer, merchant, max_key_rows)
+        _with_rates(silver, silver, customer, merchant, max_key_rows)
         .na.fill(0.0, ["cf_fraud_rate", "cf_night_tx_ratio", "mf_fraud_rate"])
         .withColumns(_zeros(ZEROED) | {"feature_calculated_at": F.current_timestamp()})
     )
@@ -98,7 +101,7 @@ def gold_full(
     if campaign is not None:
         columns = ["campaign_txn_count", "campaign_total_amount", "campaign_merchant_diversity"]
         out = out.join(campaign.select("transaction_id", *columns), "transaction_id", "left")
-    out = _with_rates(out, customer, merchant, max_key_rows)
+    out = _with_rates(out, tx, customer, merchant, max_key_rows)
     missing = {name: value for name, value in ZEROED_FULL.items() if name not in out.columns}
     filled = {name: value for name, value in ZEROED_FULL.items() if name not in missing}
     out = out.na.fill(filled) if filled else out
@@ -124,14 +127,16 @@ def gold_master_wide(
     for side in (sequence, campaign):
         new = [c for c in side.columns if c not in out.columns]
         out = out.join(side.select("transaction_id", *new), "transaction_id", "left")
+    seen, sides = set(out.columns), []
     for side, key in (
         (customer, "customer_id"),
         (network_rollup, "customer_id"),
         (merchant, "merchant_id"),
         (device, "user_agent"),
     ):
-        new = [c for c in side.columns if c not in out.columns]
-        out = join_unique(out, side.select(key, *new), [key], max_key_rows=max_key_rows)
+        sides.append((side.select(key, *[c for c in side.columns if c not in seen]), [key]))
+        seen |= set(side.columns)
+    out = join_entities(out, sides, counted=tx, max_key_rows=max_key_rows)
     return out.withColumn("feature_calculated_at", F.current_timestamp())
 
 

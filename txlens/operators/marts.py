@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from txlens.functions.cells import cell_parent
 from txlens.functions.names import clean_pincode, normalize_city
-from txlens.operators.ordered import MAX_KEY_ROWS, join_unique, sized_broadcast
-from txlens.operators.spatial import spatial_join
+from txlens.operators.ordered import MAX_KEY_ROWS, join_entities, sized_broadcast
+from txlens.operators.spatial import shape_index, spatial_join
 from txlens.sources import lookups
 
 
@@ -51,11 +51,19 @@ def stage_residential(raw: DataFrame, states: DataFrame) -> DataFrame:
     )
 
 
-def _official(staged: DataFrame, states: DataFrame, districts: DataFrame) -> DataFrame:
+def boundary_layers(states: DataFrame, districts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cell indexes of the official state and district outlines, shared by both marts."""
+    return (
+        shape_index(states.select(F.col("st_nm").alias("_state"), "rings")),
+        shape_index(districts.select(F.col("district").alias("district_name"), "rings")),
+    )
+
+
+def _official(staged: DataFrame, layers: tuple[DataFrame, DataFrame]) -> DataFrame:
     """Official state and district from the boundary layers."""
-    state_layer = states.select(F.col("st_nm").alias("_state"), "rings")
-    district_layer = districts.select(F.col("district").alias("district_name"), "rings")
-    return spatial_join(spatial_join(staged, state_layer), district_layer)
+    for layer in layers:
+        staged = spatial_join(staged, layer)
+    return staged
 
 
 def _place() -> list[Column]:
@@ -67,15 +75,15 @@ def _place() -> list[Column]:
     ]
 
 
-def mart_merchants(staged: DataFrame, states: DataFrame, districts: DataFrame) -> DataFrame:
-    return _official(staged, states, districts).select(
+def mart_merchants(staged: DataFrame, layers: tuple[DataFrame, DataFrame]) -> DataFrame:
+    return _official(staged, layers).select(
         "osm_id", "h3_index", "latitude", "longitude", "merchant_name", "merchant_category",
         "risk_level", *_place(),
     )
 
 
-def mart_residential(staged: DataFrame, states: DataFrame, districts: DataFrame) -> DataFrame:
-    return _official(staged, states, districts).select(
+def mart_residential(staged: DataFrame, layers: tuple[DataFrame, DataFrame]) -> DataFrame:
+    return _official(staged, layers).select(
         "osm_id", "h3_index", "latitude", "longitude", *_place()
     )
 
@@ -151,12 +159,15 @@ def locality_match(
     max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
     """Nearest tier that has merchants for each resident, else 'global'."""
-    out = residents.withColumns({f"_{t}": k for t, k in _tiers(state).items()})
+    tiers = _tiers(state)
+    out = residents.withColumns({f"_{t}": key for t, key in tiers.items()})
+    sides = []
     for tier in TIERS:
         side = index.filter(F.col("tier") == tier).select(
             F.col("key").alias(f"_{tier}"), F.col("merchants").alias(f"{tier}_merchants")
         )
-        out = join_unique(out, side, [f"_{tier}"], max_key_rows=max_key_rows)
+        sides.append((side, [f"_{tier}"]))
+    out = join_entities(out, sides, max_key_rows=max_key_rows)
     best = F.coalesce(
         *[F.when(F.col(f"{t}_merchants") > 0, F.lit(t)) for t in TIERS], F.lit("global")
     )

@@ -97,6 +97,40 @@ def join_unique(
     return split.cold.join(right, keys, "left").unionByName(hot)
 
 
+def join_entities(
+    left: DataFrame,
+    sides: list[tuple[DataFrame, list[str]]],
+    *,
+    counted: DataFrame | None = None,
+    max_key_rows: int = MAX_KEY_ROWS,
+) -> DataFrame:
+    """``join_unique`` with several tables, looking for hot keys of all of them in one pass.
+
+    ``counted`` may name a cheaper frame with the same keys and row counts as ``left``.
+    Keys are counted by hash, so a collision can only cause a needless second look.
+    """
+    marks = F.array(
+        *[
+            F.struct(F.lit(i).alias("side"), F.xxhash64(*keys).alias("key"))
+            for i, (_, keys) in enumerate(sides)
+        ]
+    )
+    busy = (
+        (left if counted is None else counted)
+        .select(F.inline(marks))
+        .groupBy("side", "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > max_key_rows)
+    )
+    hot = {row["side"] for row in busy.select("side").distinct().collect()}  # one row per side
+    for i, (right, keys) in enumerate(sides):
+        if i in hot:
+            left = join_unique(left, right, keys, max_key_rows=max_key_rows)
+        else:
+            left = left.join(right, keys, "left")
+    return left
+
+
 def _slices(df: DataFrame, order: list[str], rows: int, max_rows: int) -> DataFrame:
     """Range-partition by ``order`` and fix the partition number as a column."""
     ensure_checkpoint_dir(df.sparkSession)

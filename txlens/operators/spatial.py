@@ -108,30 +108,33 @@ def boundary_cells(shapes: DataFrame, size: float = CELL_DEGREES) -> DataFrame:
     )
 
 
+def shape_index(shapes: DataFrame, size: float = CELL_DEGREES) -> DataFrame:
+    """Cell table of a boundary layer, ready to join with any number of point tables.
+
+    It is broadcast only when its counted edges are few; otherwise the join shuffles on the
+    cell number and a crowded cell is split at run time.
+    """
+    cells = boundary_cells(shapes, size).withColumnsRenamed(
+        {"cell_x": "_cx", "cell_y": "_cy", "whole": "_whole", "edges": "_edges"}
+    )
+    weight = cells.agg(F.sum(1 + F.coalesce(F.size("_edges"), F.lit(0)))).first()[0] or 0
+    return F.broadcast(cells) if weight <= MAX_BROADCAST_EDGES else cells
+
+
 def spatial_join(
     points: DataFrame,
-    shapes: DataFrame,
+    index: DataFrame,
     *,
     lat: str = "latitude",
     lon: str = "longitude",
     size: float = CELL_DEGREES,
 ) -> DataFrame:
-    """Left join of points to the polygons that contain them.
-
-    The cell table is broadcast only when its counted edges are few; otherwise the join
-    shuffles on the cell number and a crowded cell is split at run time.
-    """
+    """Left join of points to the polygons that contain them; ``size`` is the index's."""
     x, y = F.col(lon), F.col(lat)
-    cells = boundary_cells(shapes, size).withColumnsRenamed(
-        {"cell_x": "_cx", "cell_y": "_cy", "whole": "_whole", "edges": "_edges"}
-    )
-    weight = cells.agg(F.sum(1 + F.coalesce(F.size("_edges"), F.lit(0)))).first()[0] or 0
-    if weight <= MAX_BROADCAST_EDGES:
-        cells = F.broadcast(cells)
     located = points.withColumns({"_px": F.floor(x / size), "_py": F.floor(y / size)})
     match = (
         (F.col("_px") == F.col("_cx"))
         & (F.col("_py") == F.col("_cy"))
         & (F.col("_whole") | contains(F.col("_edges"), x, y))
     )
-    return located.join(cells, match, "left").drop("_px", "_py", "_cx", "_cy", "_whole", "_edges")
+    return located.join(index, match, "left").drop("_px", "_py", "_cx", "_cy", "_whole", "_edges")

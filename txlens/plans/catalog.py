@@ -128,16 +128,12 @@ def _staged_residential(spark, d):
     return marts.stage_residential(nodes.residential_nodes(_classified(spark, d)), states)
 
 
-def _mart_merchants(spark, d):
-    return marts.mart_merchants(
-        _staged_merchants(spark, d), fx.state_boundaries(spark, d), fx.district_boundaries(spark, d)
-    )
+def _layers(spark, d):
+    return marts.boundary_layers(fx.state_boundaries(spark, d), fx.district_boundaries(spark, d))
 
 
-def _mart_residential(spark, d):
-    return marts.mart_residential(
-        _staged_residential(spark, d), fx.state_boundaries(spark, d), fx.district_boundaries(spark, d)
-    )
+def _mart_merchants(spark, d):
+    return marts.mart_merchants(_staged_merchants(spark, d), _layers(spark, d))
 
 
 def _millis(df: DataFrame, *columns: str) -> DataFrame:
@@ -426,8 +422,11 @@ def spatial_join(spark, d):
     points = fx.payments(spark, d).select("transaction_id", "location_lat", "location_long")
     states = fx.state_boundaries(spark, d).withColumnRenamed("st_nm", "state")
     districts = fx.district_boundaries(spark, d).drop("st_nm")
-    where = {"lat": "location_lat", "lon": "location_long"}
-    return spatial.spatial_join(spatial.spatial_join(points, states, **where), districts, **where)
+    for layer in (states, districts):
+        points = spatial.spatial_join(
+            points, spatial.shape_index(layer), lat="location_lat", lon="location_long"
+        )
+    return points
 
 
 @query
@@ -437,12 +436,16 @@ def mart_merchants(spark, d):
 
 @query
 def mart_residential(spark, d):
-    return _mart_residential(spark, d)
+    return marts.mart_residential(_staged_residential(spark, d), _layers(spark, d))
 
 
 @query
 def district_summary(spark, d):
-    out = marts.district_summary(_mart_residential(spark, d), _mart_merchants(spark, d))
+    layers = _layers(spark, d)
+    out = marts.district_summary(
+        marts.mart_residential(_staged_residential(spark, d), layers),
+        marts.mart_merchants(_staged_merchants(spark, d), layers),
+    )
     ratio = F.col("merchant_to_residential_ratio").cast("double")
     return out.withColumn("merchant_to_residential_ratio", ratio)
 

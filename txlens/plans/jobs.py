@@ -206,14 +206,14 @@ def compare_city_district(w: Warehouse) -> None:
 
 
 def build_marts(w: Warehouse) -> None:
-    states, districts = w.raw("state_boundaries"), w.raw("district_boundaries")
+    layers = marts.boundary_layers(w.raw("state_boundaries"), w.raw("district_boundaries"))
     shops = marts.stage_merchants(
         w.read("reference", "raw_merchants"), lookups.category_map(w.spark)
     )
     known = lookups.unique_lookup(lookups.state_map(w.spark), "raw_name")
     homes = marts.stage_residential(w.read("reference", "raw_residential"), known)
-    write_table(marts.mart_merchants(shops, states, districts), w.path("marts", "merchants"))
-    write_table(marts.mart_residential(homes, states, districts), w.path("marts", "residential"))
+    write_table(marts.mart_merchants(shops, layers), w.path("marts", "merchants"))
+    write_table(marts.mart_residential(homes, layers), w.path("marts", "residential"))
     summary = marts.district_summary(w.read("marts", "residential"), w.read("marts", "merchants"))
     write_table(summary, w.path("marts", "district_summary"))
 
