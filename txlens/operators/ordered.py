@@ -185,6 +185,42 @@ def _running_over_slices(
     return out.drop(*[f"_b_{name}" for name in running])
 
 
+def _lags_over_slices(
+    parts: DataFrame,
+    keys: list[str],
+    order: list[str],
+    lags: dict[str, tuple[str, int]],
+    n_totals: int,
+) -> DataFrame:
+    """Lags inside each slice; the first rows of a slice look into the end of earlier ones.
+
+    Only the last few rows of each (key, slice) can be looked up across a cut. They are
+    found by their position in the key and broadcast.
+    """
+    depth = max(k for _, k in lags.values())
+    local = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+    whole = local.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = parts.withColumns(
+        {name: F.lag(col, k).over(local) for name, (col, k) in lags.items()}
+        | {"_rn": F.row_number().over(local), "_size": F.count(F.lit(1)).over(whole)}
+    )
+    parts = _running_over_slices(parts, keys, order, {_POS: ("sum", F.lit(1))}, n_totals)
+    sources = sorted({col for col, _ in lags.values()})
+    tails = parts.filter(F.col("_size") - F.col("_rn") < depth).select(*keys, _POS, *sources)
+    for k in sorted({k for _, k in lags.values()}):
+        names = {name: col for name, (col, j) in lags.items() if j == k}
+        back = tails.select(
+            *keys, (F.col(_POS) + k).alias(_POS), *[F.col(c).alias(f"_x_{n}") for n, c in names.items()]
+        )
+        if n_totals * depth <= MAX_BROADCAST_ROWS:
+            back = F.broadcast(back)
+        parts = join_null_safe(parts, back, [*keys, _POS], "left").withColumns(
+            {n: F.when(F.col("_rn") > k, F.col(n)).otherwise(F.col(f"_x_{n}")) for n in names}
+        )
+        parts = parts.drop(*[f"_x_{n}" for n in names])
+    return parts.drop(_POS, "_rn", "_size")
+
+
 def plain_columns(
     df: DataFrame,
     keys: list[str],
@@ -228,20 +264,7 @@ def sliced_columns(
     parts = _slices(rows, [*keys, *order], split.n_rows, max_key_rows)
     n_totals = math.ceil(split.n_rows / max_key_rows) + 2 + split.n_keys
     if lags:
-        parts = _running_over_slices(
-            parts, keys, order, {_POS: ("sum", F.lit(1))}, n_totals
-        )
-        # The row k places back has position - k: an equi-join on (key, position),
-        # which spreads a hot key over all tasks.
-        here = parts
-        for k in sorted({k for _, k in lags.values()}):
-            back = here.select(
-                *keys,
-                (F.col(_POS) + k).alias(_POS),
-                *[F.col(col).alias(name) for name, (col, j) in lags.items() if j == k],
-            )
-            parts = join_null_safe(parts, back, [*keys, _POS], "left")
-        parts = parts.drop(_POS)
+        parts = _lags_over_slices(parts, keys, order, lags, n_totals)
     if running:
         parts = _running_over_slices(parts, keys, order, running, n_totals)
     return parts.drop(_SLICE)
