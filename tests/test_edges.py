@@ -118,6 +118,13 @@ def test_empty_table(spark):
     assert entity.merchant_features(tx).count() == 0
 
 
+def test_merchant_profile(spark):
+    tx = payments(spark, [("a", 0, 1, "x", 0.0), ("b", 1, 2, "y", 0.0)])
+    row = entity.merchant_features(tx.withColumn("merchant_name", F.lit("Shop")), with_profile=True).first()
+    assert (row.total_amount, row.merchant_name, row.merchant_category) == (3.0, "Shop", "y")
+    assert (row.unique_customers_count, row.merchant_fraud_rate) == (2, 1.0)
+
+
 def test_customers_without_payments(spark):
     people = spark.createDataFrame([("a",), ("z",)], "customer_id string")
     accounts = spark.createDataFrame([("1", "a"), ("2", "a")], "account_id string, customer_id string")

@@ -57,3 +57,38 @@ def test_broadcasts_follow_the_counted_size(spark):
     big, small = spark.range(1000), spark.range(10)
     assert sized_broadcast(big, 100) is big
     assert sized_broadcast(small, 100) is not small
+
+
+def test_crowded_cell_is_split_when_cells_are_not_broadcast(spark, monkeypatch):
+    """All points in one cell and no broadcast: the point side of that cell is cut."""
+    from pyspark.sql import functions as F
+
+    from txlens.operators import spatial
+
+    monkeypatch.setattr(spatial, "MAX_BROADCAST_EDGES", 0)
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        layer = fx.district_boundaries(spark, SMALL).drop("st_nm")
+        points = spark.range(0, 20000, 1, 8).select(
+            "id",
+            (9.1 + (F.col("id") % 100) / 1000.0).alias("latitude"),
+            (69.1 + (F.col("id") % 70) / 1000.0).alias("longitude"),
+        )
+        out = spatial.spatial_join(points, spatial.shape_index(layer))
+        rows = out.groupBy("district").count().collect()
+        assert [(r["district"], r["count"]) for r in rows] == [("NATION_0", 20000)]
+        joined = spatial.spatial_join(points, spatial.shape_index(layer))
+        assert len(joined.collect()) == 20000
+        final = plan(joined)
+        assert "SortMergeJoin(skew=true)" in final, final[:3000]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -18,21 +18,22 @@ def merchant_features(tx: DataFrame, with_profile: bool = False) -> DataFrame:
 
     ``with_profile`` adds total amount and a name and category for the merchant.
     """
-    extra = []
-    if with_profile:
-        extra = [F.sum("amount").alias("total_amount")] + [
-            F.max(c).alias(c) for c in ("merchant_name", "merchant_category") if c in tx.columns
-        ]
     out = tx.groupBy("merchant_id").agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum(_fraud()).alias("total_fraud_transactions"),
         n_unique("customer_id").alias("unique_customers_count"),
         F.avg("amount").alias("avg_transaction_amount"),
         F.stddev_samp("amount").alias("std_transaction_amount"),
-        *extra,
+        *([F.sum("amount").alias("total_amount")] if with_profile else []),
     )
     rate = safe_div(F.col("total_fraud_transactions"), F.col("total_transactions"))
-    return out.withColumn("merchant_fraud_rate", rate)
+    out = out.withColumn("merchant_fraud_rate", rate)
+    names = [c for c in ("merchant_name", "merchant_category") if c in tx.columns]
+    if not with_profile or not names:
+        return out
+    # Distinct first: a maximum of text over all payments would sort them.
+    seen = tx.select("merchant_id", *names).distinct()
+    return out.join(seen.groupBy("merchant_id").agg(*[F.max(c).alias(c) for c in names]), "merchant_id", "left")
 
 
 def category_baselines(tx: DataFrame) -> DataFrame:
