@@ -71,11 +71,15 @@ def test_geography(warehouse):
 
 
 def test_live_jobs(warehouse, monkeypatch):
-    monkeypatch.setattr(jobs.model, "train", lambda rows: jobs.model.pipeline(trees=3, depth=2).fit(rows))
+    monkeypatch.setattr(jobs.model, "train", lambda rows: jobs.model.classifier(trees=3, depth=2).fit(rows))
     run(warehouse, "ingest", "silver-core", "gold-master", "train-model", "test-model",
-        "leakage-audit", "attribution", "publish", "score-live")
+        "leakage-audit", "attribution", "publish")
+    damaged = warehouse.spark.createDataFrame([("{oops",)], "value string")
+    damaged.write.mode("append").text(warehouse.path("live", "events"))
+    run(warehouse, "score-live")
     n = warehouse.read("bronze", "transactions").count()
     assert warehouse.read("live", "fraud_scores").count() == n
+    assert warehouse.spark.read.text(warehouse.path("live", "quarantine")).count() == 1
     truth = warehouse.spark.read.csv(warehouse.path("live", "ground_truth"), header=True)
     assert truth.count() == n
 

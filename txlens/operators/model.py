@@ -36,7 +36,7 @@ CATEGORICAL = [name for name, kind in FEATURE_SPEC.items() if kind == "string"]
 TREES, DEPTH, STEP = 100, 6, 0.1
 
 
-def pipeline(trees: int = TREES, depth: int = DEPTH, step: float = STEP, max_bins: int = 64) -> Pipeline:
+def classifier(trees: int = TREES, depth: int = DEPTH, step: float = STEP, max_bins: int = 64) -> Pipeline:
     """Index the categories, assemble, boost. Unseen categories get their own index."""
     indexed = [f"{c}_index" for c in CATEGORICAL]
     stages = [StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep")]
@@ -61,7 +61,7 @@ def training_rows(gold: DataFrame, label: str = "is_fraud") -> DataFrame:
 
 
 def train(rows: DataFrame, **settings) -> PipelineModel:
-    return pipeline(**settings).fit(rows)
+    return classifier(**settings).fit(rows)
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

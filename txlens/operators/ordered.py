@@ -287,6 +287,8 @@ def ordered_columns(
     running  name -> ("sum" | "min" | "max", value): up to and including this row;
              the value may use columns added by ``lags`` and ``whole``
     """
+    if whole and not keys:
+        raise ValueError("whole-key aggregates need a key; aggregate the table instead")
     spec = {"lags": lags, "running": running, "whole": whole}
     split = split_hot(df, keys, max_key_rows)
     if split is None:

@@ -31,7 +31,13 @@ from txlens.operators import (
 )
 from txlens.session import build_session
 from txlens.sources import lookups, schema
-from txlens.sources.tables import read_table, write_csv, write_sorted, write_table
+from txlens.sources.tables import (
+    ROWS_PER_FILE,
+    read_table,
+    write_csv,
+    write_sorted,
+    write_table,
+)
 from txlens.streaming import codec, score, seed, state
 
 
@@ -152,7 +158,7 @@ def gold_full(w: Warehouse) -> None:
         w.read("silver", "network_features"),
         w.read("silver", "campaign_features"),
     )
-    write_table(out, w.path("gold", "transactions_full"))
+    write_table(out, w.path("gold", "transactions_full"), ROWS_PER_FILE)
 
 
 def gold_validate(w: Warehouse) -> None:
@@ -240,7 +246,7 @@ def export_references(w: Warehouse) -> None:
 def train_model(w: Warehouse) -> None:
     rows = sampling.strat_split(model.training_rows(w.read("gold", "transactions")))
     fitted = model.train(rows.filter("split = 'train'"))
-    fitted.write().overwrite().save(w.path("model", "pipeline"))
+    fitted.write().overwrite().save(w.path("model", "classifier"))
     write_table(model.feature_spec(w.spark, fitted), w.path("model", "feature_spec"))
     scored = model.predict(fitted, rows.filter("split = 'test'"))
     evaluation.roc_auc(scored).show()
@@ -248,7 +254,7 @@ def train_model(w: Warehouse) -> None:
 
 
 def _scored_gold(w: Warehouse) -> DataFrame:
-    fitted = PipelineModel.load(w.path("model", "pipeline"))
+    fitted = PipelineModel.load(w.path("model", "classifier"))
     return model.predict(fitted, model.training_rows(w.read("gold", "transactions")))
 
 
@@ -267,7 +273,7 @@ def leakage_audit(w: Warehouse) -> None:
 
 def attribution(w: Warehouse) -> None:
     """Permutation importance on all frauds and up to 50 000 legitimate payments."""
-    fitted = PipelineModel.load(w.path("model", "pipeline"))
+    fitted = PipelineModel.load(w.path("model", "classifier"))
     rows = sampling.balanced_sample(model.training_rows(w.read("gold", "transactions")))
     model.permutation_importance(fitted, rows).orderBy(F.desc("importance")).show()
 
@@ -290,15 +296,19 @@ def score_live(w: Warehouse) -> None:
     places = w.read("bronze", "transactions").select(
         "transaction_id", "location_lat", "location_long"
     )
-    good, _ = codec.split_quarantine(
+    good, bad = codec.split_quarantine(
         codec.decode_events(codec.read_files(w.spark, w.path("live", "events")))
     )
     features = state.live_features(good, seed.warm_start(history.join(places, "transaction_id")))
     features = score.with_customer_aggregates(features, replay.customer_agg_seed(history))
-    fitted = PipelineModel.load(w.path("model", "pipeline"))
-    score.start_scoring(
-        features, w.path("live", "fraud_scores"), w.path("live", "checkpoint"), fitted, True
-    ).awaitTermination()
+    fitted = PipelineModel.load(w.path("model", "classifier"))
+    live = w.path("live", "")
+    running = [
+        score.start_quarantine(bad, f"{live}quarantine", f"{live}checkpoint_bad", True),
+        score.start_scoring(features, f"{live}fraud_scores", f"{live}checkpoint", fitted, True),
+    ]
+    for started in running:
+        started.awaitTermination()
 
 
 JOBS = {

@@ -11,6 +11,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
+# Column names and types of the stored tables and the stream message.
 TRANSACTIONS = _struct(
     transaction_id=_S, card_id=_S, account_id=_S, customer_id=_S, merchant_id=_S,
     merchant_name=_S, merchant_category=_S, mcc=_S, merchant_country=_S, amount=_D,

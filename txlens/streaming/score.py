@@ -62,3 +62,13 @@ def start_scoring(
         "checkpointLocation", checkpoint
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def start_quarantine(
+    bad: DataFrame, path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Messages that did not decode, as they came."""
+    writer = bad.writeStream.format("text").option("path", path).option(
+        "checkpointLocation", checkpoint
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
