@@ -299,6 +299,87 @@ def ordered_columns(
     return plain_columns(split.cold, keys, order, **spec).unionByName(hot)
 
 
+def _moments_before(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumns(
+        {
+            "count_before": F.count(value).over(before),
+            "mean_before": F.avg(value).over(before),
+            "var_before": F.var_pop(value).over(before),
+            "low_before": F.min(value).over(before),
+            "high_before": F.max(value).over(before),
+        }
+    )
+
+
+def _moments_over_slices(
+    split: Split, keys: list[str], order: list[str], value: str, max_key_rows: int
+) -> DataFrame:
+    """Moments inside each slice merged with those of the earlier slices of the key."""
+    parts = _slices(split.hot, [*keys, *order], split.n_rows, max_key_rows)
+    n_totals = math.ceil(split.n_rows / max_key_rows) + 2 + split.n_keys
+    ranked = Window.partitionBy(*keys).orderBy(_SLICE)
+    earlier = ranked.rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy(*keys, _SLICE).agg(
+        F.count(value).alias("n"),
+        F.avg(value).alias("mean"),
+        F.var_pop(value).alias("var"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
+    )
+    # Means are taken from the first slice's, which keeps the sums well conditioned.
+    totals = totals.withColumn("_c", F.first("mean", ignorenulls=True).over(ranked))
+    n, d = F.col("n"), F.col("mean") - F.col("_c")
+    before = totals.select(
+        *keys,
+        _SLICE,
+        "_c",
+        F.sum(n).over(earlier).alias("_n"),
+        F.sum(n * d).over(earlier).alias("_s"),
+        F.sum(n * F.col("var") + n * d * d).over(earlier).alias("_q"),
+        F.min("low").over(earlier).alias("_low"),
+        F.max("high").over(earlier).alias("_high"),
+    )
+    if n_totals <= MAX_BROADCAST_ROWS:
+        before = F.broadcast(before)
+    out = join_null_safe(
+        _moments_before(parts, [*keys, _SLICE], order, value), before, [*keys, _SLICE], "left"
+    )
+    na, nb = F.coalesce(F.col("_n"), F.lit(0)).cast("double"), F.col("count_before").cast("double")
+    mean_a = F.col("_c") + F.col("_s") / na
+    m2_a = F.greatest(F.col("_q") - F.col("_s") * F.col("_s") / na, F.lit(0.0))
+    delta = F.col("mean_before") - mean_a
+    m2 = m2_a + F.col("var_before") * nb + delta * delta * na * nb / (na + nb)
+    merged = {
+        "mean_before": F.when(na == 0, F.col("mean_before"))
+        .when(nb == 0, mean_a)
+        .otherwise(mean_a + delta * nb / (na + nb)),
+        "var_before": F.when(na == 0, F.col("var_before"))
+        .when(nb == 0, m2_a / na)
+        .otherwise(m2 / (na + nb)),
+        "count_before": F.col("count_before") + F.coalesce(F.col("_n"), F.lit(0)),
+        "low_before": F.least("low_before", "_low"),
+        "high_before": F.greatest("high_before", "_high"),
+    }
+    return out.withColumns(merged).drop(_SLICE, "_c", "_n", "_s", "_q", "_low", "_high")
+
+
+def running_moments(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: str,
+    *,
+    max_key_rows: int = MAX_KEY_ROWS,
+) -> DataFrame:
+    """Count, mean, population variance, smallest and largest of the key's earlier values."""
+    split = split_hot(df, keys, max_key_rows)
+    if split is None:
+        return _moments_before(df, keys, order, value)
+    hot = _moments_over_slices(split, keys, order, value, max_key_rows)
+    return _moments_before(split.cold, keys, order, value).unionByName(hot)
+
+
 def sliding_count(
     df: DataFrame,
     keys: list[str],

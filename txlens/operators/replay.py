@@ -13,7 +13,12 @@ from pyspark.sql.window import Window
 
 from txlens.functions.numeric import degrees_km, flag
 from txlens.functions.timeparts import epoch_micros
-from txlens.operators.ordered import MAX_KEY_ROWS, ordered_columns, sliding_count
+from txlens.operators.ordered import (
+    MAX_KEY_ROWS,
+    ordered_columns,
+    running_moments,
+    sliding_count,
+)
 
 BURST_SECONDS = 60
 BURST_LIMIT = 3
@@ -25,38 +30,19 @@ MICROS = 1_000_000
 def stream_zscore(tx: DataFrame, *, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
     """z-score of each amount against the customer's earlier payments (population std).
 
-    Running sums are taken of the distance to the customer's smallest amount, which keeps
-    them well conditioned; equal earlier amounts give a std of exactly 0.
+    Equal earlier amounts have no deviation, so their z-score is 0.
     """
     rows = tx.select(
         "transaction_id", "customer_id", "amount", epoch_micros(F.col("timestamp")).alias("_us")
     )
-    d = F.col("amount") - F.col("_base")
-    rows = ordered_columns(
-        rows,
-        ["customer_id"],
-        ["_us", "transaction_id"],
-        lags={"_prev": ("amount", 1)},
-        whole={"_base": F.min("amount")},
-        running={
-            "_n": ("sum", F.lit(1)),
-            "_sum": ("sum", d),
-            "_squares": ("sum", d * d),
-            "_low": ("min", F.col("_prev")),
-            "_high": ("max", F.col("_prev")),
-        },
-        max_key_rows=max_key_rows,
+    rows = running_moments(
+        rows, ["customer_id"], ["_us", "transaction_id"], "amount", max_key_rows=max_key_rows
     )
-    n = F.col("_n") - 1
-    total, squares = F.col("_sum") - d, F.col("_squares") - d * d
-    mean = F.when(n > 0, F.col("_base") + total / F.nullif(n, F.lit(0)))
-    spread = squares / F.nullif(n, F.lit(0)) - F.pow(total / F.nullif(n, F.lit(0)), F.lit(2.0))
-    std = F.when(
-        (n > 1) & (F.col("_low") < F.col("_high")), F.sqrt(F.greatest(spread, F.lit(0.0)))
-    ).otherwise(F.lit(0.0))
+    differ = (F.col("count_before") > 1) & (F.col("low_before") < F.col("high_before"))
+    std = F.when(differ, F.sqrt("var_before")).otherwise(F.lit(0.0))
     z = F.when(F.col("std_before") > 0, (F.col("amount") - F.col("mean_before")) / F.col("std_before"))
     return (
-        rows.withColumns({"mean_before": F.coalesce(mean, F.lit(0.0)), "std_before": std, "count_before": n})
+        rows.withColumns({"mean_before": F.coalesce("mean_before", F.lit(0.0)), "std_before": std})
         .withColumn("amount_deviation_z_score", F.coalesce(z, F.lit(0.0)))
         .select(
             "transaction_id", "customer_id", "count_before", "mean_before", "std_before",
