@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from txlens.llm import exact_dedup, mixing, url_filter
+from txlens.llm import exact_dedup, language_id, mixing, quality, toxicity, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_filter_urls": url_filter.op3_filter_urls,
+    "op5_language_id": language_id.op5_language_id,
+    "op6_quality": quality.op6_quality,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 ORACLES = {
