@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txlens.llm import exact_dedup, language_id, mixing, quality, toxicity, url_filter
+from txlens.llm import exact_dedup, language_id, mixing, near_dedup, quality, toxicity, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -11,9 +11,11 @@ QUERIES = {
     "op6_quality": quality.op6_quality,
     "op7_toxicity": toxicity.op7_toxicity,
     "op9_mix_sources": mixing.op9_mix_sources,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op3_filter_urls": url_filter.SQL,
     "op9_mix_sources": mixing.SQL,
+    "op10_near_dedup": near_dedup.SQL,
 }
