@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from txlens.llm import exact_dedup, language_id, mixing, near_dedup, quality, toxicity, url_filter
+from txlens.llm import exact_dedup, language_id, mixing, near_dedup, quality, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_filter_urls": url_filter.op3_filter_urls,
     "op5_language_id": language_id.op5_language_id,
     "op6_quality": quality.op6_quality,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op2_substring_dedup": substring_dedup.SQL,
     "op3_filter_urls": url_filter.SQL,
     "op9_mix_sources": mixing.SQL,
     "op10_near_dedup": near_dedup.SQL,
