@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlens.llm.components import connected_components
-from txlens.llm.shared import joined, stored
+from txlens.llm.shared import joined, stored, within
 
 TREES, DEPTH = 12, 4
 NODE = 32
@@ -307,6 +307,14 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 5, similarity: in
     )
 
 
+def keep_one_of_each(documents: DataFrame, shingle_words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    gone = near_duplicates(documents, shingle_words, similarity).filter("NOT kept").select("doc_id")
+    gone = stored(gone.distinct(), "near_copies").toDF("_id")
+    side = F.broadcast(gone) if within(gone, MAX_SIDE) else gone
+    return documents.join(side, documents["doc_id"].cast("long") == F.col("_id"), "left_anti")
+
+
 def op10_near_dedup(spark, sf_dir):
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle_words=2)
 

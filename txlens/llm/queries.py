@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from txlens.llm import exact_dedup, language_id, mixing, near_dedup, quality, substring_dedup, toxicity, url_filter
+from txlens.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_filter_urls": url_filter.op3_filter_urls,
+    "op4_decontaminate": decontamination.op4_decontaminate,
     "op5_language_id": language_id.op5_language_id,
     "op6_quality": quality.op6_quality,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }

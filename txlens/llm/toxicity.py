@@ -33,13 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.llm.calibration import fit_isotonic
-from txlens.llm.shared import held_out, stored
+from txlens.llm.shared import held_out, stored, within
 
 SAMPLE_TOXIC, SAMPLE_ORDINARY = 2000, 4000  # expected rows, drawn by a hash of the id
 MAX_EXCERPTS, MIN_RATIO, MIN_TEXTS = 500, 20.0, 4
 DICTIONARY_BYTES, DICTIONARY_WINDOWS = 16384, 60_000
 LONG, GRAM, MIN_GAIN = 64, 4, 1
 MAX_RAW = 64
+THRESHOLD = 0.7
+MAX_REJECTED = 200_000  # broadcast bound
 MEMO = 200_000
 SEED = 11
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -206,29 +208,42 @@ def raw_scores(documents: DataFrame, distances: Distances) -> DataFrame:
     def score(batches):
         for batch in batches:
             found = [shared.value.raw_score(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "raw": np.array(found, dtype=float)})
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"], "mark": batch["mark"], "raw": np.array(found, dtype=float),
+            })
 
-    rows = documents.select("doc_id", "text")
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(score, f"doc_id {id_type}, raw double")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    return rows.mapInPandas(score, "doc_id long, mark long, raw double")
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id and the chance (0 to 1) that a document is labelled toxic; labels: (doc_id, label)."""
+    """doc_id, mark (hash of the text) and the chance (0 to 1) that it is labelled toxic.
+
+    ``labels`` has doc_id and label.
+    """
     known = labels.filter(F.col("label").isin(0, 1)).select("doc_id", "label")
     fold = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(3))
     texts = documents.select("doc_id", "text")
     distances = train_distances(texts.join(known.filter(fold > 0), "doc_id"))
     if distances is None or not distances.chosen:
-        return texts.select("doc_id", F.lit(0.0).alias("score"))
+        return texts.select("doc_id", F.xxhash64("text").alias("mark"), F.lit(0.0).alias("score"))
     raw = stored(raw_scores(texts, distances), "toxicity_raw")
     kept_back = raw.join(known.filter(fold == 0), "doc_id")
     curve = fit_isotonic(kept_back, F.col("raw"), F.col("label"), 0.0, float(MAX_RAW), MAX_RAW)
     if curve is None:
-        return raw.select("doc_id", F.lit(0.0).alias("score"))
+        return raw.select("doc_id", "mark", F.lit(0.0).alias("score"))
     steps = np.interp(np.arange(MAX_RAW + 1) + 0.5, *curve)
     score = F.element_at(F.lit([float(s) for s in steps]), F.col("raw").cast("int") + 1)
-    return raw.select("doc_id", score.alias("score"))
+    return raw.select("doc_id", "mark", score.alias("score"))
+
+
+def remove_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Documents whose toxicity stays below the threshold."""
+    rejected = toxicity_scores(documents, labels).filter(F.col("score") >= threshold).select("doc_id", "mark")
+    rejected = stored(rejected.distinct(), "toxic").toDF("_id", "_mark")
+    side = F.broadcast(rejected) if within(rejected, MAX_REJECTED) else rejected
+    same = documents["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_mark"))
+    return documents.join(side, same, "left_anti")
 
 
 def op7_toxicity(spark, sf_dir):
@@ -239,5 +254,5 @@ def op7_toxicity(spark, sf_dir):
         "doc_id",
         held_out(F.col("doc_id"), 3, 1).alias("held_out"),
         "score",
-        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
