@@ -11,9 +11,8 @@ MAX_NODES = 200_000  # broadcast bound for the smallest neighbours of a round
 MAX_ROUNDS = 60  # large-star and small-star need about log2(nodes)**2 at worst, far fewer in practice
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    return row[0], row[1] or 0
+def _edges(edges: DataFrame, label: str) -> DataFrame:
+    return stored(edges, label, state=F.bit_xor(F.xxhash64("u", "v")))
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -28,11 +27,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     repeats is removed by the next distinct, which combines before its shuffle.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
-    e = stored(e, "edges")
+    e = _edges(e, "edges")
     before = None
     for _ in range(MAX_ROUNDS):
-        now = _state(e)
-        if now == before or now[0] == 0:
+        now = e.seen
+        if now == before or now["n_rows"] == 0:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
@@ -45,5 +44,5 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # Small star: all smaller neighbours of u, and u, move to the smallest of them.
         near = joined(large, _smallest(large), ["u"], "inner", MAX_NODES)
         small = near.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).filter("u != v")
-        e = stored(small.distinct(), "small_star")
+        e = _edges(small.distinct(), "small_star")
     raise RuntimeError("components did not settle")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.shared import stored, within
+from txlens.llm.shared import id_or_last, id_or_null, n_rows, stored, within
 
 PIECE = 64
 BLOCK = 8
@@ -174,7 +174,7 @@ def build_indexes(items: DataFrame, max_postings: int = MAX_POSTINGS) -> list[In
         F.col("item_id").cast("long").alias("item_id"), "text", "question", "answer"
     )
     postings = stored(weigh_postings(items), "impacts")
-    n_shards = -(-postings.count() // max_postings)
+    n_shards = -(-n_rows(postings) // max_postings)
     indexes = []
     for shard in range(n_shards):
         mine = F.pmod(F.xxhash64("item_id"), F.lit(n_shards)) == shard
@@ -190,7 +190,7 @@ def find_contaminated(
     documents: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP
 ) -> DataFrame:
     """One row per document and item it holds: doc_id, mark, item_id, score, question_overlap, answer_overlap."""
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    texts = documents.select(id_or_last().alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     names = ["item_id", "score", "question_overlap", "answer_overlap"]
     kind = "doc_id long, mark long, item_id long, score double, question_overlap double, answer_overlap double"
 
@@ -204,24 +204,24 @@ def find_contaminated(
                     for key, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"])
                     for match in sent.value.matches(text, threshold, overlap)
                 ]
-                out = pd.DataFrame(rows, columns=["doc_id", "mark", *names])
-                yield out.astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=["doc_id", "mark", *names])
 
         return texts.mapInPandas(search, kind)
 
     found = None
     for index in build_indexes(items):
-        one = searched(index)
+        one = searched(index).withColumn("doc_id", id_or_null("doc_id"))
         found = one if found is None else found.unionByName(one)
     return found if found is not None else documents.sparkSession.createDataFrame([], kind)
 
 
 def remove_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = stored(find_contaminated(documents, items).select("doc_id", "mark").distinct(), "contaminated")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    found = find_contaminated(documents, items).select("doc_id", "mark").distinct()
+    found = stored(found.toDF("_gone_id", "_gone_mark"), "contaminated")
     side = F.broadcast(found) if within(found, MAX_FOUND) else found
-    same = documents["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_mark"))
+    same = documents["doc_id"].cast("long").eqNullSafe(F.col("_gone_id"))
+    same &= F.xxhash64(documents["text"]) == F.col("_gone_mark")
     return documents.join(side, same, "left_anti")
 
 

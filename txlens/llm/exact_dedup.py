@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.shared import BLANKS, joined, stored, within
+from txlens.llm.shared import BLANKS, joined, n_rows, stored, within
 
 BITS_PER_KEY = 16
 MAX_FILTER_WORDS = 1_000_000  # broadcast bound: 16 bytes a word
@@ -73,7 +73,7 @@ def exact_dedup(documents: DataFrame, bits_per_key: int = BITS_PER_KEY) -> DataF
     Of equal texts the one with the most code points stays, then the smallest id.
     """
     rows = stored(digests(documents), "digests")
-    n_words = max(1, rows.count() * bits_per_key // 64)
+    n_words = max(1, n_rows(rows) * bits_per_key // 64)
     repeated = stored(repeat_filter(rows, n_words), "repeats")
     if within(repeated, MAX_FILTER_WORDS):
         tested = _addressed(rows, n_words).join(F.broadcast(repeated), "_word", "left")

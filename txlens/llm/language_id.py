@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.shared import held_out, stored
+from txlens.llm.shared import held_out, id_or_last, id_or_null, stored
 
 DIMS_BITS = 15
 MAX_N = 3
@@ -203,9 +203,10 @@ def calibrate(kept_back: DataFrame, model: LanguageModel) -> float:
 
 def identify_languages(documents: DataFrame, model: LanguageModel | None) -> DataFrame:
     """doc_id, lang_pred and score of every whole text."""
-    rows = documents.select("doc_id", F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
+    rows = documents.select(id_or_last().alias("doc_id"), F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
     if model is None:
-        return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        out = rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return out.withColumn("doc_id", id_or_null("doc_id"))
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches):
@@ -217,8 +218,8 @@ def identify_languages(documents: DataFrame, model: LanguageModel | None) -> Dat
                 "score": [f[1] for f in found],
             })
 
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(predict, f"doc_id {id_type}, lang_pred string, score double")
+    out = rows.mapInPandas(predict, "doc_id long, lang_pred string, score double")
+    return out.withColumn("doc_id", id_or_null("doc_id"))
 
 
 def op5_language_id(spark, sf_dir):

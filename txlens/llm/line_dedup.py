@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlens.llm.components import connected_components
-from txlens.llm.shared import joined, stored, within
+from txlens.llm.shared import id_or_last, joined, n_rows, seen_as, stored
 
 SHINGLE = 9
 SIMILARITY = 80
@@ -39,7 +39,6 @@ MAX_SIDE = 200_000  # broadcast bound, at most 60 bytes a row
 MAX_KEYS = 1_000_000  # broadcast bound of 8-byte line hashes
 MAX_REPEATS = 1_000_000  # broadcast bound of removed places, 4 bytes each
 MAX_ROUNDS = 8
-NO_ID = 2**63 - 1
 ENDS = " \t\x0b\x0c\r"
 # A shingle starts at a word, or at any letter of the scripts from CJK radicals to Hangul.
 SHINGLES = r"(?s)(?:^|(?<=\s)|(?=[\x{2E80}-\x{D7AF}\x{F900}-\x{FAFF}]))(?=(\S.{0,%d}))" % (SHINGLE - 1)
@@ -51,7 +50,7 @@ BANDS = [[4 * i + j for j in range(4)] for i in range(4)] + [[4 * j + i for j in
 def lines_of(documents: DataFrame) -> DataFrame:
     """Every line that is not blank: id, mark (hash of the text), place, line and its hash."""
     texts = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+        id_or_last().alias("id"),
         F.xxhash64("text").alias("mark"),
         F.posexplode(F.split("text", "\n")).alias("place", "line"),
     )
@@ -136,21 +135,21 @@ def line_groups(documents: DataFrame, occurrences: DataFrame, similarity: int =
     tried = pairs
     large = members.groupBy("band").count().filter(F.col("count") > BUCKET).select("band")
     large = joined(members, stored(large, "large_buckets"), ["band"], "inner", MAX_SIDE)
-    if large.isEmpty():
-        return groups
     large = stored(large, "large_members")
+    if not n_rows(large):
+        return groups
     for _ in range(MAX_ROUNDS):
-        named = groups.select(F.col("node").alias("key"), "component")
+        named = seen_as(groups.select(F.col("node").alias("key"), "component"), groups)
         placed = joined(large, named, ["key"], "left", MAX_SIDE)
         stand_ins = placed.groupBy("band", F.coalesce("component", "key").alias("component")).agg(
             F.max("key").alias("key")
         )
         fresh = bucket_pairs(stored(stand_ins.select("band", "key"), "stand_ins"))
         fresh = stored(fresh.join(tried, ["a", "b"], "left_anti"), "line_pairs")
-        if fresh.isEmpty():
+        if not n_rows(fresh):
             break
         more = stored(confirm(fresh, documents, similarity), "line_links")
-        if more.isEmpty():
+        if not n_rows(more):
             break
         links, tried = links.unionByName(more), tried.unionByName(fresh)
         groups = stored(connected_components(links), "line_components")
@@ -166,7 +165,7 @@ def repeated_lines(documents: DataFrame, similarity: int = SIMILARITY) -> DataFr
     )
     groups = line_groups(documents, occurrences, similarity)
     spots = occurrences.select("id", "mark", "place", "key")
-    named = groups.select(F.col("node").alias("key"), "component")
+    named = seen_as(groups.select(F.col("node").alias("key"), "component"), groups)
     firsts = spots.groupBy("key").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = joined(firsts, named, ["key"], "left", MAX_SIDE).filter("n > 1 OR component IS NOT NULL")
     firsts = stored(firsts.withColumn("component", F.coalesce("component", "key")), "line_firsts")
@@ -180,27 +179,27 @@ def repeated_lines(documents: DataFrame, similarity: int = SIMILARITY) -> DataFr
 
 def line_dedup(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Documents without repeated lines, with n_lines (not blank) and n_removed."""
-    gone = stored(repeated_lines(documents, similarity), "repeated_places")
-    total = gone.agg(F.sum(F.size("places"))).first()[0] or 0
-    side = gone.withColumnsRenamed({"id": "_id", "mark": "_mark", "places": "_places"})
+    gone = stored(repeated_lines(documents, similarity), "repeated_places", places=F.sum(F.size("places")))
+    total = gone.seen.get("places") or 0
+    side = gone.withColumnsRenamed({"id": "_gone_id", "mark": "_gone_mark", "places": "_gone_places"})
     if total <= MAX_REPEATS:
         side = F.broadcast(side)
-    same = (F.coalesce(documents["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("_id")) & (
-        F.xxhash64(documents["text"]) == F.col("_mark")
+    same = (id_or_last(documents["doc_id"]) == F.col("_gone_id")) & (
+        F.xxhash64(documents["text"]) == F.col("_gone_mark")
     )
     lines = F.split("text", "\n")
-    left = F.filter(lines, lambda line, i: ~F.array_contains("_places", i))
+    left = F.filter(lines, lambda line, i: ~F.array_contains("_gone_places", i))
     blank = F.filter(lines, lambda line: F.btrim(line, F.lit(ENDS)) == "")
     return (
         documents.join(side, same, "left")
         .withColumns(
             {
                 "n_lines": F.coalesce(F.size(lines) - F.size(blank), F.lit(0)).cast("long"),
-                "n_removed": F.coalesce(F.size("_places"), F.lit(0)).cast("long"),
-                "text": F.when(F.col("_places").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),
+                "n_removed": F.coalesce(F.size("_gone_places"), F.lit(0)).cast("long"),
+                "text": F.when(F.col("_gone_places").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),
             }
         )
-        .drop("_id", "_mark", "_places")
+        .drop("_gone_id", "_gone_mark", "_gone_places")
     )
 
 

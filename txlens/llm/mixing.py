@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txlens.llm.shared import stored, within, word_count
+from txlens.llm.shared import seen_as, stored, within, word_count
 
 BLOCK_TOKENS = 64
 SHARD_TOKENS = 100_000
@@ -116,7 +116,7 @@ def mix_sources(
         .select("source", "rank", "source_size", "target", "n_blocks", "n_shards"),
         "sources",
     )
-    side = sources.withColumnRenamed("source", "_source")
+    side = seen_as(sources.withColumnRenamed("source", "_source"), sources)
     if within(side, MAX_SOURCES):
         side = F.broadcast(side)
     number = F.conv(F.substring("mark", 1, 8), 16, 10).cast("long")

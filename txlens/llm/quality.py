@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.llm.calibration import fit_isotonic
-from txlens.llm.shared import held_out, stored
+from txlens.llm.shared import held_out, id_or_last, id_or_null, n_rows, stored
 
 FEATURES = 128
 GAMMA = 0.03
@@ -90,9 +90,8 @@ def document_statistics(documents: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "x": [statistics(t) for t in batch["text"]]})
 
-    rows = documents.select("doc_id", "text")
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(measure, f"doc_id {id_type}, x array<double>")
+    rows = documents.select(id_or_last().alias("doc_id"), "text")
+    return rows.mapInPandas(measure, "doc_id long, x array<double>")
 
 
 class Fourier:
@@ -150,7 +149,7 @@ def train_quality(measured: DataFrame, labels: DataFrame):
     known = labels.filter(F.col("label").isin(0, 1)).select("doc_id", "label")
     rows = measured.join(known, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(4)))
     examples = stored(rows, "quality_examples")
-    if examples.isEmpty():
+    if not n_rows(examples):
         return None
     fourier = fourier_features(measured)
     beta = ridge(examples.filter("fold > 0"), fourier)
@@ -170,7 +169,7 @@ def scored(rows: DataFrame, fourier: Fourier, beta: np.ndarray, curve=None, keep
 
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     extra = "".join(f", {c} {types[c]}" for c in keep)
-    return rows.select("doc_id", "x", *keep).mapInPandas(score, f"doc_id {types['doc_id']}, raw double{extra}")
+    return rows.select("doc_id", "x", *keep).mapInPandas(score, f"doc_id long, raw double{extra}")
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -178,8 +177,8 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     measured = stored(document_statistics(documents), "quality_statistics")
     model = train_quality(measured, labels)
     if model is None or model[2] is None:
-        return measured.select("doc_id", F.lit(0.5).alias("score"))
-    return scored(measured, *model).select("doc_id", F.col("raw").alias("score"))
+        return measured.select(id_or_null("doc_id").alias("doc_id"), F.lit(0.5).alias("score"))
+    return scored(measured, *model).select(id_or_null("doc_id").alias("doc_id"), F.col("raw").alias("score"))
 
 
 def op6_quality(spark, sf_dir):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.llm.near_dedup import _mix, _Words
-from txlens.llm.shared import joined, stored, within
+from txlens.llm.shared import id_or_last, id_or_null, joined, stored, within
 
 WINDOW = 50
 ROUNDS = 8
@@ -38,7 +38,6 @@ RUN_ROUNDS = (0, 4)
 BATCH_WORDS = 200_000
 MAX_SIDE = 200_000  # broadcast bound, at most 60 bytes a row
 MAX_IDS = 500_000  # broadcast bound of (id, text hash) pairs
-NO_ID = 2**63 - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _U = np.uint64
@@ -286,7 +285,7 @@ def _with_texts(texts: DataFrame, spans: DataFrame, how: str) -> DataFrame:
     """Joins spans to texts; only texts that have spans are shuffled if their ids can be broadcast."""
     key = ["id", "mark"]
     ids = spans.select(*key)
-    if not within(ids, MAX_IDS):
+    if not within(spans, MAX_IDS):
         return texts.join(spans, key, how)
     found = texts.join(F.broadcast(ids), key, "left_semi").join(spans, key)
     if how == "inner":
@@ -298,11 +297,11 @@ def _with_texts(texts: DataFrame, spans: DataFrame, how: str) -> DataFrame:
 def substring_dedup(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept_text of every document."""
     texts = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("mark"), "text"
+        id_or_last().alias("id"), F.xxhash64("text").alias("mark"), "text"
     )
     spans = repeated_spans(texts).groupBy("id", "mark").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
     out = cut_words(_with_texts(texts, stored(spans, "spans"), "left"))
-    return out.withColumn("doc_id", F.when(F.col("id") != NO_ID, F.col("id"))).drop("id")
+    return out.withColumn("doc_id", id_or_null("id")).drop("id")
 
 
 def op2_substring_dedup(spark, sf_dir):

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.shared import stored, within
+from txlens.llm.shared import n_rows, stored, within
 
 MAX_FILTER_KEYS = 2_000_000  # largest level kept as one array (4 MB at 16 bits a key)
 MAX_RULE_LENGTHS = 2048
@@ -103,7 +103,7 @@ class Cascade:
     def __init__(self, listed: DataFrame, universe: DataFrame, n_universe: int, seed: int):
         self.levels: list[Level] = []
         listed = stored(listed.select("key").distinct(), "listed")
-        n_keys = listed.count()
+        n_keys = n_rows(listed)
         bits = 1.44 * max(2.0, math.log2(max(4.0, n_universe / max(1, n_keys))))
         inside, outside = listed, universe.join(listed, "key", "left_anti")
         while n_keys:
@@ -112,7 +112,7 @@ class Cascade:
             level = Level(inside, n_keys, bits, seed + len(self.levels))
             self.levels.append(level)
             mistaken = stored(level.attach(outside).filter(level.has(F.col("key"))).select("key"), "mistaken")
-            inside, outside, n_keys, bits = mistaken, inside, mistaken.count(), 1.44 * 8
+            inside, outside, n_keys, bits = mistaken, inside, n_rows(mistaken), 1.44 * 8
 
     def attach(self, df: DataFrame) -> DataFrame:
         return reduce(lambda d, level: level.attach(d), self.levels, df)
@@ -158,7 +158,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
             F.coalesce("verdict", F.lit(default)).alias("verdict"),
         )
     universe = stored(keyed.select(F.explode("_keys").alias("key")).distinct(), "universe")
-    n_universe = universe.count()
+    n_universe = n_rows(universe)
     block = Cascade(listed.filter("verdict = 'block'"), universe, n_universe, 1)
     allow = Cascade(listed.filter("verdict = 'allow'"), universe, n_universe, 101)
     tested = allow.attach(block.attach(keyed))
