@@ -128,13 +128,53 @@ def test_entity_joins_with_hot_entities(spark, skewed):
     )
 
 
-def test_hot_rows_join_without_a_shuffle(spark, skewed):
-    rows = skewed.select("transaction_id", "customer_id")
-    right = customer.customer_activity(skewed).select("customer_id", "fraud_rate")
-    out = ordered.join_unique(rows, right, ["customer_id"], max_key_rows=100)
-    text = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [customer_id" in text.split("Union")[1]
-    assert out.count() == rows.count()
+def test_hot_sides_do_not_multiply_the_left_side(spark, skewed):
+    """Each joined table adds its own scans only, whether it has hot keys or not."""
+    rows = skewed.select("transaction_id", "customer_id", "card_id").checkpoint()
+    side = spark.range(50).select(F.col("id").alias("customer_id"), F.lit(1).alias("v")).checkpoint()
+    other = spark.range(50).select(F.col("id").alias("card_id"), F.lit(2).alias("w")).checkpoint()
+    sides = [(side, ["customer_id"]), (other, ["card_id"])]
+
+    def scans(out):
+        return out._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+    plain, split = (ordered.join_entities(rows, sides, max_key_rows=n) for n in (10**6, 20))
+    assert scans(plain) == 3 and scans(split) == 7  # two more small ones per hot side
+    same(plain, split)
+    text = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in text
+
+
+def test_rows_without_a_time(spark):
+    """They have no burst, count in no other, and stay."""
+    second = F.timestamp_micros(1_700_000_000_000_000 + F.col("id") * 1_000_000)
+    rows = spark.range(300).select(
+        (F.col("id") % 290).alias("transaction_id"),
+        F.when(F.col("id") % 2 == 0, 1).alias("card_id"),
+        F.when(F.col("id") % 10 != 0, second).alias("timestamp"),
+    )
+    plain = replay.stream_burst(rows)
+    assert plain.filter("burst_count = 0").count() == 30
+    same(plain, replay.stream_burst(rows, max_key_rows=50))
+
+
+def test_sums_over_stretches_of_nulls(spark):
+    value = F.when((F.col("id") / 30).cast("int") % 2 == 1, F.col("id"))
+    rows = spark.range(200).select(F.lit(1).alias("k"), "id", value.alias("v"))
+    spec = {"running": {"s": ("sum", F.col("v")), "low": ("min", F.col("v"))}}
+    plain = ordered.ordered_columns(rows, ["k"], ["id"], **spec)
+    assert plain.filter("s IS NULL").count() == 30
+    same(plain, ordered.ordered_columns(rows, ["k"], ["id"], **spec, max_key_rows=17))
+
+
+def test_missing_scores_are_at_no_threshold(spark):
+    rows = spark.range(40).select(
+        F.when(F.col("id") % 4 != 0, F.col("id") / 40).alias("score"), (F.col("id") % 3 == 0).cast("int").alias("label")
+    )
+    known = rows.filter("score IS NOT NULL")
+    for report in (evaluation.roc_auc, evaluation.pr_curve):
+        same(report(known), report(rows))
+        same(report(known), report(rows, max_key_rows=7))
 
 
 def test_locality_with_a_hot_state(spark):

@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from txlens.session import ensure_checkpoint_dir
@@ -29,6 +30,7 @@ MAX_KEY_ROWS = 5_000_000
 MAX_BROADCAST_ROWS = 500_000
 
 _SLICE, _POS = "_slice", "_pos"
+_SALTS = 4096
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -84,17 +86,26 @@ def join_unique(
     """Left join to a table with at most one row per key, safe for hot keys on the left.
 
     The run-time skew split does not apply when the right side is an aggregate, so hot keys
-    are handled here: their right rows, one per hot key, are broadcast to the hot left rows,
-    which then need no shuffle. All other rows join as usual.
+    are handled here: their right rows, one per hot key, are broadcast to all rows. The shuffled
+    join that follows is for the others; a salt, which the right side has not, deals the hot
+    rows out evenly. The left side is read once, however many tables are joined.
     """
     split = split_hot(left, keys, max_key_rows)
     if split is None:
         return left.join(right, keys, "left")
-    wanted, few = split.hot_keys.select(*keys), right
+    values = [c for c in right.columns if c not in keys]
+    few = split.hot_keys.select(*keys).join(right, keys, "left")
+    few = few.select(*keys, F.struct(*values).alias("_few"), F.lit(True).alias("_hot"))
     if split.n_keys <= MAX_BROADCAST_ROWS:
-        few = F.broadcast(join_null_safe(right, F.broadcast(wanted), keys, "left_semi"))
-    hot = split.hot.join(few, keys, "left")
-    return split.cold.join(right, keys, "left").unionByName(hot)
+        few = F.broadcast(few)
+    plain = [f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = F.pmod(F.xxhash64(*plain), F.lit(_SALTS)) + 1
+    marked = join_null_safe(left, few, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0).cast("long"))
+    )
+    out = marked.join(right.withColumn("_salt", F.lit(0).cast("long")), [*keys, "_salt"], "left")
+    found = {c: F.when(F.col("_hot"), F.col("_few")[c]).otherwise(F.col(c)) for c in values}
+    return out.withColumns(found).drop("_salt", "_few", "_hot")
 
 
 def join_entities(
@@ -172,7 +183,8 @@ def _running_over_slices(
     )
     out = join_null_safe(out, before, [*keys, _SLICE], "left")
     combine = {
-        "sum": lambda a, b: a + F.coalesce(b, F.lit(0)),
+        # As in a window, a sum over nothing but nulls is null.
+        "sum": lambda a, b: F.coalesce(a + b, a, b),
         "min": lambda a, b: F.least(a, b),
         "max": lambda a, b: F.greatest(a, b),
     }
@@ -390,11 +402,15 @@ def sliding_count(
     *,
     max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
-    """Rows of the key with time in (t - width, t]; ``micros`` is an epoch column."""
+    """Rows of the key with time in (t - width, t]; ``micros`` is an epoch column.
+
+    A row without a time counts nothing and is counted by none. Row ids may repeat.
+    """
     split = split_hot(df, keys, max_key_rows)
     span = Window.partitionBy(*keys).orderBy(micros).rangeBetween(-(width - 1), Window.currentRow)
+    in_span = F.when(F.col(micros).isNotNull(), F.count(F.lit(1)).over(span)).otherwise(F.lit(0))
     if split is None:
-        return df.withColumn(name, F.count(F.lit(1)).over(span))
+        return df.withColumn(name, in_span)
     # Hot keys: the count is (rows up to t) - (rows up to t - width). Both are running
     # counts, read by two probe rows per payment that sort after the rows they count.
     t = F.col(micros)
@@ -403,7 +419,8 @@ def sliding_count(
         F.struct(t.alias("at"), F.lit(1).alias("probe")),
         F.struct((t - width).alias("at"), F.lit(2).alias("probe")),
     )
-    marks = split.hot.select(*keys, row_id, F.inline(probes))
+    timed = split.hot.filter(F.col(micros).isNotNull())
+    marks = timed.select(*keys, row_id, t.alias("_own"), F.inline(probes))
     counted = ordered_columns(
         marks,
         keys,
@@ -413,7 +430,7 @@ def sliding_count(
     )
     counts = (
         counted.filter("probe > 0")
-        .groupBy(row_id)
+        .groupBy(*keys, row_id, F.col("_own").alias(micros))
         .agg(
             (
                 F.max(F.when(F.col("probe") == 1, F.col("_upto")))
@@ -421,6 +438,6 @@ def sliding_count(
             ).alias(name)
         )
     )
-    hot = split.hot.join(counts, row_id, "left")
-    cold = split.cold.withColumn(name, F.count(F.lit(1)).over(span))
-    return cold.unionByName(hot)
+    hot = join_null_safe(split.hot, counts, [*keys, row_id, micros], "left")
+    hot = hot.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+    return split.cold.withColumn(name, in_span).unionByName(hot)

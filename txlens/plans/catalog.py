@@ -718,3 +718,45 @@ def perm_importance(spark, d):
     """AUC lost per permuted feature on the hold-out rows, for a smaller model."""
     train, test = _split_gold(spark, d)
     return model.permutation_importance(model.train(train, trees=20, depth=4), test)
+
+
+# --- the same queries with keys split from a few rows on ---------------------------------
+
+FEW = 12
+
+
+def sliced(build: Query) -> Query:
+    """Register ``build`` as the small-switch form of the query it is named after."""
+    build.__name__ = f"{build.__name__}_sliced"
+    return query(build)
+
+
+def _gold_sliced(spark, d):
+    tx = fx.payments(spark, d)
+    return gold.gold_master(
+        _silver(spark, d), customer.customer_activity(tx), entity.merchant_features(tx), max_key_rows=FEW
+    )
+
+
+_sliced_forms = {
+    "sequence_features": lambda s, d: _millis(
+        sequence.sequence_features(fx.payments(s, d), max_key_rows=FEW), "timestamp"
+    ),
+    "campaign_features": lambda s, d: campaign.campaign_features(fx.payments(s, d), max_key_rows=FEW),
+    "gold_master": lambda s, d: _millis(_gold_sliced(s, d).drop("feature_calculated_at"), "timestamp"),
+    "roc_auc": lambda s, d: evaluation.roc_auc(fx.scores(s, d), max_key_rows=50),
+    "pr_curve": lambda s, d: evaluation.pr_curve(fx.scores(s, d), max_key_rows=50),
+    "amount_profile": lambda s, d: evaluation.amount_profile(fx.payments(s, d), max_key_rows=50),
+    "stream_zscore": lambda s, d: replay.stream_zscore(fx.payments(s, d), max_key_rows=FEW),
+    "stream_card_features": lambda s, d: replay.stream_card_features(fx.payments(s, d), max_key_rows=FEW),
+    "stream_burst": lambda s, d: replay.stream_burst(fx.payments(s, d), max_key_rows=FEW),
+    "locality_match": lambda s, d: marts.locality_match(
+        nodes.residential_nodes(_classified(s, d)).select("osm_id", "h3_index", "state"),
+        marts.locality_index(_staged_merchants(s, d)),
+        max_key_rows=50,
+    ).drop("h3_index", "state"),
+}
+for _name, _build in _sliced_forms.items():
+    _build.__name__ = _name
+    sliced(_build)
+SLICED = tuple(_sliced_forms)
