@@ -35,9 +35,13 @@ def score_steps(
     by: list[str] | None = None,
     max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
-    """One row per distinct score (per ``by``) with positives/negatives at and up to it."""
+    """One row per distinct score (per ``by``) with positives/negatives at and up to it.
+
+    Rows without a score or a label are left out: they are at no threshold.
+    """
     positive, by = F.col(label).cast("int"), by or []
-    steps = scored.groupBy(*by, F.col(score).alias("score")).agg(
+    known = scored.filter(F.col(score).isNotNull() & positive.isNotNull())
+    steps = known.groupBy(*by, F.col(score).alias("score")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
     )
     return ordered_columns(
@@ -72,7 +76,7 @@ def pr_curve(
     # Order by the negated score: running totals then count scores at or above it.
     flipped = scored.select((-F.col(score)).alias("score"), F.col(label).alias("label"))
     steps = score_steps(flipped, max_key_rows=max_key_rows)
-    all_pos = scored.agg(F.sum(F.col(label).cast("int"))).scalar()
+    all_pos = scored.filter(F.col(score).isNotNull()).agg(F.sum(F.col(label).cast("int"))).scalar()
     flagged = F.col("pos_upto") + F.col("neg_upto")
     return steps.select(
         (-F.col("score")).alias("threshold"),

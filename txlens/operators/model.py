@@ -51,9 +51,12 @@ def classifier(trees: int = TREES, depth: int = DEPTH, step: float = STEP, max_b
     return Pipeline(stages=stages)
 
 
-def training_rows(gold: DataFrame, label: str = "is_fraud") -> DataFrame:
-    """Label, class weight and features; the positive weight is legitimate / fraud."""
-    weight = class_weight(gold, label).first()["scale_pos_weight"]
+def training_rows(gold: DataFrame, label: str = "is_fraud", learned: DataFrame | None = None) -> DataFrame:
+    """Label, class weight and features; the positive weight is legitimate / fraud.
+
+    ``learned`` holds the rows that the model may learn from, if those are not all of ``gold``.
+    """
+    weight = class_weight(gold if learned is None else learned, label).first()["scale_pos_weight"]
     y = F.col(label).cast("double")
     return gold.withColumns(
         {"label": y, "weight": F.when(y == 1, F.lit(weight or 1.0)).otherwise(F.lit(1.0))}
