@@ -73,9 +73,9 @@ def test_geography(warehouse):
 def test_live_jobs(warehouse, monkeypatch):
     monkeypatch.setattr(jobs.model, "train", lambda rows: jobs.model.classifier(trees=3, depth=2).fit(rows))
     run(warehouse, "ingest", "silver-core", "gold-master", "train-model", "test-model",
-        "leakage-audit", "attribution", "publish")
+        "leakage-audit", "attribution", "publish", "publish")
     damaged = warehouse.spark.createDataFrame([("{oops",)], "value string")
-    damaged.write.mode("append").text(warehouse.path("live", "events"))
+    damaged.write.text(f"{warehouse.path('live', 'events')}/damaged")
     run(warehouse, "score-live")
     n = warehouse.read("bronze", "transactions").count()
     assert warehouse.read("live", "fraud_scores").count() == n
@@ -84,6 +84,22 @@ def test_live_jobs(warehouse, monkeypatch):
     assert truth.count() == n
 
 
+def test_live_jobs_from_a_time_on(warehouse, monkeypatch):
+    """The state starts from the payments before, the events are those from then on."""
+    seen = []
+    monkeypatch.setattr(warehouse, "since", "2024-01-14 00:00:00")
+    monkeypatch.setattr(warehouse, "root", warehouse.root)
+    started = jobs.seed.warm_start
+    monkeypatch.setattr(jobs.seed, "warm_start", lambda tx: seen.append(tx.agg(F.max("timestamp")).first()[0]) or started(tx))
+    live = f"{tempfile.mkdtemp(prefix='run-')}"
+    path = warehouse.path
+    monkeypatch.setattr(warehouse, "path", lambda layer, name: f"{live}/{name}" if layer == "live" else path(layer, name))
+    run(warehouse, "publish", "score-live")
+    late = warehouse.read("bronze", "transactions").filter("timestamp >= '2024-01-14'")
+    assert 0 < late.count() == warehouse.read("live", "fraud_scores").count()
+    assert str(seen[0]) < "2024-01-14"
+
+
 def test_schema_is_enforced(spark):
     df = enforce(spark.range(2).withColumnRenamed("id", "transaction_id"), schema.TRANSACTIONS)
     found = [(f.name, f.dataType) for f in df.schema]

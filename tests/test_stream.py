@@ -20,9 +20,10 @@ def tx(spark):
     return fx.payments(spark, SMALL)
 
 
-def publish(tx, folder):
+def publish(tx, folder, run="all"):
     messages = codec.encode_events(projection.unlabeled_projection(tx))
-    codec.publish_files(messages.coalesce(1), f"{folder}/in")
+    for _ in range(2):  # publishing a run again replaces it
+        codec.publish_files(messages.coalesce(1), f"{folder}/in", run)
 
 
 def consume(spark, folder, warm=None, fitted=None):
@@ -64,10 +65,10 @@ def check_against_twins(live, tx):
 
 def test_two_runs_equal_the_batch_twins(spark, tx):
     folder = tempfile.mkdtemp(prefix="run-")
-    publish(tx.filter(F.col("timestamp") < CUT), folder)
+    publish(tx.filter(F.col("timestamp") < CUT), folder, "first")
     first = consume(spark, folder).count()
     assert first == tx.filter(F.col("timestamp") < CUT).count()
-    publish(tx.filter(F.col("timestamp") >= CUT), folder)
+    publish(tx.filter(F.col("timestamp") >= CUT), folder, "second")
     live = consume(spark, folder)  # restarted from the checkpoint
     assert live.count() == tx.count()
     check_against_twins(live, tx)
@@ -85,11 +86,9 @@ def test_warm_start_continues_history(spark, tx):
     check_against_twins(live, tx)
 
 
-def test_bursts_within_a_minute(spark):
-    """Three, four and five payments within 60 s; one at exactly 60 s has left the window."""
-    seconds = [0, 10, 20, 30, 40, 70, 101]
+def card_payments(spark, seconds):
     rows = [(i, "c", "k", "m", "x", 1.0 + i, s) for i, s in enumerate(seconds)]
-    tx = spark.createDataFrame(
+    return spark.createDataFrame(
         rows, "transaction_id long, customer_id string, card_id string, merchant_id string,"
         " merchant_category string, amount double, s int"
     ).select(
@@ -97,6 +96,22 @@ def test_bursts_within_a_minute(spark):
         F.lit(0.0).alias("location_lat"), F.lit(0.0).alias("location_long"),
         F.lit(1).alias("card_present"), F.lit("upi").alias("transaction_channel"),
     ).drop("s")
+
+
+def test_warm_start_refills_a_crowded_minute(spark):
+    """Fifteen payments in the last minute before the start all count afterwards."""
+    tx = card_payments(spark, list(range(15)) + [20, 55, 65])
+    start = F.timestamp_seconds(F.lit(1_700_000_015))
+    folder = tempfile.mkdtemp(prefix="run-")
+    codec.publish_files(codec.encode_events(tx.filter(F.col("timestamp") >= start)).coalesce(1), f"{folder}/in")
+    live = consume(spark, folder, seed.warm_start(tx.filter(F.col("timestamp") < start)))
+    assert [r.burst_count for r in live.orderBy("timestamp").collect()] == [16, 17, 12]
+    assert_equal_columns(live, replay.stream_burst(tx), ["burst_count", "rapid_fire_transaction_flag"])
+
+
+def test_bursts_within_a_minute(spark):
+    """Three, four and five payments within 60 s; one at exactly 60 s has left the window."""
+    tx = card_payments(spark, [0, 10, 20, 30, 40, 70, 101])
     folder = tempfile.mkdtemp(prefix="run-")
     messages = codec.encode_events(tx.orderBy(F.desc("timestamp")))  # arrives out of order
     codec.publish_files(messages.coalesce(1), f"{folder}/in")
@@ -107,10 +122,16 @@ def test_bursts_within_a_minute(spark):
 
 def test_damaged_messages_are_kept_apart(spark, tx):
     messages = codec.encode_events(tx.limit(5)).select("value")
+    partly = [
+        F.to_json(F.struct(*[F.lit(None).alias(c) if c == gone else F.col(c) for c in tx.columns]))
+        for gone in ("amount", "customer_id", "card_id", "location_lat")
+    ]
+    lacking = tx.limit(1).select(F.explode(F.array(*partly)).alias("value"))
     broken = spark.createDataFrame([("{oops",), ('{"amount": 3}',)], "value string")
-    good, bad = codec.split_quarantine(codec.decode_events(messages.unionByName(broken)))
-    assert good.count() == 5
-    assert {r.value for r in bad.collect()} == {"{oops", '{"amount": 3}'}
+    sent = messages.unionByName(broken).unionByName(lacking).withColumn("received_at", F.current_timestamp())
+    good, bad = codec.split_quarantine(codec.decode_events(sent))
+    assert good.count() == 5 and bad.columns == ["value", "received_at"]
+    assert {"{oops", '{"amount": 3}'} < {r.value for r in bad.collect()} and bad.count() == 6
 
 
 def test_scoring_sink(spark, tx):

@@ -44,8 +44,11 @@ from txlens.streaming import codec, score, seed, state
 class Warehouse:
     """Table locations: raw landing files and the bronze, silver and gold layers."""
 
-    def __init__(self, spark: SparkSession, raw: str, root: str):
+    def __init__(
+        self, spark: SparkSession, raw: str, root: str, since: str | None = None, kafka: str | None = None
+    ):
         self.spark, self.raw_root, self.root = spark, raw, root
+        self.since, self.kafka = since, kafka
 
     def raw(self, name: str, kind=None) -> DataFrame:
         return read_table(self.spark, f"{self.raw_root}/{name}.parquet", kind)
@@ -244,7 +247,8 @@ def export_references(w: Warehouse) -> None:
 
 
 def train_model(w: Warehouse) -> None:
-    rows = sampling.strat_split(model.training_rows(w.read("gold", "transactions")))
+    gold = sampling.strat_split(w.read("gold", "transactions"))
+    rows = model.training_rows(gold, learned=gold.filter("split = 'train'"))
     fitted = model.train(rows.filter("split = 'train'"))
     fitted.write().overwrite().save(w.path("model", "classifier"))
     write_table(model.feature_spec(w.spark, fitted), w.path("model", "feature_spec"))
@@ -282,30 +286,42 @@ def attribution(w: Warehouse) -> None:
 
 
 def publish(w: Warehouse) -> None:
-    """Unlabelled events as JSON lines, and their true labels on the side."""
+    """Unlabelled events from ``since`` on as JSON lines, and their true labels on the side."""
     tx = w.read("bronze", "transactions")
-    codec.publish_files(
-        codec.encode_events(projection.unlabeled_projection(tx)), w.path("live", "events")
-    )
+    if w.since:
+        tx = tx.filter(F.col("timestamp") >= F.lit(w.since).cast("timestamp"))
+    messages = codec.encode_events(projection.unlabeled_projection(tx))
+    if w.kafka:
+        codec.publish_kafka(messages, w.kafka)
+    else:
+        codec.publish_files(messages, w.path("live", "events"))
     write_csv(tx.select("transaction_id", "is_fraud"), w.path("live", "ground_truth"))
 
 
 def score_live(w: Warehouse) -> None:
-    """Score what has arrived, starting from the state of the stored payments."""
-    history = w.read("gold", "transactions")
-    places = w.read("bronze", "transactions").select(
-        "transaction_id", "location_lat", "location_long"
-    )
-    good, bad = codec.split_quarantine(
-        codec.decode_events(codec.read_files(w.spark, w.path("live", "events")))
+    """Score what has arrived.
+
+    The state starts from the payments before ``since``, never from those that are published;
+    without ``since`` it starts empty. Files are read once, a message topic continuously.
+    """
+    warm = None
+    if w.since:
+        before = F.col("timestamp") < F.lit(w.since).cast("timestamp")
+        warm = seed.warm_start(w.read("bronze", "transactions").filter(before))
+    messages = (
+        codec.read_kafka(w.spark, w.kafka) if w.kafka else codec.read_files(w.spark, w.path("live", "events"))
     )
-    features = state.live_features(good, seed.warm_start(history.join(places, "transaction_id")))
-    features = score.with_customer_aggregates(features, replay.customer_agg_seed(history))
+    good, bad = codec.split_quarantine(codec.decode_events(messages))
+    features = state.live_features(good, warm)
+    # Stored once: the stream joins a small table instead of recomputing it per micro-batch.
+    write_table(replay.customer_agg_seed(w.read("gold", "transactions")), w.path("live", "customer_agg"))
+    features = score.with_customer_aggregates(features, w.read("live", "customer_agg"))
+    once = not w.kafka
     fitted = PipelineModel.load(w.path("model", "classifier"))
     live = w.path("live", "")
     running = [
-        score.start_quarantine(bad, f"{live}quarantine", f"{live}checkpoint_bad", True),
-        score.start_scoring(features, f"{live}fraud_scores", f"{live}checkpoint", fitted, True),
+        score.start_quarantine(bad, f"{live}quarantine", f"{live}checkpoint_bad", once),
+        score.start_scoring(features, f"{live}fraud_scores", f"{live}checkpoint", fitted, once),
     ]
     for started in running:
         started.awaitTermination()
@@ -328,8 +344,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("--raw", required=True, help="folder with the raw tables")
     parser.add_argument("--warehouse", required=True, help="folder for bronze, silver, gold")
+    parser.add_argument("--since", help="publish payments from this time on; score-live starts from those before")
+    parser.add_argument("--kafka", help="bootstrap servers; without them the live jobs use files")
     args = parser.parse_args(argv)
-    JOBS[args.job](Warehouse(build_session(), args.raw, args.warehouse))
+    JOBS[args.job](Warehouse(build_session(), args.raw, args.warehouse, args.since, args.kafka))
 
 
 if __name__ == "__main__":

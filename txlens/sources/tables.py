@@ -16,7 +16,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The schema's columns in its order and types; a column the file lacks is null."""
+    """The schema's columns in its order and types; a column the file lacks is null.
+
+    The first column is the table's key: without it the file is some other table.
+    """
+    if schema.fields[0].name not in df.columns:
+        raise ValueError(f"no column {schema.fields[0].name} among {df.columns}")
 
     def column(field: T.StructField) -> Column:
         found = F.col(field.name) if field.name in df.columns else F.lit(None)

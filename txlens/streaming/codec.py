@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txlens.sources.schema import STREAM_MESSAGE
 
 TOPIC = "raw_transactions"
+REQUIRED = (
+    "transaction_id", "timestamp", "customer_id", "card_id", "amount", "location_lat", "location_long",
+)
+NUMBERS = ("amount", "location_lat", "location_long")
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -32,16 +38,17 @@ def decode_events(messages: DataFrame, schema: T.StructType = STREAM_MESSAGE) ->
     fields = [F.col(f"_event.{f.name}").alias(f.name) for f in schema.fields if f.name != "timestamp"]
     carried = [c for c in messages.columns if c != "value"]
     ts = F.col("_event.timestamp").try_cast("timestamp").alias("timestamp")
-    # A damaged message has no id or no time: it cannot be placed in a stream.
-    return parsed.select(*carried, "value", *fields, ts).withColumn(
-        "_bad", F.col("transaction_id").isNull() | F.col("timestamp").isNull()
-    )
+    # Without id, time, owner, card, amount or place a message cannot enter the running state.
+    out = parsed.select(*carried, "value", *fields, ts)
+    lacking = [F.col(c).isNull() for c in REQUIRED if c in out.columns]
+    lacking += [F.isnan(c) for c in NUMBERS if c in out.columns]
+    return out.withColumn("_bad", F.coalesce(reduce(Column.__or__, lacking), F.lit(True)))
 
 
 def split_quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good events, and raw values of the bad ones."""
+    """Good events, and the bad ones as they came, with key and arrival time if there are any."""
     good = decoded.filter(~F.col("_bad")).drop("value", "_bad")
-    bad = decoded.filter("_bad").select("value")
+    bad = decoded.filter("_bad").select("value", *[c for c in ("key", "received_at") if c in decoded.columns])
     return good, bad
 
 
@@ -59,10 +66,11 @@ def read_kafka(spark: SparkSession, servers: str, topic: str = TOPIC, per_trigge
 
 
 def read_files(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """The same messages from a folder of JSON-lines files."""
+    """The same messages from a folder of JSON-lines files, one folder per published run."""
     return (
         spark.readStream.format("text")
         .option("maxFilesPerTrigger", files_per_trigger)
+        .option("recursiveFileLookup", True)
         .load(path)
         .select("value", F.current_timestamp().alias("received_at"))
     )
@@ -77,8 +85,9 @@ def publish_kafka(messages: DataFrame, servers: str, topic: str = TOPIC) -> None
     )
 
 
-def publish_files(messages: DataFrame, path: str) -> None:
-    messages.select("value").write.mode("append").text(path)
+def publish_files(messages: DataFrame, path: str, run: str = "all") -> None:
+    """One JSON line a message. Publishing a run again replaces its files; nothing is doubled."""
+    messages.select("value").write.mode("overwrite").text(f"{path}/{run}")
 
 
 def write_ground_truth(tx: DataFrame, path: str) -> None:

@@ -14,6 +14,7 @@ from txlens.operators.evaluation import SCORE_THRESHOLD, score_flag
 from txlens.operators.model import FEATURE_SPEC
 from txlens.operators.projection import align_features
 
+SHOWN = ("cf_night_tx_ratio",)  # looked up for whoever reviews a score; not a model feature
 KEPT = ("transaction_id", "card_id", "customer_id", "amount", "timestamp", "received_at")
 
 
@@ -28,7 +29,8 @@ def with_customer_aggregates(features: DataFrame, customer_agg: DataFrame) -> Da
 
 def score(features: DataFrame, model: PipelineModel, threshold: float = SCORE_THRESHOLD) -> DataFrame:
     """The score table's columns. A failing batch fails; nothing is scored 0 instead."""
-    rows = align_features(features, FEATURE_SPEC, keep=KEPT)
+    shown = [c for c in SHOWN if c in features.columns]
+    rows = align_features(features, FEATURE_SPEC, keep=(*KEPT, *shown))
     scored = model.transform(rows).withColumn(
         "fraud_probability", vector_to_array("probability")[1]
     )
@@ -39,6 +41,7 @@ def score(features: DataFrame, model: PipelineModel, threshold: float = SCORE_TH
         "amount",
         "timestamp",
         F.col("received_at").alias("kafka_received_at"),
+        *shown,
         "fraud_probability",
         "flagged",
         F.current_timestamp().alias("scored_at"),
@@ -67,8 +70,8 @@ def start_scoring(
 def start_quarantine(
     bad: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Messages that did not decode, as they came."""
-    writer = bad.writeStream.format("text").option("path", path).option(
+    """Messages that did not decode, as they came (JSON lines with key and arrival time)."""
+    writer = bad.writeStream.format("json").option("path", path).option(
         "checkpointLocation", checkpoint
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
