@@ -33,10 +33,10 @@ from txlens.llm.near_dedup import _mix, _Words
 from txlens.llm.shared import id_or_last, id_or_null, joined, stored, within
 
 WINDOW = 50
-ROUNDS = 8
+ROUNDS = 7
 RUN_ROUNDS = (0, 4)
 BATCH_WORDS = 200_000
-MAX_SIDE = 200_000  # broadcast bound, at most 60 bytes a row
+MAX_SIDE = 20_000  # broadcast bound, at most 60 bytes a row
 MAX_IDS = 500_000  # broadcast bound of (id, text hash) pairs
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
@@ -216,15 +216,18 @@ def list_windows(rows: DataFrame) -> DataFrame:
     def windows(batches):
         memo, sums = _Words(), _Sums()
         for batch in batches:
+            out: dict[str, list] = {name: [] for name in ("anchor", "window", "id", "mark", "at")}
             for key, mark, text, spans in zip(batch["id"], batch["mark"], batch["text"], batch["spans"]):
                 total = sums.of(_hashes(words_of(text), memo))
                 n = np.array([s["n"] for s in spans])
                 at = np.repeat([s["at"] for s in spans], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                found = sums.range(total, at, at + WINDOW)
-                yield pd.DataFrame({
-                    "anchor": np.repeat([s["anchor"] for s in spans], n), "window": found.view(np.int64),
-                    "id": key, "mark": mark, "at": at.astype(np.int32),
-                })
+                out["anchor"].append(np.repeat(np.array([s["anchor"] for s in spans], dtype=np.int64), n))
+                out["window"].append(sums.range(total, at, at + WINDOW).view(np.int64))
+                out["id"].append(np.full(len(at), key, dtype=np.int64))
+                out["mark"].append(np.full(len(at), mark, dtype=np.int64))
+                out["at"].append(at.astype(np.int32))
+            if out["at"]:
+                yield pd.DataFrame({name: np.concatenate(parts) for name, parts in out.items()})
 
     return rows.mapInPandas(windows, "anchor long, window long, id long, mark long, at int")
 
@@ -258,18 +261,17 @@ def cut_words(rows: DataFrame) -> DataFrame:
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """Spans (id, mark, at, n) of n windows in a row that repeat an earlier document's."""
     regions = stored(find_regions(texts), "regions")
-    groups = stored(
-        regions.groupBy("anchor", "region").agg(F.min("id").alias("first"), F.max("id").alias("last")), "groups"
-    )
-    several = (
-        groups.groupBy("anchor")
-        .agg(F.min("region").alias("r0"), F.max("region").alias("r1"), F.min("first").alias("f"), F.max("last").alias("l"))
-        .filter("r0 != r1 AND f != l")
-    )
-    several = stored(several.select("anchor", F.lit(True).alias("several")), "several")
-    told = joined(groups, several, ["anchor"], "left", MAX_SIDE).filter("first != last OR several")
-    told = stored(told.select("anchor", "region", "first", F.coalesce("several", F.lit(False)).alias("several")), "told")
-    known = stored(joined(regions, told, ["anchor", "region"], "inner", MAX_SIDE), "known")
+    # Most anchors belong to one document; their regions go no further.
+    shared = regions.groupBy("anchor").agg(
+        F.min("id").alias("f"), F.max("id").alias("l"), F.min("region").alias("r0"), F.max("region").alias("r1")
+    ).filter("f != l")
+    shared = stored(shared.select("anchor", F.expr("r0 != r1").alias("several")), "shared_anchors")
+    regions = stored(joined(regions, shared, ["anchor"], "inner", MAX_SIDE), "shared_regions")
+    groups = regions.groupBy("anchor", "region").agg(
+        F.min("id").alias("first"), F.max("id").alias("last"), F.max("several").alias("_several")
+    ).filter("first != last OR _several")
+    groups = stored(groups.select("anchor", "region", "first"), "groups")
+    known = stored(joined(regions, groups, ["anchor", "region"], "inner", MAX_SIDE), "known_regions")
     whole = known.filter("id > first").select("id", "mark", "at", "n")
     doubtful = known.filter("id = first AND several").groupBy("id", "mark").agg(
         F.collect_list(F.struct("at", "n", "anchor")).alias("spans")
