@@ -252,15 +252,17 @@ def line_rows(df):
 
 
 def pasted(seed, n=120):
+    """Lines of shared and fresh wording; edited lines stay well above the threshold."""
     rnd = random.Random(seed)
-    base = [" ".join(f"{rnd.choice(['an', 'er', 'to'])}{rnd.randrange(300)}" for _ in range(rnd.randrange(3, 40))) for _ in range(30)]
+    sizes = [rnd.choice([3, 5, rnd.randrange(40, 70)]) for _ in range(30)]
+    base = [" ".join(f"{rnd.choice(['an', 'er', 'to'])}{rnd.randrange(300)}" for _ in range(k)) for k in [50, *sizes]]
     rows = []
     for i in range(n):
         out = []
         for _ in range(rnd.randrange(0, 7)):
             w = rnd.choice(base[:1] if rnd.random() < 0.3 else base).split()
             if rnd.random() < 0.5 and len(w) > 8:
-                w[rnd.randrange(len(w))] = f"z{rnd.randrange(10**6)}"
+                w[rnd.choice([0, -1])] = f"z{rnd.randrange(10**6)}"
             out.append(rnd.choice(["", " ", "\t"]) + " ".join(w) + rnd.choice(["", "\r"]))
         rows.append((i, "\n".join(out) if rnd.random() < 0.9 else "\n\n".join(out)))
     return rows
@@ -280,6 +282,23 @@ def test_lines_in_large_buckets_without_broadcasts(spark, monkeypatch):
     assert line_rows(table(spark, rows)) == brute_lines(rows)
 
 
+def test_recall_near_the_threshold(spark):
+    """Pairs of lines just above the similarity: nearly all are found, none below it."""
+    rnd = random.Random(12)
+    rows, expected = [], 0
+    for i in range(400):
+        w = [f"q{i}x{rnd.randrange(10**5)}" for _ in range(rnd.randrange(20, 60))]
+        v = list(w)
+        for _ in range(len(w) // 20 + 1):
+            v[rnd.randrange(len(v))] = f"y{rnd.randrange(10**6)}"
+        one, two = line_set(" ".join(w)), line_set(" ".join(v))
+        if 0.75 < len(one & two) / len(one | two) < 0.88:
+            rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+            expected += len(one & two) >= 0.8 * len(one | two)
+    removed = sum(r.n_removed for r in line_dedup.line_dedup(table(spark, rows)).collect())
+    assert expected > 50 and 0.94 * expected <= removed <= expected
+
+
 def test_line_edge_cases(spark):
     rows = [r for r in EDGE if r[0] != 1] + [(1, "a b c\nd e f")]
     rows += [(9, "漢字かな混じり文の長い行です。"), (10, "漢字かな混じり文の長い行です"), (11, "\n\n x \n"), (12, LONG)]
