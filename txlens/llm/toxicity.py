@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.llm.calibration import fit_isotonic
-from txlens.llm.shared import held_out, stored, within
+from txlens.llm.shared import held_out, id_or_last, id_or_null, stored, within
 
 SAMPLE_TOXIC, SAMPLE_ORDINARY = 2000, 4000  # expected rows, drawn by a hash of the id
 MAX_EXCERPTS, MIN_RATIO, MIN_TEXTS = 500, 20.0, 4
@@ -41,7 +41,7 @@ DICTIONARY_BYTES, DICTIONARY_WINDOWS = 16384, 60_000
 LONG, GRAM, MIN_GAIN = 64, 4, 1
 MAX_RAW = 64
 THRESHOLD = 0.7
-MAX_REJECTED = 200_000  # broadcast bound
+MAX_REJECTED = 200_000  # broadcast bound of ids
 MEMO = 200_000
 SEED = 11
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -176,14 +176,17 @@ class Distances:
         return min(total, MAX_RAW)
 
 
-def train_distances(examples: DataFrame) -> Distances | None:
-    """Dictionaries from (doc_id, text, label); None without toxic examples."""
-    usable = examples.filter(F.col("label").isin(0, 1) & F.col("text").isNotNull())
-    sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
+def train_distances(texts: DataFrame, known: DataFrame) -> Distances | None:
+    """Dictionaries from texts (doc_id, text) and labels (doc_id, label); None without toxic examples."""
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return None
     share = F.when(F.col("label") == 1, SAMPLE_TOXIC / sizes[1]).otherwise(SAMPLE_ORDINARY / sizes[0])
-    sample = usable.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < share * 1_000_000)
+    drawn = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < share * 1_000_000)
+    drawn = stored(drawn, "toxicity_sample")
+    # The labels are drawn first: their few ids go to the texts, not all labelled texts to the labels.
+    side = F.broadcast(drawn) if within(drawn, MAX_REJECTED) else drawn
+    sample = texts.filter("text IS NOT NULL").join(side, "doc_id")
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "text"])
@@ -212,8 +215,9 @@ def raw_scores(documents: DataFrame, distances: Distances) -> DataFrame:
                 "doc_id": batch["doc_id"], "mark": batch["mark"], "raw": np.array(found, dtype=float),
             })
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    return rows.mapInPandas(score, "doc_id long, mark long, raw double")
+    rows = documents.select(id_or_last().alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    scored = rows.mapInPandas(score, "doc_id long, mark long, raw double")
+    return scored.withColumn("doc_id", id_or_null("doc_id"))
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -224,7 +228,7 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.filter(F.col("label").isin(0, 1)).select("doc_id", "label")
     fold = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(3))
     texts = documents.select("doc_id", "text")
-    distances = train_distances(texts.join(known.filter(fold > 0), "doc_id"))
+    distances = train_distances(texts, known.filter(fold > 0))
     if distances is None or not distances.chosen:
         return texts.select("doc_id", F.xxhash64("text").alias("mark"), F.lit(0.0).alias("score"))
     raw = stored(raw_scores(texts, distances), "toxicity_raw")
@@ -240,9 +244,10 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def remove_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents whose toxicity stays below the threshold."""
     rejected = toxicity_scores(documents, labels).filter(F.col("score") >= threshold).select("doc_id", "mark")
-    rejected = stored(rejected.distinct(), "toxic").toDF("_id", "_mark")
+    rejected = stored(rejected.distinct().toDF("_gone_id", "_gone_mark"), "toxic")
     side = F.broadcast(rejected) if within(rejected, MAX_REJECTED) else rejected
-    same = documents["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_mark"))
+    same = documents["doc_id"].cast("long").eqNullSafe(F.col("_gone_id"))
+    same &= F.xxhash64(documents["text"]) == F.col("_gone_mark")
     return documents.join(side, same, "left_anti")
 
 
