@@ -9,7 +9,7 @@
    threshold are candidates. Each document's best candidates are confirmed on the full sets
    first; links already implied by those need no confirmation, all others are confirmed next.
 4. Where a path ends in a node that is still large and has documents outside its largest component, each
-   of those is compared with the whole node, block by block. So no candidate is cut off.
+   of those is compared with the whole node on the full sets, block by block. So no candidate is cut off.
 
 A pair at the threshold meets in a node of depth d of one tree with chance 0.8**d; twelve trees
 miss it with chance 5e-6 at depth 2 and 2e-3 at depth 4, which only large nodes reach. The sketch test
@@ -31,11 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlens.llm.components import connected_components
-from txlens.llm.shared import joined, stored, within
+from txlens.llm.shared import id_or_last, id_or_null, joined, n_rows, seen_as, stored, within
 
 TREES, DEPTH = 12, 4
 NODE = 32
-BLOCK = 256
+BLOCK = 64
 SIMILARITY = 80  # per cent
 MAX_SIDE = 200_000  # broadcast bound, at most 60 bytes a row
 _MEMO = 300_000
@@ -99,7 +99,9 @@ def sketch_documents(documents: DataFrame, shingle_words: int) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], **out})
 
     kinds = "doc_id long, n_shingles long, h1 long, h2 long, tokens array<int>, sketch binary"
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(sketch, kinds)
+    return documents.select(id_or_last().alias("doc_id"), "text").mapInPandas(sketch, kinds).withColumn(
+        "doc_id", id_or_null("doc_id")
+    )
 
 
 def _cut(similarity: int) -> int:
@@ -159,7 +161,7 @@ def _node(level: int) -> Column:
 
 
 def candidates(reps: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame | None]:
-    """Candidate pairs of all trees, and the members (node, id, size, sketch) of large last nodes."""
+    """Candidate pairs of all trees, and the members (node, id) of large last nodes."""
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     active = reps.select("id", "size", "sketch", "tokens", trees.alias("tree"))
     found: list[DataFrame] = []
@@ -179,7 +181,7 @@ def candidates(reps: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame |
         )
         found.append(stored(compare_nodes(members.select("ids", "sizes", "sketches"), similarity).distinct(), "pairs"))
         large = stored(nodes.filter(F.col("n") > NODE), "large_nodes")
-        if large.isEmpty():
+        if not n_rows(large):
             return _union(found), None
         inside = joined(placed, large, ["node"], "inner", MAX_SIDE)
         leader = reps.select(
@@ -190,7 +192,7 @@ def candidates(reps: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame |
         stars = joined(inside.select("node", "id", "size", "sketch"), led, ["node"], "inner", MAX_SIDE)
         found.append(stored(compare_rows(stars, similarity).distinct(), "stars"))
         active = stored(inside.select("id", "size", "sketch", "tokens", "tree", "node"), "active")
-    return _union(found), active.select("node", "id", "size", "sketch")
+    return _union(found), active.select("node", "id")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -222,8 +224,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle_words: int, similarity:
 
 def _cross(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose ends are not yet in one component."""
-    small = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    other = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    small = seen_as(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels)
+    other = seen_as(labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), labels)
     both = joined(joined(pairs, small, ["a"], "left", MAX_SIDE), other, ["b"], "left", MAX_SIDE)
     apart = ~F.coalesce("ca", "a").eqNullSafe(F.coalesce("cb", "b"))
     return both.filter(apart).select(*pairs.columns)
@@ -236,28 +238,65 @@ def _best(pairs: DataFrame) -> DataFrame:
     return ends.select("a", "b").distinct()
 
 
-def leftovers(members: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
-    """Candidates of large last nodes between documents of different components."""
-    side = labels.select(F.col("node").alias("id"), "component")
+def _links(first, second, shingle_words: int, similarity: int, memo: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of two blocks of texts whose full sets reach the threshold."""
+    sets = [[shingle_set(t, shingle_words, memo) for t in block] for block in (first, second)]
+    known, place = np.unique(np.concatenate([x for block in sets for x in block]), return_inverse=True)
+    has = np.zeros((len(first) + len(second), len(known)), dtype=np.float32)
+    owner = np.repeat(np.arange(len(has)), [len(x) for block in sets for x in block])
+    has[owner, place] = 1
+    one, two = has[: len(first)], has[len(first) :]
+    shared = one @ two.T
+    either = one.sum(axis=1)[:, None] + two.sum(axis=1)[None, :] - shared
+    return np.nonzero(100 * shared >= similarity * either)
+
+
+def leftovers(
+    members: DataFrame, labels: DataFrame, documents: DataFrame, shingle_words: int, similarity: int
+) -> DataFrame:
+    """Links between documents of different components in large last nodes, found on the full sets.
+
+    Members of a node's largest component are connected already, so only the others are compared:
+    in blocks, each block of outsiders with each block of the node. A block pair is one row.
+    """
+    side = seen_as(labels.select(F.col("node").alias("id"), "component"), labels)
     placed = joined(members, side, ["id"], "left", MAX_SIDE).withColumn("component", F.coalesce("component", "id"))
     counted = placed.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
     main = counted.groupBy("node").agg(
         F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")
     ).filter(F.col("all") > F.col("top.n"))
-    main = stored(main.select("node", F.col("top.component").alias("main"), "all"), "mixed_nodes")
-    mixed = joined(placed, main, ["node"], "inner", MAX_SIDE)
-    # The node is dealt into blocks; every outsider goes to every block of its node.
-    n_blocks = F.ceil(F.col("all") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("id"), n_blocks).cast("int")
-    blocks = mixed.select("node", block.alias("block"), "id", "size", "sketch")
-    outside = mixed.filter(F.col("component") != F.col("main")).select(
-        "node",
-        F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"),
-        F.col("id").alias("id2"),
-        F.col("size").alias("size2"),
-        F.col("sketch").alias("sketch2"),
+    n_blocks, n_out = F.ceil(F.col("all") / BLOCK), F.ceil((F.col("all") - F.col("top.n")) / BLOCK)
+    main = stored(
+        main.select("node", F.col("top.component").alias("main"), n_blocks.alias("n_blocks"), n_out.alias("n_out")),
+        "mixed_nodes",
     )
-    return compare_rows(blocks.join(outside, ["node", "block"]), similarity).distinct()
+    mixed = stored(joined(placed.select("node", "id", "component"), main, ["node"], "inner", MAX_SIDE), "mixed")
+    mixed = mixed.join(_texts(documents, mixed.select("id").distinct()), "id")
+    place, entry = F.xxhash64("id"), F.struct("id", "text")
+    blocks = mixed.groupBy("node", F.pmod(place, "n_blocks").alias("block")).agg(F.collect_list(entry).alias("docs"))
+    outside = mixed.filter("component != main").groupBy("node", "n_blocks", F.pmod(place, "n_out").alias("out"))
+    outside = outside.agg(F.collect_list(entry).alias("outsiders"))
+    outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+
+    def compare(batches):
+        memo = _Words()
+        for batch in batches:
+            for docs, outsiders in zip(batch["docs"], batch["outsiders"]):
+                texts = [[d["text"] for d in block] for block in (docs, outsiders)]
+                at, out = _links(*texts, shingle_words, similarity, memo)
+                a = np.array([docs[i]["id"] for i in at], dtype=np.int64)
+                b = np.array([outsiders[i]["id"] for i in out], dtype=np.int64)
+                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})[a != b]
+
+    pairs = blocks.join(outside, ["node", "block"]).select("docs", "outsiders")
+    return pairs.mapInPandas(compare, "a long, b long").distinct()
+
+
+def _texts(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents with the given ids."""
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
+    found = joined(texts, stored(ids, "wanted"), ["id"], "left_semi", MAX_SIDE)
+    return stored(found.dropDuplicates(["id"]), "texts")
 
 
 def near_duplicates(documents: DataFrame, shingle_words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
@@ -277,26 +316,19 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 5, similarity: in
     )
     pairs, members = candidates(reps, similarity)
     pairs = stored(pairs.distinct(), "candidates")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = stored(joined(texts, wanted, ["id"], "left_semi", MAX_SIDE).dropDuplicates(["id"]), "texts")
+    texts = _texts(documents, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     links = stored(confirm(_best(pairs), texts, shingle_words, similarity), "links")
     labels = stored(connected_components(links), "labels")
     rest = stored(_cross(pairs, labels), "rest")
     more = stored(confirm(rest, texts, shingle_words, similarity), "links")
-    if not more.isEmpty():
+    if n_rows(more):
         links = links.unionByName(more)
         labels = stored(connected_components(links), "labels")
     if members is not None:
-        rest = stored(_cross(leftovers(members, labels, similarity), labels), "rest")
-        if not rest.isEmpty():
-            wanted = rest.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-            texts = joined(texts, stored(wanted, "wanted"), ["id"], "left_semi", MAX_SIDE).dropDuplicates(["id"])
-            more = confirm(rest, stored(texts, "texts"), shingle_words, similarity)
-            links = links.unionByName(stored(more, "links"))
-            labels = stored(connected_components(links), "labels")
-    linked = labels.select(F.col("node").alias("id"), "component")
+        more = stored(leftovers(members, labels, documents, shingle_words, similarity), "links")
+        if n_rows(more):
+            labels = stored(connected_components(links.unionByName(more)), "labels")
+    linked = seen_as(labels.select(F.col("node").alias("id"), "component"), labels)
     named = joined(classes, linked, ["id"], "left", MAX_SIDE)
     named = named.withColumn("component", F.coalesce("component", "id")).filter("n_rows > 1 or component != id")
     named = stored(named.select(*key, "component"), "named")
@@ -310,9 +342,9 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 5, similarity: in
 def keep_one_of_each(documents: DataFrame, shingle_words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
     gone = near_duplicates(documents, shingle_words, similarity).filter("NOT kept").select("doc_id")
-    gone = stored(gone.distinct(), "near_copies").toDF("_id")
+    gone = stored(gone.distinct().toDF("_gone_id"), "near_copies")
     side = F.broadcast(gone) if within(gone, MAX_SIDE) else gone
-    return documents.join(side, documents["doc_id"].cast("long") == F.col("_id"), "left_anti")
+    return documents.join(side, documents["doc_id"].cast("long") == F.col("_gone_id"), "left_anti")
 
 
 def op10_near_dedup(spark, sf_dir):
