@@ -1,9 +1,10 @@
 """Fuzzy line deduplication: MinHash banding, exact Jaccard check, union-find; DataFrame functions only.
 
-A line's set is its character shingles: ``SHINGLE`` characters from every word start, and from every
-character of scripts written without blanks. Lines are alike if their sets have a Jaccard
-similarity of ``SIMILARITY`` per cent or more; groups are the connected components, and the first
-occurrence (smallest id, then place) of a group stays.
+A line's set is its character shingles: ``SHINGLE`` characters from every word start, from every
+character of scripts written without blanks, and from every place of a word that has ``SHINGLE``
+characters or more left; so every character of a line is in some shingle. Lines are alike if their
+sets have a Jaccard similarity of ``SIMILARITY`` per cent or more; groups are the connected
+components, and the first occurrence (smallest id, then place) of a group stays.
 
 1. Each line gets a 64-bit hash and 16 minwise hashes, which form the rows, columns and diagonals of a
    4 x 4 grid: 12 bands of 4. Lines at the threshold share a band with chance 0.98, at 0.85 with 0.994, at
@@ -41,8 +42,11 @@ MAX_KEYS = 1_000_000  # broadcast bound of 8-byte line hashes
 MAX_REPEATS = 1_000_000  # broadcast bound of removed places, 4 bytes each
 MAX_ROUNDS = 8
 ENDS = " \t\x0b\x0c\r"
-# A shingle starts at a word, or at any letter of the scripts from CJK radicals to Hangul.
-SHINGLES = r"(?s)(?:^|(?<=\s)|(?=[\x{2E80}-\x{D7AF}\x{F900}-\x{FAFF}]))(?=(\S.{0,%d}))" % (SHINGLE - 1)
+# A shingle starts at a word, at any letter of the scripts from CJK radicals to Hangul, or inside a long word.
+SHINGLES = r"(?s)(?:^|(?<=\s)|(?=[\x{2E80}-\x{D7AF}\x{F900}-\x{FAFF}])|(?=\S{%d}))(?=(\S.{0,%d}))" % (
+    SHINGLE,
+    SHINGLE - 1,
+)
 _RANDOM = random.Random(97)
 SALTS = [_RANDOM.getrandbits(64) - 2**63 for _ in range(16)]
 # Rows, columns and diagonals of the grid: no two bands share more than one hash.
