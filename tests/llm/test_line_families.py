@@ -2,7 +2,7 @@
 
 import random
 
-import pytest
+import xxhash
 from helpers import components, table
 
 from txlens.llm import line_dedup
@@ -36,6 +36,14 @@ def plain_repeats(lines):
     return {n for n, c in components(range(len(lines)), links).items() if n != c}
 
 
+def plain_bands(line):
+    """The bands of a line with their four minwise hashes."""
+    hashes = [xxhash.xxh64_intdigest(x, seed=42) for x in plain_set(line)]
+    hashes = [h - 2**64 if h >= 2**63 else h for h in hashes]
+    signature = [min(h ^ salt for h in hashes) >> 32 for salt in line_dedup.SALTS]
+    return {(n, *(signature[i] for i in at)) for n, at in enumerate(line_dedup.BANDS)}
+
+
 def repeats(spark, lines):
     rows = line_dedup.line_dedup(table(spark, list(enumerate(lines)))).filter("n_removed > 0").collect()
     return {r.doc_id for r in rows}
@@ -55,3 +63,36 @@ def test_tails_of_long_words_count(spark):
         "0123456789abcdef0123456789abcdef0123456789abcdef0123456789abcdeX",
     ]
     assert repeats(spark, lines) == plain_repeats(lines) == {9}
+
+
+def test_pairs_inside_a_family_of_templated_lines(spark):
+    """Twins above the similarity among 300 lines that are all just below it."""
+    rnd = random.Random(5)
+    fresh = lambda k: [f"{rnd.randrange(10**8):08d}" for _ in range(k)]
+    common, lines = fresh(40), []
+    for _ in range(150):
+        own = fresh(1)
+        lines += [" ".join(common + own + fresh(5)) for _ in range(2)]
+    assert plain_repeats(lines) == set(range(1, 300, 2))
+    seen = [plain_bands(x) for x in lines]
+    expected = {i + 1 for i in range(0, 300, 2) if seen[i] & seen[i + 1]}
+    assert len(expected) > 100 and repeats(spark, lines) == expected
+
+
+def test_recall_of_edits_anywhere(spark):
+    rnd = random.Random(1)
+    base = [" ".join(f"{rnd.choice(['an', 'er', 'to'])}{rnd.randrange(300)}" for _ in range(rnd.randrange(3, 40))) for _ in range(30)]
+    rows = []
+    for i in range(120):
+        out = []
+        for _ in range(rnd.randrange(0, 7)):
+            w = rnd.choice(base[:1] if rnd.random() < 0.3 else base).split()
+            if rnd.random() < 0.5 and len(w) > 8:
+                w[rnd.randrange(len(w))] = f"z{rnd.randrange(10**6)}"
+            out.append(" ".join(w))
+        rows.append((i, "\n".join(out)))
+    lines = [x for _, t in rows for x in t.split("\n") if x]
+    different = sorted(set(lines))
+    expected = len(lines) - len(different) + len(plain_repeats(different))
+    found = sum(r.n_removed for r in line_dedup.line_dedup(table(spark, rows)).collect())
+    assert 0.97 * expected <= found <= expected

@@ -11,8 +11,9 @@ components, and the first occurrence (smallest id, then place) of a group stays.
    0.9 with 0.999.
 2. Buckets of one band with several lines are kept. Up to ``BUCKET`` lines are all paired; of larger
    ones every line is paired with two leaders.
-3. Pairs are checked on the full sets, and confirmed pairs are merged. While a large bucket holds
-   several groups, one line per group stands for it in the next round of pairs.
+3. Pairs are checked on the full sets, and confirmed pairs are merged. Where a large bucket still has lines
+   outside its largest group, each of those is compared with the whole bucket on the full sets, block by
+   block. So every pair that shares a bucket is compared or connected already.
 4. Repeats are listed per document, and the texts are put together without them.
 
 Equal lines (blanks at the ends aside) are one line from step 1 on, so copies cost nothing later. Two
@@ -40,7 +41,8 @@ BUCKET = 16
 MAX_SIDE = 200_000  # broadcast bound, at most 60 bytes a row
 MAX_KEYS = 1_000_000  # broadcast bound of 8-byte line hashes
 MAX_REPEATS = 1_000_000  # broadcast bound of removed places, 4 bytes each
-MAX_ROUNDS = 8
+BLOCK = 64
+BLOCK_SHINGLES = 100_000  # 800 kB a block, or one line if that is longer
 ENDS = " \t\x0b\x0c\r"
 # A shingle starts at a word, at any letter of the scripts from CJK radicals to Hangul, or inside a long word.
 SHINGLES = r"(?s)(?:^|(?<=\s)|(?=[\x{2E80}-\x{D7AF}\x{F900}-\x{FAFF}])|(?=\S{%d}))(?=(\S.{0,%d}))" % (
@@ -121,13 +123,18 @@ def bucket_pairs(members: DataFrame) -> DataFrame:
     return all_pairs(few).unionByName(star).distinct()
 
 
-def confirm(pairs: DataFrame, documents: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) of line hashes whose full shingle sets reach the similarity."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted_lines")
+def line_sets(wanted: DataFrame, documents: DataFrame) -> DataFrame:
+    """(key, set) of the lines whose hashes are given in the stored frame ``wanted``."""
     lines = joined(lines_of(documents).select("key", "line"), wanted, ["key"], "left_semi", MAX_KEYS)
     # Copies of a line are combined before the shuffle.
     sets = lines.dropDuplicates(["key"])
-    sets = stored(sets.select("key", shingle_hashes(F.col("line")).alias("set")), "line_sets")
+    return stored(sets.select("key", shingle_hashes(F.col("line")).alias("set")), "line_sets")
+
+
+def confirm(pairs: DataFrame, documents: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of line hashes whose full shingle sets reach the similarity."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted_lines")
+    sets = line_sets(wanted, documents)
     left = sets.select(F.col("key").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("key").alias("b"), F.col("set").alias("set_b"))
     sizes = F.size("set_a") + F.size("set_b")
@@ -136,6 +143,64 @@ def confirm(pairs: DataFrame, documents: DataFrame, similarity: int) -> DataFram
     return both.filter(100 * shared >= similarity * (sizes - shared)).select("a", "b")
 
 
+def leftovers(members: DataFrame, groups: DataFrame, documents: DataFrame, similarity: int) -> DataFrame | None:
+    """Links (a, b) between lines of different components in large buckets, found on the full sets.
+
+    None if every large bucket is one component.
+
+    Lines of a bucket's largest component are connected already, so only the others are compared: in
+    blocks, each block of outsiders with each block of the bucket. A block pair is one row.
+    """
+    large = stored(members.groupBy("band").count().filter(F.col("count") > BUCKET).select("band"), "large_buckets")
+    if not n_rows(large):
+        return None
+    inside = joined(members, large, ["band"], "inner", MAX_SIDE)
+    named = seen_as(groups.select(F.col("node").alias("key"), "component"), groups)
+    placed = joined(inside, named, ["key"], "left", MAX_SIDE).withColumn("component", F.coalesce("component", "key"))
+    placed = stored(placed.select("band", "key", "component"), "large_members")
+    counted = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = counted.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+    main = main.filter(F.col("all") > F.col("top.n")).select("band", F.col("top.component").alias("main"))
+    main = stored(main, "mixed_buckets")
+    if not n_rows(main):
+        return None
+    mixed = stored(joined(placed, main, ["band"], "inner", MAX_SIDE), "mixed_members")
+    sets = line_sets(stored(mixed.select("key").distinct(), "wanted_lines"), documents)
+    sized = mixed.join(sets.select("key", F.size("set").alias("n")), "key")
+    sized = sized.withColumn("out", F.col("component") != F.col("main"))
+    # Blocks are limited in lines and in shingles.
+    room = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    room_out = F.greatest(F.count_if("out") / BLOCK, F.sum(F.when(F.col("out"), F.col("n"))) / BLOCK_SHINGLES)
+    rooms = sized.groupBy("band").agg(F.ceil(room).alias("n_blocks"), F.ceil(room_out).alias("n_out"))
+    rooms = stored(rooms, "bucket_blocks")
+    full = joined(mixed, rooms, ["band"], "inner", MAX_SIDE).join(sets, "key")
+    entry = F.struct("key", "component", "set")
+    blocks = full.groupBy("band", F.pmod("key", "n_blocks").alias("block")).agg(F.collect_list(entry).alias("lines"))
+    outside = full.filter("component != main").groupBy("band", "n_blocks", F.pmod("key", "n_out").alias("out"))
+    outside = outside.agg(F.collect_list(entry).alias("outsiders"))
+    outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+
+    def alike(x: Column, y: Column) -> Column:
+        n, m = F.size(x["set"]), F.size(y["set"])
+        shared = F.size(F.array_intersect(x["set"], y["set"]))
+        return (
+            (x["component"] != y["component"])
+            & (100 * F.least(n, m) >= similarity * F.greatest(n, m))
+            & ((100 + similarity) * shared >= similarity * (n + m))
+        )
+
+    def link(x: Column, y: Column) -> Column:
+        return F.struct(F.least(x["key"], y["key"]).alias("a"), F.greatest(x["key"], y["key"]).alias("b"))
+
+    pairs = F.flatten(
+        F.transform(
+            "outsiders",
+            lambda x: F.transform(F.filter("lines", lambda y: alike(x, y)), lambda y: link(x, y)),
+        )
+    )
+    return blocks.join(outside, ["band", "block"]).select(F.inline(pairs)).distinct()
+
+
 def line_groups(documents: DataFrame, occurrences: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(node, component) of every line hash that is like another one's line."""
     rows = band_rows(occurrences)
@@ -145,27 +210,9 @@ def line_groups(documents: DataFrame, occurrences: DataFrame, similarity: int =
     pairs = stored(bucket_pairs(members), "line_pairs")
     links = stored(confirm(pairs, documents, similarity), "line_links")
     groups = stored(connected_components(links), "line_components")
-    tried = pairs
-    large = members.groupBy("band").count().filter(F.col("count") > BUCKET).select("band")
-    large = joined(members, stored(large, "large_buckets"), ["band"], "inner", MAX_SIDE)
-    large = stored(large, "large_members")
-    if not n_rows(large):
-        return groups
-    for _ in range(MAX_ROUNDS):
-        named = seen_as(groups.select(F.col("node").alias("key"), "component"), groups)
-        placed = joined(large, named, ["key"], "left", MAX_SIDE)
-        stand_ins = placed.groupBy("band", F.coalesce("component", "key").alias("component")).agg(
-            F.max("key").alias("key")
-        )
-        fresh = bucket_pairs(stored(stand_ins.select("band", "key"), "stand_ins"))
-        fresh = stored(fresh.join(tried, ["a", "b"], "left_anti"), "line_pairs")
-        if not n_rows(fresh):
-            break
-        more = stored(confirm(fresh, documents, similarity), "line_links")
-        if not n_rows(more):
-            break
-        links, tried = links.unionByName(more), tried.unionByName(fresh)
-        groups = stored(connected_components(links), "line_components")
+    more = leftovers(members, groups, documents, similarity)
+    if more is not None and n_rows(more := stored(more, "line_links")):
+        groups = stored(connected_components(links.unionByName(more)), "line_components")
     return groups
 
 
