@@ -63,11 +63,14 @@ def statistics(text: str | None) -> list[float]:
     text = text or ""
     if not text:
         return [0.0] * len(STATISTICS)
+    data, packer, packed = text.encode(), zlib.compressobj(1), 0
+    for at in range(0, len(data), PIECE):
+        packed += len(packer.compress(data[at : at + PIECE]))
+    packed += len(packer.flush())
     kinds = np.zeros(7)
     for at in range(0, len(text), PIECE):
         codes = np.frombuffer(text[at : at + PIECE].encode("utf-32-le"), dtype=np.uint32)
         kinds += np.bincount(_classes()[np.minimum(codes, 65535)], minlength=7)
-    data = text.encode()
     words, lines, n = data.split(), data.split(b"\n"), len(text)
     n_words = max(1, len(words))
     counted = Counter(words)
@@ -79,7 +82,7 @@ def statistics(text: str | None) -> list[float]:
         len(counted) / n_words, max(counted.values(), default=0) / n_words,
         sum(map(eq, words, words[1:])) / n_words, np.log1p(len(lines)), len(set(lines)) / len(lines),
         sum(line.rstrip().endswith((b".", b"!", b"?", b":")) for line in lines) / len(lines),
-        min(2.0, len(zlib.compress(data[:PIECE], 1)) / min(len(data), PIECE)), marked / n_words,
+        min(2.0, packed / len(data)), marked / n_words,
     ]
 
 
