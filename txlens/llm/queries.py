@@ -5,6 +5,9 @@ from __future__ import annotations
 from txlens.llm import (
     decontamination,
     exact_dedup,
+    filter_audit,
+    fingerprints,
+    hard_negatives,
     language_id,
     line_dedup,
     mixing,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_fingerprints": fingerprints.op13_fingerprints,
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.SQL,
@@ -33,4 +39,6 @@ ORACLES = {
     "op3_filter_urls": url_filter.SQL,
     "op9_mix_sources": mixing.SQL,
     "op10_near_dedup": near_dedup.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
