@@ -47,7 +47,7 @@ class Packed:
         low, high = (int(vectors.min()), int(vectors.max())) if vectors.size else (0, 0)
         self.bias = max(0, -low)
         self.top = high + self.bias
-        self.width = next(w for w in (4, 8, 16, 24) if 2 * reach * self.top < 1 << 8 * w)
+        self.width = next(w for w in (4, 8, 16, 24) if 4 * reach * max(self.top, self.bias) < 1 << 8 * w)
         self.ones = int.from_bytes((b"\1" + bytes(self.width - 1)) * self.n, "little")
         self.columns = [int.from_bytes(self._fields(v), "little") for v in vectors.T]
 
@@ -69,7 +69,7 @@ class Packed:
         if self.width == 4:
             return np.frombuffer(data, "<u4").astype(np.int64) - back
         fields = (data[i : i + self.width] for i in range(0, len(data), self.width))
-        if self.width == 8 and abs(back) < 2**62 and offset < 2**62:
+        if self.width == 8:
             return np.frombuffer(data, "<i8") - back
         return np.array([min(max(int.from_bytes(f, "little") - back, _LEAST), _MOST) for f in fields], np.int64)
 
