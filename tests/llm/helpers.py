@@ -46,3 +46,20 @@ def components(nodes, links):
         a, b = top(a), top(b)
         up[max(a, b)] = min(a, b)
     return {n: top(n) for n in nodes}
+
+
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def plain_set(line):
+    """A line's shingles: nine characters from each place that starts a word, is a letter written without blanks, or has nine left."""
+    out = set()
+    for i, c in enumerate(line):
+        if c in BLANKS:
+            continue
+        starts = i == 0 or line[i - 1] in BLANKS
+        dense = "⺀" <= c <= "힯" or "豈" <= c <= "﫿"
+        long = i + 9 <= len(line) and not any(x in BLANKS for x in line[i : i + 9])
+        if starts or dense or long:
+            out.add(line[i : i + 9])
+    return out

@@ -116,7 +116,7 @@ def test_pipeline_against_brute_force(spark):
             scores = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).collect()}
             assert after == {k: t for k, t in before.items() if scores[k] < 0.7}
         if name == "line dedup":
-            assert sorted(after.items()) == brute_lines(sorted(before.items()))
+            assert after == dict(brute_lines(sorted(before.items())))
         if name == "near dedup":
             groups = brute_near(list(before.items()), 5)[1]
             assert after == {k: t for k, t in before.items() if groups[k] == k}

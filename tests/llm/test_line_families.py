@@ -3,27 +3,10 @@
 import random
 
 import xxhash
-from helpers import components, table
+from helpers import components, plain_set, table
 
 from txlens.llm import line_dedup
 
-BLANKS = " \t\n\x0b\x0c\r"
-
-
-def plain_set(line):
-    """Nine characters from each place that starts a word, is a letter written without blanks, or has nine left."""
-    out = set()
-    for i, c in enumerate(line):
-        if c in BLANKS:
-            continue
-        starts = i == 0 or line[i - 1] in BLANKS
-        dense = "⺀" <= c <= "힯" or "豈" <= c <= "﫿"
-        long = i + 9 <= len(line) and not any(x in BLANKS for x in line[i : i + 9])
-        if starts or dense or long:
-            out.add(line[i : i + 9])
-    return out
-
-
 def plain_repeats(lines):
     """Places of the lines (all different) that are like an earlier one, by comparing all pairs."""
     sets = [plain_set(x) for x in lines]
