@@ -10,6 +10,7 @@ from txlens.functions.names import clean_pincode, normalize_city
 from txlens.operators.ordered import MAX_KEY_ROWS, join_entities, sized_broadcast
 from txlens.operators.spatial import shape_index, spatial_join
 from txlens.sources import lookups
+from txlens.sources.tables import stage
 
 
 def stage_merchants(raw: DataFrame, categories: DataFrame) -> DataFrame:
@@ -158,8 +159,12 @@ def locality_match(
     *,
     max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
-    """Nearest tier that has merchants for each resident, else 'global'."""
+    """Nearest tier that has merchants for each resident, else 'global'.
+
+    The index is stored first: three joins read it, and it must not be counted three times.
+    """
     tiers = _tiers(state)
+    index, _ = stage(index, "locality")
     out = residents.withColumns({f"_{t}": key for t, key in tiers.items()})
     sides = []
     for tier in TIERS:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txlens.session import ensure_checkpoint_dir
+
 ROWS_PER_FILE = 500_000
 
 
@@ -51,20 +55,42 @@ def read_jdbc(
     )
 
 
-def write_table(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
+def observed(df: DataFrame, **figures: Column) -> tuple[DataFrame, Observation]:
+    """The frame with its row count ``n_rows`` and other aggregates taken while it is written."""
+    seen = Observation()
+    named = [value.alias(name) for name, value in figures.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *named), seen
+
+
+def write_table(df: DataFrame, path: str, rows_per_file: int | None = None, **figures: Column) -> dict:
+    """Replace the table; returns its row count and the ``figures`` asked for, without a second scan."""
+    df, seen = observed(df, **figures)
     writer = df.write.mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
+    return {"n_rows": 0, **seen.get}
+
+
+def stage(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """Write a step's rows to the shared checkpoint folder and read them back, with their figures.
+
+    Unlike ``checkpoint`` it computes the rows once and keeps them in columns.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+    seen = write_table(df, path, **figures)
+    return spark.read.schema(df.schema).parquet(path), seen
 
 
-def write_sorted(df: DataFrame, path: str, sort: str) -> None:
+def write_sorted(df: DataFrame, path: str, sort: str, **figures: Column) -> dict:
     """Every file ordered by ``sort``, so its row groups carry narrow ranges.
 
     No global order: that would shuffle the whole table once more and, to find the range
     bounds, compute it twice.
     """
-    write_table(df.sortWithinPartitions(sort), path)
+    return write_table(df.sortWithinPartitions(sort), path, **figures)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
