@@ -6,8 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.cells import cell_parent
+from txlens.functions.hashing import hash_int, hash_uniform
 from txlens.functions.names import clean_pincode, normalize_city
-from txlens.operators.ordered import MAX_KEY_ROWS, join_entities, sized_broadcast
+from txlens.operators.ordered import (
+    MAX_KEY_ROWS,
+    join_entities,
+    join_unique,
+    ordered_columns,
+    sized_broadcast,
+)
 from txlens.operators.spatial import shape_index, spatial_join
 from txlens.sources import lookups
 from txlens.sources.tables import stage
@@ -177,3 +184,64 @@ def locality_match(
         *[F.when(F.col(f"{t}_merchants") > 0, F.lit(t)) for t in TIERS], F.lit("global")
     )
     return out.withColumn("match_tier", best).drop(*[f"_{t}" for t in TIERS])
+
+
+# How often a merchant is drawn from each tier; the rest is drawn from all merchants.
+TIER_SHARES = {"cell6": 0.80, "cell4": 0.15, "state": 0.03}
+EVERYWHERE = "global"
+
+
+def locality_places(
+    merchants: DataFrame, merchant: str = "osm_id", state: str = "state", *, max_key_rows: int = MAX_KEY_ROWS
+) -> DataFrame:
+    """(tier, key, place, merchant): every merchant's place from 0 on in each of its localities and in the whole.
+
+    Places are running counts, cut into slices for a locality (the whole, above all) with very many merchants;
+    no list of members is built.
+    """
+    keys = {**_tiers(state), EVERYWHERE: F.lit("")}
+    pairs = F.array(*[F.struct(F.lit(t).alias("tier"), k.alias("key")) for t, k in keys.items()])
+    rows = merchants.select(F.col(merchant).alias("merchant"), F.inline(pairs)).filter(F.col("key").isNotNull())
+    placed = ordered_columns(
+        rows, ["tier", "key"], ["merchant"], running={"place": ("sum", F.lit(1))}, max_key_rows=max_key_rows
+    )
+    return placed.withColumn("place", F.col("place") - 1)
+
+
+def draw_merchant(
+    residents: DataFrame,
+    places: DataFrame,
+    key: str = "osm_id",
+    state: str = "state",
+    seed: str = "draw",
+    *,
+    max_key_rows: int = MAX_KEY_ROWS,
+) -> DataFrame:
+    """Adds drawn_tier, tier and merchant: a merchant from the resident's drawn tier, or from all if that is empty.
+
+    The place drawn is a hash modulo the number of merchants there, looked up by equality.
+    """
+    u = hash_uniform(F.col(key), f"{seed}-tier")
+    tier, local, upto = F.lit(EVERYWHERE), F.lit(""), sum(TIER_SHARES.values())
+    for name in reversed(TIER_SHARES):
+        tier = F.when(u < upto, F.lit(name)).otherwise(tier)
+        local = F.when(u < upto, _tiers(state)[name]).otherwise(local)
+        upto = round(upto - TIER_SHARES[name], 6)
+    drawn = residents.withColumns({"drawn_tier": tier, "_tier": tier, "_key": local})
+    places, _ = stage(places, "places")
+    sizes, _ = stage(places.groupBy("tier", "key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    named = {"tier": "_tier", "key": "_key", "n": "_n"}
+    drawn = join_unique(drawn, sizes.withColumnsRenamed(named), ["_tier", "_key"], max_key_rows=max_key_rows)
+    every = sizes.filter(F.col("tier") == EVERYWHERE).select(F.lit(1).alias("_one"), F.col("n").alias("_every"))
+    drawn = drawn.withColumn("_one", F.lit(1)).join(F.broadcast(every), "_one", "left")  # one row
+    empty = F.col("_n").isNull()
+    drawn = drawn.withColumns(
+        {
+            "_tier": F.when(empty, EVERYWHERE).otherwise(F.col("_tier")),
+            "_key": F.when(empty, "").otherwise(F.col("_key")),
+            "_place": hash_int(F.col(key), f"{seed}-place") % F.coalesce("_n", "_every"),
+        }
+    )
+    side = places.withColumnsRenamed({"tier": "_tier", "key": "_key", "place": "_place"})
+    out = join_unique(drawn, side, ["_tier", "_key", "_place"], max_key_rows=max_key_rows)
+    return out.withColumnRenamed("_tier", "tier").drop("_key", "_place", "_n", "_one", "_every")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from txlens.functions.names import title_words
+from txlens.operators.ordered import MAX_KEY_ROWS, ordered_columns
 from txlens.sources import lookups
 
 # Tag values that make a node a merchant or a bank.
@@ -118,6 +120,41 @@ def report_order(counts: DataFrame) -> DataFrame:
     return counts.orderBy("state", F.desc("nodes"), "city")
 
 
+_HEADER, _LINE = "State: ", r"^- (.*): ([0-9]+)$"
+
+
+def write_report(counts: DataFrame, path: str) -> None:
+    """The counts as text, in report order: a heading for each state, then a line for each city."""
+    rank = Window.partitionBy("state").orderBy(F.desc("nodes"), "city")
+    first = report_order(counts.withColumn("_first", F.row_number().over(rank) == 1))
+    heading = F.when(F.col("_first"), F.concat(F.lit(_HEADER), "state"))
+    line = F.concat(F.lit("- "), "city", F.lit(": "), F.col("nodes").cast("string"))
+    first.select(F.explode(F.array_compact(F.array(heading, line))).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_report(spark: SparkSession, path: str, *, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+    """(state, city, nodes) of a report: a line belongs to the last heading before it.
+
+    Lines are ordered by file, by the file's split and within it, so a heading is carried over splits and files;
+    long reports are cut into slices, each of which takes the last heading of the slices before.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    heading = F.when(F.startswith("value", F.lit(_HEADER)), F.substr("value", F.lit(len(_HEADER) + 1)))
+    carried = ordered_columns(
+        lines, [], ["_file", "_start", "_at"], running={"state": ("last", heading)}, max_key_rows=max_key_rows
+    )
+    return carried.filter(F.rlike("value", F.lit(_LINE))).select(
+        "state",
+        F.regexp_extract("value", _LINE, 1).alias("city"),
+        F.regexp_extract("value", _LINE, 2).cast("bigint").alias("nodes"),
+    )
+
+
 def normalize_state(df: DataFrame, column: str, into: str) -> DataFrame:
     """Canonical state name: alias table first, otherwise title words.
 

@@ -28,10 +28,16 @@ from txlens.session import ensure_checkpoint_dir
 
 MAX_KEY_ROWS = 5_000_000
 MAX_BROADCAST_ROWS = 500_000
+MAX_SINGLE_ROWS = 250_000  # without a key a window is one task for the whole table
 
 _SLICE, _POS = "_slice", "_pos"
 _SALTS = 4096
-_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+_MERGE = {
+    "sum": F.sum,
+    "min": F.min,
+    "max": F.max,
+    "last": lambda value: F.last(value, ignorenulls=True),
+}
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -157,7 +163,7 @@ def _running_over_slices(
     running: dict[str, tuple[str, Column]],
     n_totals: int,
 ) -> DataFrame:
-    """Running sum/min/max inside each slice, combined with the totals of earlier slices."""
+    """Running values inside each slice, combined with the totals of earlier slices."""
     local = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -165,8 +171,13 @@ def _running_over_slices(
         Window.unboundedPreceding, -1
     )
     # One total per (key, slice): at most (number of slices + number of hot keys) rows.
+    def total(how: str, value: Column) -> Column:
+        if how != "last":
+            return _MERGE[how](value)
+        return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
+
     totals = parts.groupBy(*keys, _SLICE).agg(
-        *[_MERGE[how](value).alias(f"_t_{name}") for name, (how, value) in running.items()]
+        *[total(how, value).alias(f"_t_{name}") for name, (how, value) in running.items()]
     )
     before = totals.select(
         *keys,
@@ -187,6 +198,7 @@ def _running_over_slices(
         "sum": lambda a, b: F.coalesce(a + b, a, b),
         "min": lambda a, b: F.least(a, b),
         "max": lambda a, b: F.greatest(a, b),
+        "last": lambda a, b: F.coalesce(a, b),
     }
     out = out.withColumns(
         {
@@ -296,9 +308,13 @@ def ordered_columns(
 
     lags     name -> (column, k): the value k rows back
     whole    name -> aggregate over all rows of the key
-    running  name -> ("sum" | "min" | "max", value): up to and including this row;
-             the value may use columns added by ``lags`` and ``whole``
+    running  name -> ("sum" | "min" | "max" | "last", value): up to and including this row, "last"
+             carries the latest value that is not null; the value may use columns added by ``lags``
+             and ``whole``
+
+    Without keys the table is one order; it is cut into slices from ``MAX_SINGLE_ROWS`` rows on.
     """
+    max_key_rows = max_key_rows if keys else min(max_key_rows, MAX_SINGLE_ROWS)
     if whole and not keys:
         raise ValueError("whole-key aggregates need a key; aggregate the table instead")
     spec = {"lags": lags, "running": running, "whole": whole}

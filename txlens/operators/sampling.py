@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 from txlens.functions.hashing import hash_int, hash_uniform
 from txlens.functions.timeparts import epoch_millis
+from txlens.operators.ordered import MAX_KEY_ROWS, join_null_safe, ordered_columns, sized_broadcast
+from txlens.sources.tables import stage
 
 # Noise rates of the fraud rules.
 FALSE_POSITIVE_RATE = 0.005
@@ -24,6 +26,41 @@ def strat_split(
     return rows.withColumn("split", F.when(in_test, "test").otherwise("train"))
 
 
+def exact_split(
+    rows: DataFrame,
+    label: str = "is_fraud",
+    key: str = "transaction_id",
+    test_share: float = 0.2,
+    seed: str = "42",
+    *,
+    max_key_rows: int = MAX_KEY_ROWS,
+) -> DataFrame:
+    """'test' or 'train' per row, with ``test_share`` of every label to one row; a null label is one too.
+
+    Of each label the rows with the smallest hashes are the test set. A histogram of hash
+    prefixes (at most 65 536 a label) says in which prefix the cut lies; all other rows are settled by
+    their prefix, and only those of the cut's prefix are put in order. The table is never sorted.
+    """
+    hashed = rows.withColumn("_h", F.coalesce(hash_int(F.col(key), seed), F.lit(0).cast("bigint")))
+    bucket = F.shiftright("_h", 16)
+    order = Window.partitionBy(label).orderBy("_bucket")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(label)
+    counts = hashed.groupBy(label, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumns({"_upto": F.sum("_n").over(so_far), "_all": F.sum("_n").over(whole)})
+    counts = counts.withColumn("_rest", F.floor(F.col("_all") * test_share + 0.5) - F.col("_upto") + F.col("_n"))
+    cuts = counts.filter((F.col("_rest") > 0) & (F.col("_rest") <= F.col("_n")))
+    cuts, _ = stage(cuts.select(label, F.col("_bucket").alias("_cut"), "_rest"), "cuts")
+    placed = join_null_safe(hashed, sized_broadcast(cuts), [label], "left")
+    at = F.coalesce(F.col("_cut"), F.lit(-1))  # without a cut the label has no test rows
+    settled = placed.filter(bucket != at).withColumn("split", F.when(bucket < at, "test").otherwise("train"))
+    near = ordered_columns(
+        placed.filter(bucket == at), [label], ["_h", key], running={"_p": ("sum", F.lit(1))}, max_key_rows=max_key_rows
+    )
+    near = near.withColumn("split", F.when(F.col("_p") <= F.col("_rest"), "test").otherwise("train")).drop("_p")
+    return settled.unionByName(near).drop("_h", "_cut", "_rest")
+
+
 def oot_split(rows: DataFrame, train_share: float = 0.75, ts: str = "timestamp") -> DataFrame:
     """Out-of-time split: the last part of the time span is the test set."""
     ms = epoch_millis(F.col(ts))

@@ -28,7 +28,8 @@ from txlens.operators import (
 )
 from txlens.session import use_utc
 from txlens.sources import fixtures as fx
-from txlens.sources import lookups
+from txlens.sources import landing, lookups
+from txlens.sources.tables import scratch
 from txlens.streaming import codec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,8 @@ BIN_EDGES = [5.0, 20.0, 60.0, 150.0]
 BIN_NAMES = ["micro", "low", "medium", "high", "very_high"]
 SUSPICIOUS_RATE = 0.06
 WIDE_SECONDS = 6 * 3600
+PERIOD = ("2024-01-09 18:30:00", "2024-01-12 06:00:00")
+QUANTILES = {"median": 0.5, "p75": 0.75, "p95": 0.95}
 FRAUD_MIX = {
     "upi_scam": 0.35,
     "account_takeover": 0.25,
@@ -136,6 +139,18 @@ def _mart_merchants(spark, d):
     return marts.mart_merchants(_staged_merchants(spark, d), _layers(spark, d))
 
 
+def _report(spark, d, **options):
+    path = scratch(spark, "report")
+    nodes.write_report(nodes.city_state_counts(fx.map_nodes(spark, d)), path)
+    return nodes.read_report(spark, path, **options)
+
+
+def _drawn(spark, d, **options):
+    residents = nodes.residential_nodes(_classified(spark, d)).select("osm_id", "h3_index", "state")
+    places = marts.locality_places(_staged_merchants(spark, d), **options)
+    return marts.draw_merchant(residents, places, **options).drop("h3_index", "state")
+
+
 def _millis(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: epoch_millis(F.col(c)) for c in columns})
 
@@ -184,6 +199,33 @@ def parse_timestamps(spark, d):
     return parsed.select("event_id", epoch_millis(F.col("timestamp")).alias("ts_ms"))
 
 
+# --- landing ------------------------------------------------------------------------
+
+
+@query
+def landing_period(spark, d):
+    """A period of a landing table written by day and read back."""
+    path = scratch(spark, "landing")
+    landing.write_by_day(fx.payments(spark, d), path)
+    kept = landing.read_landing(spark, path, *PERIOD)
+    return _millis(kept.select("transaction_id", "customer_id", "amount", "timestamp"), "timestamp")
+
+
+@query
+def landing_in_parts(spark, d):
+    """Three loads, the second twice; the third corrects some payments of the first, a day later."""
+    path = scratch(spark, "landing")
+    tx = fx.payments(spark, d).select("transaction_id", "customer_id", "amount", "timestamp")
+    first, second, third = (tx.filter(F.col("transaction_id") % 3 == n) for n in range(3))
+    later = F.col("timestamp") + F.expr("INTERVAL 1 DAY")
+    corrected = first.filter(F.col("transaction_id") % 30 == 0).withColumns(
+        {"amount": F.col("amount") + 1, "timestamp": later}
+    )
+    for part in (first, second, second, third.unionByName(corrected)):
+        landing.upsert(spark, path, part, "transaction_id")
+    return _millis(landing.read_landing(spark, path), "timestamp")
+
+
 # --- customer, sequence, campaign ----------------------------------------------------
 
 
@@ -354,6 +396,12 @@ def city_state_clean(spark, d):
     return nodes.city_state_clean(nodes.city_state_counts(fx.map_nodes(spark, d)))
 
 
+@query
+def city_state_report(spark, d):
+    """The counts written as a text report and read back, headings carried to their lines."""
+    return _report(spark, d)
+
+
 @query
 def state_districts(spark, d):
     return nodes.state_districts(fx.map_relations(spark, d))
@@ -398,6 +446,11 @@ def locality_match(spark, d):
     return marts.locality_match(residents, index).drop("h3_index", "state")
 
 
+@query
+def merchant_draw(spark, d):
+    return _drawn(spark, d)
+
+
 @query
 def location_type(spark, d):
     city = F.trim(F.col("tags")["addr:city"])
@@ -465,6 +518,11 @@ def strat_split(spark, d):
     return sampling.strat_split(fx.payments(spark, d)).select("transaction_id", "is_fraud", "split")
 
 
+@query
+def strat_split_exact(spark, d):
+    return sampling.exact_split(fx.payments(spark, d)).select("transaction_id", "is_fraud", "split")
+
+
 @query
 def oot_split(spark, d):
     return sampling.oot_split(fx.payments(spark, d)).select("transaction_id", "split")
@@ -510,6 +568,18 @@ def amount_profile(spark, d):
     return evaluation.amount_profile(fx.payments(spark, d))
 
 
+@query
+def amount_sketches(spark, d):
+    """Sketches per label and day, merged per label: whether the true ranks keep the stated error."""
+    tx = fx.payments(spark, d).withColumn("day", F.to_date("timestamp"))
+    daily = evaluation.amount_sketches(tx, ["is_fraud", "day"])
+    found = evaluation.sketch_quantiles(evaluation.merge_sketches(daily, ["is_fraud"]), QUANTILES)
+    off = evaluation.rank_errors(tx, found, "is_fraud", QUANTILES).withColumnsRenamed({n: f"{n}_off" for n in QUANTILES})
+    allowed = evaluation.SKETCH_ERROR + 1 / F.col("payments")
+    fits = [(F.col(f"{n}_off") <= allowed).cast("int").alias(f"{n}_fits") for n in QUANTILES]
+    return found.join(off, "is_fraud").select("is_fraud", "payments", *fits)
+
+
 @query
 def amount_bins(spark, d):
     rows = fx.payments(spark, d).select("transaction_id", "amount")
@@ -750,6 +820,11 @@ _sliced_forms = {
     "stream_zscore": lambda s, d: replay.stream_zscore(fx.payments(s, d), max_key_rows=FEW),
     "stream_card_features": lambda s, d: replay.stream_card_features(fx.payments(s, d), max_key_rows=FEW),
     "stream_burst": lambda s, d: replay.stream_burst(fx.payments(s, d), max_key_rows=FEW),
+    "strat_split_exact": lambda s, d: sampling.exact_split(fx.payments(s, d), max_key_rows=1).select(
+        "transaction_id", "is_fraud", "split"
+    ),
+    "city_state_report": lambda s, d: _report(s, d, max_key_rows=7),
+    "merchant_draw": lambda s, d: _drawn(s, d, max_key_rows=50),
     "locality_match": lambda s, d: marts.locality_match(
         nodes.residential_nodes(_classified(s, d)).select("osm_id", "h3_index", "state"),
         marts.locality_index(_staged_merchants(s, d)),

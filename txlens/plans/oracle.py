@@ -12,6 +12,7 @@ from txlens.plans.catalog import (
     BIN_NAMES,
     FRAUD_MIX,
     METRO,
+    PERIOD,
     SUSPICIOUS_RATE,
     WIDE_SECONDS,
     SLICED,
@@ -356,6 +357,7 @@ oracle(
     FROM counts GROUP BY state""",
     NODES, COUNTS,
 )
+oracle("city_state_report", "SELECT * FROM counts", NODES, COUNTS)
 oracle("city_state_clean", "SELECT * FROM clean", NODES, COUNTS, ALIASES, CLEAN)
 DISTRICTS = f"""level5 AS ({fx.sql_for_oracle(fx.DISTRICT_RELATIONS)}),
 by_tags AS (SELECT DISTINCT coalesce(is_in_state, addr_state,
@@ -521,6 +523,23 @@ oracle(
     settle=LATLON,
 )
 
+# --- landing ------------------------------------------------------------------------------
+
+oracle(
+    "landing_period",
+    f"""SELECT transaction_id, customer_id, amount, epoch_us(tx_ts) // 1000 AS "timestamp" FROM tx
+    WHERE tx_ts >= TIMESTAMP '{PERIOD[0]}' AND tx_ts < TIMESTAMP '{PERIOD[1]}'""",
+    TX,
+    settle=("amount",),
+)
+oracle(
+    "landing_in_parts",
+    """SELECT transaction_id, customer_id, CASE WHEN transaction_id % 30 = 0 THEN amount + 1 ELSE amount END AS amount,
+    epoch_us(CASE WHEN transaction_id % 30 = 0 THEN tx_ts + INTERVAL 1 DAY ELSE tx_ts END) // 1000 AS "timestamp" FROM tx""",
+    TX,
+    settle=("amount",),
+)
+
 # --- evaluation ---------------------------------------------------------------------------
 
 
@@ -538,6 +557,42 @@ oracle(
     THEN 'test' ELSE 'train' END AS split FROM tx""",
     TX,
 )
+oracle(
+    "strat_split_exact",
+    f"""SELECT transaction_id, is_fraud, CASE WHEN row_number() OVER (PARTITION BY is_fraud
+      ORDER BY {_hash('transaction_id', '42')}, transaction_id)
+      <= floor(count(*) OVER (PARTITION BY is_fraud) * 0.2E0 + 0.5E0) THEN 'test' ELSE 'train' END AS split FROM tx""",
+    TX,
+)
+oracle(
+    "amount_sketches",
+    """SELECT is_fraud, count(*) AS payments, 1 AS median_fits, 1 AS p75_fits, 1 AS p95_fits
+    FROM tx WHERE amount IS NOT NULL GROUP BY is_fraud""",
+    TX,
+)
+oracle(
+    "merchant_draw",
+    f"""SELECT r.osm_id, drawn_tier, p.tier, merchant FROM (
+      SELECT *, CASE WHEN drawn_n IS NULL THEN 'global' ELSE drawn_tier END AS used_tier,
+        CASE WHEN drawn_n IS NULL THEN '' ELSE drawn_key END AS used_key,
+        {_hash('osm_id', 'draw-place')} % coalesce(drawn_n, (SELECT n FROM sizes WHERE tier = 'global')) AS used_place
+      FROM drawn LEFT JOIN (SELECT tier, "key", n AS drawn_n FROM sizes) z
+      ON z.tier = drawn_tier AND z."key" = drawn_key) r
+    LEFT JOIN places p ON p.tier = used_tier AND p."key" = used_key AND p.place = used_place""",
+    NODES, VALID, CATEGORIES, STAGED, INDEX,
+    f"""places AS (SELECT tier, "key", osm_id AS merchant,
+      row_number() OVER (PARTITION BY tier, "key" ORDER BY osm_id) - 1 AS place FROM (
+      SELECT 'cell6' AS tier, {_parent('bits', 6)} AS "key", osm_id FROM cells
+      UNION ALL SELECT 'cell4', {_parent('bits', 4)}, osm_id FROM cells
+      UNION ALL SELECT 'state', state, osm_id FROM cells
+      UNION ALL SELECT 'global', '', osm_id FROM cells) u WHERE "key" IS NOT NULL)""",
+    "sizes AS (SELECT tier, \"key\", count(*) AS n FROM places GROUP BY 1, 2)",
+    f"""drawn AS (SELECT osm_id, drawn_tier, CASE drawn_tier WHEN 'cell6' THEN {_parent('bits', 6)}
+      WHEN 'cell4' THEN {_parent('bits', 4)} WHEN 'state' THEN state ELSE '' END AS drawn_key
+      FROM (SELECT *, CASE WHEN u < 0.80E0 THEN 'cell6' WHEN u < 0.95E0 THEN 'cell4' WHEN u < 0.98E0 THEN 'state'
+        ELSE 'global' END AS drawn_tier
+        FROM (SELECT *, ('0x' || h3_index)::BIGINT AS bits, {_uniform('osm_id', 'draw-tier')} AS u FROM homes) h) g)""",
+)
 oracle(
     "oot_split",
     """SELECT transaction_id, CASE WHEN (epoch_us(tx_ts) // 1000) < (SELECT min((epoch_us(tx_ts) // 1000))

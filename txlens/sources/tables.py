@@ -72,16 +72,20 @@ def write_table(df: DataFrame, path: str, rows_per_file: int | None = None, **fi
     return {"n_rows": 0, **seen.get}
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
     """Write a step's rows to the shared checkpoint folder and read them back, with their figures.
 
     Unlike ``checkpoint`` it computes the rows once and keeps them in columns.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     seen = write_table(df, path, **figures)
-    return spark.read.schema(df.schema).parquet(path), seen
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen
 
 
 def write_sorted(df: DataFrame, path: str, sort: str, **figures: Column) -> dict:
