@@ -56,6 +56,24 @@ def test_medallion(warehouse):
     assert frauds.count() == warehouse.read("bronze", "transactions").filter("is_fraud").count()
 
 
+def test_further_payments_replace_by_id(warehouse):
+    """A later file with corrected and new payments, loaded twice."""
+    run(warehouse, "ingest")
+    raw = warehouse.raw("transactions")
+    n = raw.count()
+    some = raw.limit(30)
+    fresh = raw.limit(7).withColumn("transaction_id", F.concat(F.lit("new-"), "transaction_id"))
+    lost = raw.limit(2).withColumn("transaction_id", F.lit(None).cast("string"))
+    more = some.withColumn("amount", F.lit(-5.0)).unionByName(fresh).unionByName(lost)
+    write_table(more, f"{warehouse.raw_root}/transactions_more.parquet")
+    for _ in range(2):
+        run(warehouse, "ingest-more")
+        landed = warehouse.read("bronze", "transactions")
+        assert landed.count() == n + 7 and landed.filter("amount = -5").count() == 30
+    run(warehouse, "ingest")
+    assert warehouse.read("bronze", "transactions").count() == n
+
+
 def test_geography(warehouse):
     run(
         warehouse, "extract-nodes", "map-city-state", "normalize-states", "parse-districts",

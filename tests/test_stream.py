@@ -1,6 +1,7 @@
 """The stateful stream equals its batch twins, also after a restart and a warm start."""
 
 import tempfile
+from datetime import timedelta
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from txlens.operators import model, projection, replay, sampling
 from txlens.plans import catalog
 from txlens.sources import fixtures as fx
+from txlens.sources.tables import delete_folder, read_newest, write_version
 from txlens.streaming import codec, score, seed, state
 
 SMALL = "/root/testdata/sf0.001"
@@ -120,6 +122,63 @@ def test_bursts_within_a_minute(spark):
     assert [r.rapid_fire_transaction_flag for r in live] == [0, 0, 0, 1, 1, 1, 0]
 
 
+def test_late_payments_do_not_move_a_card_back(spark):
+    """Two runs: the second brings a payment older than the card's latest one, and one after it."""
+    tx = card_payments(spark, [0, 100, 90, 110])
+    folder = tempfile.mkdtemp(prefix="run-")
+    for run, ids in (("a", [0, 1]), ("b", [2, 3])):
+        messages = codec.encode_events(tx.filter(F.col("transaction_id").isin(ids)))
+        codec.publish_files(messages.coalesce(1), f"{folder}/in", run)
+        live = consume(spark, folder)
+    rows = live.orderBy(F.col("transaction_id").cast("int")).collect()
+    assert [r.late_flag for r in rows] == [0, 0, 1, 0]
+    assert [r.time_since_last_transaction for r in rows] == [0, 100, 0, 10]
+    assert [r.transaction_sequence_number for r in rows] == [1, 2, 3, 4]
+    assert [r.burst_count for r in rows] == [1, 1, 1, 3]  # 90, 100 and 110 are in one minute
+    assert [r.escalating_amounts_flag for r in rows] == [0, 1, 0, 1]
+    assert rows[3].history == ["3", "1", "0"]
+
+
+def test_idle_cards_are_forgotten(spark):
+    """Card c2 moves the watermark on by 40 days; by then c1, unused for longer than 30, has no state."""
+    day = 86_400
+    tx = card_payments(spark, [0, day, 40 * day, 41 * day, 41 * day + 60]).withColumns(
+        {
+            "card_id": F.when(F.col("transaction_id") == 2, "k2").otherwise("k"),
+            "customer_id": F.when(F.col("transaction_id") == 2, "c2").otherwise("c"),
+        }
+    )
+    seen = {}
+    for name, idle in (("kept", None), ("forgotten", timedelta(days=30))):
+        folder = tempfile.mkdtemp(prefix="run-")
+        for n in range(5):
+            one = codec.encode_events(tx.filter(F.col("transaction_id") == n))
+            codec.publish_files(one.coalesce(1), f"{folder}/in", f"run{n}")
+            good, _ = codec.split_quarantine(codec.decode_events(codec.read_files(spark, f"{folder}/in")))
+            features = state.live_features(good, idle=idle)
+            score.start_scoring(features, f"{folder}/out", f"{folder}/ckpt", None, True).awaitTermination()
+        out = spark.read.parquet(f"{folder}/out").orderBy("timestamp").collect()
+        seen[name] = [(r.transaction_sequence_number, len(r.history)) for r in out]
+    assert seen["kept"] == [(1, 1), (2, 2), (1, 1), (3, 3), (4, 4)]
+    assert seen["forgotten"] == [(1, 1), (2, 2), (1, 1), (1, 1), (2, 2)]
+
+
+def test_lookup_follows_its_table(spark):
+    """A batch sees the newest finished version of the customer table, not the one at the start."""
+    folder = tempfile.mkdtemp(prefix="run-")
+    batch = spark.createDataFrame([("c",)], "customer_id string")
+    write = score.batch_writer(f"{folder}/out", None, lambda: read_newest(spark, f"{folder}/agg"))
+    for n, ratio in enumerate((0.25, 0.5)):
+        table = spark.createDataFrame([("c", ratio)], "customer_id string, night_ratio double")
+        assert write_version(table, f"{folder}/agg") == n + 1
+        write(batch, n)
+    table.write.parquet(f"{folder}/agg/version=3")
+    delete_folder(spark, f"{folder}/agg/version=3/_SUCCESS")  # a version that is not finished
+    write(batch, 2)
+    found = spark.read.parquet(f"{folder}/out").orderBy("batch_id").collect()
+    assert [r.cf_night_tx_ratio for r in found] == [0.25, 0.5, 0.5]
+
+
 def test_damaged_messages_are_kept_apart(spark, tx):
     messages = codec.encode_events(tx.limit(5)).select("value")
     partly = [

@@ -30,13 +30,14 @@ from txlens.operators import (
     sequence,
 )
 from txlens.session import build_session
-from txlens.sources import lookups, schema
+from txlens.sources import landing, lookups, schema
 from txlens.sources.tables import (
     ROWS_PER_FILE,
+    read_newest,
     read_table,
     write_csv,
-    write_sorted,
     write_table,
+    write_version,
 )
 from txlens.streaming import codec, score, seed, state
 
@@ -57,16 +58,21 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(layer, name))
+        return read_table(self.spark, self.path(layer, name)).drop(landing.DAY)
+
+    def payments(self, since: str | None = None, until: str | None = None) -> DataFrame:
+        """Landed payments of a period; only its days are read."""
+        return landing.read_landing(self.spark, self.path("bronze", "transactions"), since, until)
 
 
 # --- bronze, silver, gold -----------------------------------------------------------------
 
 
 def ingest(w: Warehouse) -> None:
-    """Typed landing tables; files of payments are ordered by time."""
+    """Typed landing tables; payments lie in a folder for each day."""
     tx = projection.bronze_transactions(w.raw("transactions", schema.TRANSACTIONS))
-    write_sorted(tx, w.path("bronze", "transactions"), "timestamp")
+    undated = F.count_if(F.col("timestamp").isNull())
+    landed = landing.write_by_day(tx, w.path("bronze", "transactions"), undated=undated)
     metadata = w.raw("fraud_metadata", schema.FRAUD_METADATA)
     write_table(metadata, w.path("bronze", "fraud_metadata"))
     people = cards.registration_parts(w.raw("customers", schema.CUSTOMERS))
@@ -77,9 +83,14 @@ def ingest(w: Warehouse) -> None:
     dates = ["issue_date", "activation_date", "expiry_date"]
     held = w.raw("cards", schema.CARDS).withColumns({c: F.col(c).cast("date") for c in dates})
     write_table(held, w.path("bronze", "cards"))
-    landed = w.read("bronze", "transactions")
-    figures = landed.agg(F.count(F.lit(1)), F.count_if(F.col("timestamp").isNull())).first()
-    print(f"payments landed: {figures[0]}, of which without a readable time: {figures[1]}")
+    print(f"payments landed: {landed['n_rows']}, of which without a readable time: {landed.get('undated', 0)}")
+
+
+def ingest_more(w: Warehouse) -> None:
+    """Bring further payments into the landing table by id; a repeated run changes nothing."""
+    tx = projection.bronze_transactions(w.raw("transactions_more", schema.TRANSACTIONS))
+    figures = landing.upsert(w.spark, w.path("bronze", "transactions"), tx, "transaction_id")
+    print(f"days written: {figures['days']}, payments without an id left out: {figures['without_key']}")
 
 
 def silver_customer(w: Warehouse) -> None:
@@ -149,7 +160,8 @@ def gold_master(w: Warehouse) -> None:
         w.read("silver", "customer_features"),
         w.read("silver", "merchant_features"),
     )
-    write_sorted(out, w.path("gold", "transactions"), "timestamp")
+    landed = landing.write_by_day(out, w.path("gold", "transactions"))
+    print(f"gold payments: {landed['n_rows']}")
 
 
 def gold_full(w: Warehouse) -> None:
@@ -287,9 +299,7 @@ def attribution(w: Warehouse) -> None:
 
 def publish(w: Warehouse) -> None:
     """Unlabelled events from ``since`` on as JSON lines, and their true labels on the side."""
-    tx = w.read("bronze", "transactions")
-    if w.since:
-        tx = tx.filter(F.col("timestamp") >= F.lit(w.since).cast("timestamp"))
+    tx = w.payments(since=w.since)
     messages = codec.encode_events(projection.unlabeled_projection(tx))
     if w.kafka:
         codec.publish_kafka(messages, w.kafka)
@@ -302,35 +312,48 @@ def score_live(w: Warehouse) -> None:
     """Score what has arrived.
 
     The state starts from the payments before ``since``, never from those that are published;
-    without ``since`` it starts empty. Files are read once, a message topic continuously.
+    without ``since`` it starts empty. Files are read once, a message topic continuously. The customers' shown
+    aggregates are those of the payments before ``since``, in a versioned table that is read anew for
+    every micro-batch: a newer version shows in the next one.
     """
-    warm = None
-    if w.since:
-        before = F.col("timestamp") < F.lit(w.since).cast("timestamp")
-        warm = seed.warm_start(w.read("bronze", "transactions").filter(before))
+    warm = seed.warm_start(w.payments(until=w.since)) if w.since else None
     messages = (
         codec.read_kafka(w.spark, w.kafka) if w.kafka else codec.read_files(w.spark, w.path("live", "events"))
     )
     good, bad = codec.split_quarantine(codec.decode_events(messages))
     features = state.live_features(good, warm)
-    # Stored once: the stream joins a small table instead of recomputing it per micro-batch.
-    write_table(replay.customer_agg_seed(w.read("gold", "transactions")), w.path("live", "customer_agg"))
-    features = score.with_customer_aggregates(features, w.read("live", "customer_agg"))
+    gold_path, aggregates = w.path("gold", "transactions"), w.path("live", "customer_agg")
+    known = landing.read_landing(w.spark, gold_path, until=w.since)
+    write_version(replay.customer_agg_seed(known), aggregates)
     once = not w.kafka
     fitted = PipelineModel.load(w.path("model", "classifier"))
     live = w.path("live", "")
     running = [
         score.start_quarantine(bad, f"{live}quarantine", f"{live}checkpoint_bad", once),
-        score.start_scoring(features, f"{live}fraud_scores", f"{live}checkpoint", fitted, once),
+        score.start_scoring(
+            features, f"{live}fraud_scores", f"{live}checkpoint", fitted, once, lambda: read_newest(w.spark, aggregates)
+        ),
     ]
-    for started in running:
-        started.awaitTermination()
+    await_all(w.spark, running)
+
+
+def await_all(spark: SparkSession, running: list) -> None:
+    """Wait until every query has ended; when one fails, stop the others and raise its error."""
+    try:
+        while any(q.isActive for q in running):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for q in running:
+            q.awaitTermination()
+    finally:
+        for q in running:
+            q.stop()
 
 
 JOBS = {
     f.__name__.replace("_", "-"): f
     for f in (
-        ingest, silver_all, silver_core, silver_customer, silver_merchant, silver_sequence,
+        ingest, ingest_more, silver_all, silver_core, silver_customer, silver_merchant, silver_sequence,
         silver_campaign, silver_device_ip, silver_network, gold_master, gold_full, gold_validate,
         extract_nodes, map_city_state, normalize_states, parse_districts, map_state_districts,
         compare_city_district, build_marts, export_references, train_model, test_model,

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.sources.tables import observed, stage
+from txlens.sources.tables import delete_folder, folder_names, observed, stage
 
 DAY = "landing_day"
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -55,16 +55,6 @@ def read_landing(
     return df.drop(DAY)
 
 
-def _folder(spark: SparkSession, path: str):
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
-
-
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    files, found = _folder(spark, path)
-    return files.exists(files.makeQualified(found)) and len(files.listStatus(found)) > 0
-
-
 def newest_of_each(df: DataFrame, key: str, time: str) -> DataFrame:
     """One row a key, the one with the latest time; equal times are settled by the rows' hash.
 
@@ -84,7 +74,7 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, key: str, time: str =
     new, seen = observed(new, without_key=F.count_if(F.col(key).isNull()))
     landed, _ = stage(_by_day(newest_of_each(new, key, time), time), "landed")
     out = {"without_key": seen.get.get("without_key", 0)}
-    if not _has_rows(spark, path):
+    if not folder_names(spark, path):
         figures = _write(landed, path, time, "static", None, days=F.collect_set(DAY))
         return out | {"n_rows": figures["n_rows"], "days": len(figures.get("days") or [])}
     old = spark.read.parquet(path)
@@ -101,6 +91,5 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, key: str, time: str =
     written = set(figures.get("days") or [])
     for day in days:  # a day that lost all its rows to others is not among the folders replaced
         if day not in written and not (day is None and figures.get("undated")):
-            files, found = _folder(spark, f"{path}/{DAY}={_NO_DAY if day is None else day.isoformat()}")
-            files.delete(found, True)
+            delete_folder(spark, f"{path}/{DAY}={_NO_DAY if day is None else day.isoformat()}")
     return out | {"n_rows": figures["n_rows"], "days": len(days)}

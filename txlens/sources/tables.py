@@ -88,13 +88,39 @@ def stage(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict
     return df.sparkSession.read.schema(df.schema).parquet(path), seen
 
 
-def write_sorted(df: DataFrame, path: str, sort: str, **figures: Column) -> dict:
-    """Every file ordered by ``sort``, so its row groups carry narrow ranges.
+def _folder(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, files.makeQualified(found)
 
-    No global order: that would shuffle the whole table once more and, to find the range
-    bounds, compute it twice.
-    """
-    return write_table(df.sortWithinPartitions(sort), path, **figures)
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none if it does not exist."""
+    files, found = _folder(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(found)] if files.exists(found) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, found = _folder(spark, path)
+    files.delete(found, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Finished versions of a table, in order."""
+    named = [int(n.split("=")[1]) for n in folder_names(spark, path) if n.startswith("version=")]
+    return sorted(v for v in named if "_SUCCESS" in folder_names(spark, f"{path}/version={v}"))
+
+
+def write_version(df: DataFrame, path: str) -> int:
+    """Add a version of a table beside the older ones, which readers may still be reading."""
+    version = max(_versions(df.sparkSession, path), default=0) + 1
+    write_table(df, f"{path}/version={version}")
+    return version
+
+
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished version."""
+    return read_table(spark, f"{path}/version={_versions(spark, path)[-1]}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -61,7 +61,11 @@ def read_kafka(spark: SparkSession, servers: str, topic: str = TOPIC, per_trigge
         .option("startingOffsets", "earliest")
         .option("maxOffsetsPerTrigger", per_trigger)
         .load()
-        .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received_at"))
+        .select(
+            F.col("key").cast("string").alias("key"),
+            F.col("value").cast("string").alias("value"),
+            F.col("timestamp").alias("received_at"),
+        )
     )
 
 
@@ -77,6 +81,7 @@ def read_files(spark: SparkSession, path: str, files_per_trigger: int = 1) -> Da
 
 
 def publish_kafka(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:
+    """Append to the topic. A run that is repeated sends its messages again; the files' form does not."""
     (
         messages.write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -88,8 +93,3 @@ def publish_kafka(messages: DataFrame, servers: str, topic: str = TOPIC) -> None
 def publish_files(messages: DataFrame, path: str, run: str = "all") -> None:
     """One JSON line a message. Publishing a run again replaces its files; nothing is doubled."""
     messages.select("value").write.mode("overwrite").text(f"{path}/{run}")
-
-
-def write_ground_truth(tx: DataFrame, path: str) -> None:
-    """transaction_id, is_fraud of the published events, for scoring them afterwards."""
-    tx.select("transaction_id", "is_fraud").write.mode("overwrite").csv(path, header=True)

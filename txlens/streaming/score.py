@@ -48,10 +48,18 @@ def score(features: DataFrame, model: PipelineModel, threshold: float = SCORE_TH
     )
 
 
-def batch_writer(path: str, model: PipelineModel | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink: one folder per batch id, overwritten when a batch is replayed."""
+def batch_writer(
+    path: str, model: PipelineModel | None = None, lookup: Callable[[], DataFrame] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink: one folder per batch id, overwritten when a batch is replayed.
+
+    ``lookup`` gives the customer aggregates; it is asked anew for every batch, so that a batch sees the
+    newest version of that table.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if lookup is not None:
+            batch = with_customer_aggregates(batch, lookup())
         rows = score(batch, model) if model is not None else batch
         rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -59,9 +67,14 @@ def batch_writer(path: str, model: PipelineModel | None = None) -> Callable[[Dat
 
 
 def start_scoring(
-    features: DataFrame, path: str, checkpoint: str, model: PipelineModel | None = None, available_now: bool = False
+    features: DataFrame,
+    path: str,
+    checkpoint: str,
+    model: PipelineModel | None = None,
+    available_now: bool = False,
+    lookup: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
-    writer = features.writeStream.foreachBatch(batch_writer(path, model)).option(
+    writer = features.writeStream.foreachBatch(batch_writer(path, model, lookup)).option(
         "checkpointLocation", checkpoint
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -4,18 +4,30 @@ A card belongs to one customer, so a single shuffle on the customer serves the c
 running mean and every card's last payment. Payments of a customer are handled in
 (timestamp, id) order within a micro-batch; the size of a batch, and with it the rows of a
 busy customer held at once, is set by the source's per-trigger limit.
+
+Late payments: one that is older than the card's latest payment is scored, with ``late_flag`` 1, but does
+not move the card back. It counts as a payment of the card (sequence number) and of the customer (running
+amount statistics), and in the bursts it falls into; its gap, velocity, escalation and category switch, which
+would compare it with a later payment, are 0, and it does not enter the history.
+
+Expiry: with ``idle`` set, event time decides. A timer per card fires once the watermark has passed the card's
+latest payment by ``idle``; the card's state goes, and with the last card the customer's. Payments
+older than the watermark are then dropped by Spark, as their state may be gone.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from txlens.functions.timeparts import epoch_micros
 from txlens.operators.replay import (
     BURST_LIMIT,
     BURST_SECONDS,
@@ -71,6 +83,7 @@ FEATURES = T.StructType(
         T.StructField("amount_deviation_z_score", T.DoubleType()),
         T.StructField("spatial_velocity", T.DoubleType()),
         T.StructField("hour_deviation_from_norm", T.DoubleType()),
+        T.StructField("late_flag", T.IntegerType()),
         T.StructField("history", T.ArrayType(T.StringType())),
     ]
 )
@@ -93,28 +106,36 @@ def _absorb(stats: tuple[int, float, float], amount: float) -> tuple[int, float,
 
 def _step(card: dict | None, row, at: int) -> tuple[dict, dict]:
     """(features of this payment, next card state)."""
-    gap = (at - card["last_us"]) / MICROS if card else 0.0
+    late = card is not None and at < card["last_us"]
+    before = None if late else card  # what the payment is compared with
+    gap = (at - before["last_us"]) / MICROS if before else 0.0
     velocity = 0.0
-    if card and gap > 0:
-        km = 111.0 * math.hypot(row.location_lat - card["lat"], row.location_long - card["lon"])
+    if before and gap > 0:
+        km = 111.0 * math.hypot(row.location_lat - before["lat"], row.location_long - before["lon"])
         velocity = min(km / (gap / 3600.0), MAX_LIVE_VELOCITY)
-    since = at - BURST_SECONDS * MICROS
-    recent = [t for t in (card["recent_us"] if card else []) if t > since] + [at]
-    history = [row.transaction_id, *(card["history"] if card else [])][:HISTORY_LENGTH]
+    newest = card["last_us"] if late else at
+    span = BURST_SECONDS * MICROS
+    recent = sorted(t for t in [*(card["recent_us"] if card else []), at] if t > newest - span)
+    burst = max(1, sum(at - span < t <= at for t in recent))
+    history = list(card["history"]) if card else []
+    history = history if late else [row.transaction_id, *history][:HISTORY_LENGTH]
     seq = (card["seq"] if card else 0) + 1
     features = {
         "time_since_last_transaction": gap,
         "transaction_sequence_number": seq,
-        "burst_count": len(recent),
-        "rapid_fire_transaction_flag": int(len(recent) > BURST_LIMIT),
-        "escalating_amounts_flag": int(bool(card) and row.amount > card["amount"]),
+        "burst_count": burst,
+        "rapid_fire_transaction_flag": int(burst > BURST_LIMIT),
+        "escalating_amounts_flag": int(bool(before) and row.amount > before["amount"]),
         "merchant_category_switch_flag": int(
-            bool(card) and row.merchant_category != card["category"]
+            bool(before) and row.merchant_category != before["category"]
         ),
         "spatial_velocity": velocity,
         "hour_deviation_from_norm": 0.0,
+        "late_flag": int(late),
         "history": history,
     }
+    if late:
+        return features, card | {"seq": seq, "recent_us": recent}
     after = {
         "last_us": at,
         "lat": float(row.location_lat),
@@ -131,12 +152,13 @@ def _step(card: dict | None, row, at: int) -> tuple[dict, dict]:
 class PaymentState(StatefulProcessor):
     """Per customer: running amount statistics and the last payment of each card."""
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+    def __init__(self, idle_ms: int | None = None):
+        self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.stats = handle.getValueState("customer", CUSTOMER_STATE, self.ttl_ms)
-        self.cards = handle.getMapState("cards", CARD_KEY, CARD_STATE, self.ttl_ms)
+        self.handle = handle
+        self.stats = handle.getValueState("customer", CUSTOMER_STATE)
+        self.cards = handle.getMapState("cards", CARD_KEY, CARD_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
@@ -157,6 +179,19 @@ class PaymentState(StatefulProcessor):
             self._store(card_id, state)
         yield pd.DataFrame(out, columns=FEATURES.fieldNames())
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Forget the cards that have been idle; a card used since then has a later timer."""
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        names = CARD_STATE.fieldNames()
+        last = {k[0]: dict(zip(names, v))["last_us"] for k, v in self.cards.iterator()}
+        gone = [card_id for card_id, at in last.items() if self._expiry(at) <= now]
+        for card_id in gone:
+            self.cards.removeKey((card_id,))
+        if len(gone) == len(last):
+            self.cards.clear()
+            self.stats.clear()
+        yield pd.DataFrame(columns=FEATURES.fieldNames())
+
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         for row in initialState.itertuples(index=False):
             self.stats.update((int(row.count_seen), float(row.mean), float(row.m2)))
@@ -184,17 +219,25 @@ class PaymentState(StatefulProcessor):
         state = dict(zip(CARD_STATE.fieldNames(), self.cards.getValue(key)))
         return state | {"recent_us": list(state["recent_us"]), "history": list(state["history"])}
 
+    def _expiry(self, last_us: int) -> int:
+        return last_us // 1000 + 1 + self.idle_ms
+
     def _store(self, card_id: str, state: dict) -> None:
         self.cards.updateValue((card_id,), tuple(state[f] for f in CARD_STATE.fieldNames()))
+        if self.idle_ms is not None:
+            self.handle.registerTimer(self._expiry(state["last_us"]))
 
 
 def live_features(
-    events: DataFrame, warm: GroupedData | None = None, ttl_ms: int | None = None
+    events: DataFrame, warm: GroupedData | None = None, idle: timedelta | None = None, delay: str = "1 hour"
 ) -> DataFrame:
-    """Features of a decoded event stream; ``warm`` is the grouped warm-start table."""
-    from pyspark.sql import functions as F
+    """Features of a decoded event stream; ``warm`` is the grouped warm-start table.
 
-    from txlens.functions.timeparts import epoch_micros
+    ``idle`` is how long a card may be unused before it is forgotten, ``delay`` how late payments may then come.
+    """
+    idle_ms = None if idle is None else int(idle.total_seconds() * 1000)
+    if idle is not None:
+        events = events.withWatermark("timestamp", delay)
 
     rows = events.select(
         "customer_id", "transaction_id", "card_id", "merchant_id", "amount", "timestamp",
@@ -203,9 +246,9 @@ def live_features(
         epoch_micros(F.col("timestamp")).alias("event_us"),
     )
     return rows.groupBy("customer_id").transformWithStateInPandas(
-        statefulProcessor=PaymentState(ttl_ms),
+        statefulProcessor=PaymentState(idle_ms),
         outputStructType=FEATURES,
         outputMode="append",
-        timeMode="processingTime" if ttl_ms else "none",
+        timeMode="none" if idle is None else "eventTime",
         initialState=warm,
     )
