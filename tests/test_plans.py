@@ -9,7 +9,7 @@ from txlens.plans.catalog import QUERIES
 from txlens.sources import fixtures as fx
 
 SMALL = "/root/testdata/sf0.001"
-MODELS = {"train_gbt", "perm_importance"}
+MODELS = {"train_gbt", "perm_importance", "path_contributions", "feature_spec", "model_checks"}
 
 
 def plan(df) -> str:

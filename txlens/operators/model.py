@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from txlens.functions.hashing import hash_int
 from txlens.functions.numeric import safe_div
 from txlens.operators.evaluation import class_weight, score_steps
-from txlens.operators.ordered import MAX_KEY_ROWS, ordered_columns
+from txlens.operators.ordered import MAX_BROADCAST_ROWS, MAX_KEY_ROWS, ordered_columns
+from txlens.sources.tables import scratch, stage
 
 # One list for training and live scoring, with the type each feature is cast to.
 FEATURE_SPEC = {
@@ -86,6 +90,109 @@ def feature_spec(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, type string, levels array<string>")
 
 
+def check_spec(rows: DataFrame, spec: DataFrame) -> None:
+    """Raise if rows cannot be scored under a stored feature spec: a feature is missing or of another kind.
+
+    Category values the spec does not list are no drift; they get the index of unseen values.
+    """
+    stored = {r.feature: r.type for r in spec.select("feature", "type").collect()}  # one row a feature
+    if stored != FEATURE_SPEC:
+        raise ValueError(f"the stored spec differs from this library's: {set(stored.items()) ^ set(FEATURE_SPEC.items())}")
+    kinds = {f.name: f.dataType for f in rows.schema}
+    missing = [n for n in stored if n not in kinds]
+    wrong = [n for n, kind in stored.items() if n in kinds and (kind == "string") != isinstance(kinds[n], T.StringType)]
+    if missing or wrong:
+        raise ValueError(f"features missing: {missing}, of another kind: {wrong}")
+
+
+def unseen_levels(rows: DataFrame, spec: DataFrame) -> DataFrame:
+    """(feature, level, n): category values that the spec does not list, with their number of rows."""
+    values = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("level")) for c in CATEGORICAL])
+    counts = rows.select(F.inline(values)).groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"))
+    known = spec.select("feature", F.explode("levels").alias("level"))
+    return counts.join(F.broadcast(known), ["feature", "level"], "left_anti")  # the spec's own few levels
+
+
+def node_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """The trees as rows: tree, node, feature, where to go from there, and what the step changes.
+
+    ``weight`` is the tree's; a leaf has feature -1 and leads to itself.
+    """
+    trees = model.stages[-1]
+    path = scratch(spark, "trees")
+    trees.save(path)
+    weights = spark.createDataFrame([(i, float(w)) for i, w in enumerate(trees.treeWeights)], "tree int, weight double")
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        F.col("nodeData.id").alias("node"),
+        F.col("nodeData.prediction").alias("value"),
+        F.col("nodeData.split.featureIndex").alias("feature"),
+        (F.col("nodeData.split.numCategories") >= 0).alias("by_category"),
+        F.col("nodeData.split.leftCategoriesOrThreshold").alias("split"),
+        F.col("nodeData.leftChild").alias("left"),
+        F.col("nodeData.rightChild").alias("right"),
+    )
+    child = nodes.select("tree", F.col("node").alias("_child"), F.col("value").alias("_value"))
+    for side in ("left", "right"):
+        step = child.withColumnsRenamed({"_child": side, "_value": f"_{side}"})
+        nodes = nodes.join(step, ["tree", side], "left")
+    inner = F.col("feature") >= 0
+    return nodes.join(weights, "tree").select(
+        "tree", "node", "value", "weight", "by_category", "split",
+        F.when(inner, F.col("feature")).otherwise(-1).alias("feature"),
+        F.when(inner, F.col("left")).otherwise(F.col("node")).alias("left"),
+        F.when(inner, F.col("right")).otherwise(F.col("node")).alias("right"),
+        F.when(inner, F.col("_left") - F.col("value")).otherwise(0.0).alias("left_step"),
+        F.when(inner, F.col("_right") - F.col("value")).otherwise(0.0).alias("right_step"),
+    )
+
+
+def path_contributions(
+    model: PipelineModel, rows: DataFrame, key: str = "transaction_id", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """What each feature adds to each row's margin: key, keep, base, margin and a column a feature.
+
+    Every row walks down every tree. A step from a node to its child changes the expected value; the
+    change, times the tree's weight, is credited to the feature that the node splits on. So base (the
+    roots' values) plus contributions is the margin. Nodes are looked up by joins with the node table, whose size is the
+    model's, depth by depth; the sums over a row's trees combine before their shuffle. ``key`` must be unique.
+    """
+    spark = rows.sparkSession
+    nodes, seen = stage(node_table(spark, model), "nodes")
+    side = F.broadcast(nodes) if seen["n_rows"] <= MAX_BROADCAST_ROWS else nodes
+    trees = model.stages[-1]
+    depth = max(t.depth for t in trees.trees)
+    scored = model.transform(rows).select(
+        key, *keep, vector_to_array("rawPrediction")[1].alias("margin"), vector_to_array("features").alias("_x")
+    )
+    walk = scored.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees.getNumTrees - 1))))
+    walk = walk.withColumn("node", F.lit(0))
+    names = list(FEATURE_SPEC)
+    for level in range(depth + 1):
+        walk = walk.join(side, ["tree", "node"], "left")
+        x = F.get("_x", F.greatest(F.col("feature"), F.lit(0)))
+        goes_left = F.when(F.col("by_category"), F.array_contains("split", x)).otherwise(x <= F.get("split", F.lit(0)))
+        walk = walk.withColumns(
+            {
+                f"_f{level}": F.col("feature"),
+                f"_s{level}": F.col("weight") * F.when(goes_left, F.col("left_step")).otherwise(F.col("right_step")),
+                "node": F.when(goes_left, F.col("left")).otherwise(F.col("right")),
+                **({"_root": F.col("weight") * F.col("value")} if level == 0 else {}),
+            }
+        ).drop("value", "weight", "by_category", "split", "feature", "left", "right", "left_step", "right_step")
+
+    def credited(i: int) -> Column:
+        steps = [F.when(F.col(f"_f{n}") == i, F.col(f"_s{n}")).otherwise(0.0) for n in range(depth + 1)]
+        return F.sum(reduce(Column.__add__, steps))
+
+    return walk.groupBy(key).agg(
+        *[F.first(c).alias(c) for c in keep],
+        F.sum("_root").alias("base"),
+        F.first("margin").alias("margin"),
+        *[credited(i).alias(n) for i, n in enumerate(names)],
+    )
+
+
 def permutation_importance(
     model: PipelineModel,
     rows: DataFrame,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txlens.functions.numeric import degrees_km, flag, is_round_amount
 from txlens.functions.timeparts import epoch_millis, hours_since_midnight, is_weekend
-from txlens.operators.ordered import MAX_KEY_ROWS, ordered_columns
+from txlens.operators.ordered import MAX_KEY_ROWS, ordered_columns, running_moments
 
 RAPID_FIRE_MS = 300_000
 MAX_VELOCITY_KMH = 10_000.0
@@ -31,9 +31,30 @@ FLAGS = [
 ]
 
 
-def sequence_features(tx: DataFrame, *, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+def _norms_before(rows: DataFrame, keys: list[str], order: list[str], max_key_rows: int) -> DataFrame:
+    """Mean hour, mean and sample deviation of the amount over the customer's earlier payments only."""
+    rows = running_moments(rows, keys, order, "amount", max_key_rows=max_key_rows)
+    n = F.col("count_before").cast("double")
+    spread = F.when(F.col("low_before") == F.col("high_before"), 0.0).otherwise(F.sqrt(F.col("var_before") * n / (n - 1)))
+    hours = F.col("_hours") - F.coalesce("_hour", F.lit(0.0))
+    timed = F.col("_n_hours") - F.col("_hour").isNotNull().cast("int")
+    return rows.withColumns(
+        {
+            "_mean_hour": F.when(timed > 0, hours / timed),
+            "_mean_amount": F.col("mean_before"),
+            "_std_amount": F.when(n > 1, spread),
+        }
+    )
+
+
+def sequence_features(
+    tx: DataFrame, *, as_of: bool = False, max_key_rows: int = MAX_KEY_ROWS
+) -> DataFrame:
     """Gaps, velocity, deviations and pattern flags.
 
+    Deviations are taken from the customer's whole history, or, ``as_of`` each payment, from the earlier
+    payments only: then nothing a model learns from lies in the payment's future.
+
     Early rows keep nulls (first gap, z-score of a single payment, escalation without two
     predecessors); ``to_silver`` turns them into zeros.
     """
@@ -44,10 +65,20 @@ def sequence_features(tx: DataFrame, *, max_key_rows: int = MAX_KEY_ROWS) -> Dat
             "_hour": F.hour("timestamp").cast("double"),
         }
     )
+    keys, order = ["customer_id"], ["_ms", "transaction_id"]
+    norms = {
+        "_mean_hour": F.avg("_hour"),
+        "_mean_amount": F.avg("amount"),
+        "_std_amount": F.stddev_samp("amount"),
+    }
+    sums = {
+        "_hours": ("sum", F.coalesce("_hour", F.lit(0.0))),
+        "_n_hours": ("sum", F.col("_hour").isNotNull().cast("int")),
+    }
     rows = ordered_columns(
         rows,
-        ["customer_id"],
-        ["_ms", "transaction_id"],
+        keys,
+        order,
         lags={
             "_prev_ms": ("_ms", 1),
             "_prev_lat": ("location_lat", 1),
@@ -56,14 +87,12 @@ def sequence_features(tx: DataFrame, *, max_key_rows: int = MAX_KEY_ROWS) -> Dat
             "_prev_amount": ("amount", 1),
             "_prev2_amount": ("amount", 2),
         },
-        whole={
-            "_mean_hour": F.avg("_hour"),
-            "_mean_amount": F.avg("amount"),
-            "_std_amount": F.stddev_samp("amount"),
-        },
-        running={"transaction_sequence_number": ("sum", F.lit(1))},
+        whole=None if as_of else norms,
+        running={"transaction_sequence_number": ("sum", F.lit(1))} | (sums if as_of else {}),
         max_key_rows=max_key_rows,
     )
+    if as_of:
+        rows = _norms_before(rows, keys, order, max_key_rows)
     amount, gap = F.col("amount"), F.col("_ms") - F.col("_prev_ms")
     prev, prev2, category = F.col("_prev_amount"), F.col("_prev2_amount"), F.col("_prev_category")
     km = degrees_km(
@@ -112,5 +141,6 @@ def to_silver(features: DataFrame) -> DataFrame:
     zero = {c: 0 for c in FLAGS} | {
         "time_since_last_transaction": 0.0,
         "amount_deviation_z_score": 0.0,
+        "hour_deviation_from_norm": 0.0,
     }
     return features.na.fill(zero)

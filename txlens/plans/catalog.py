@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -239,6 +240,11 @@ def sequence_features(spark, d):
     return _millis(_sequence(spark, d), "timestamp")
 
 
+@query
+def sequence_features_as_of(spark, d):
+    return _millis(sequence.sequence_features(fx.payments(spark, d), as_of=True), "timestamp")
+
+
 @query
 def sequence_with_metadata(spark, d):
     keep = [
@@ -783,6 +789,37 @@ def train_gbt(spark, d):
     return auc.unionByName(gains)
 
 
+@query
+def path_contributions(spark, d):
+    """Hold-out payments whose contributions and base add up to the classifier's margin."""
+    train, test = _split_gold(spark, d)
+    parts = model.path_contributions(model.train(train, trees=8, depth=4), test)
+    total = reduce(Column.__add__, [F.col(n) for n in model.FEATURE_SPEC], F.col("base"))
+    exact = F.min((F.abs(total - F.col("margin")) < 1e-6).cast("int"))
+    return parts.agg(F.count(F.lit(1)).alias("payments"), exact.alias("exact"))
+
+
+@query
+def feature_spec(spark, d):
+    """The spec stored with a classifier: types, and the category levels by falling frequency."""
+    train, _ = _split_gold(spark, d)
+    spec = model.feature_spec(spark, model.train(train, trees=1, depth=1))
+    return spec.select("feature", "type", F.array_join("levels", ",").alias("levels"))
+
+
+@query
+def model_checks(spark, d):
+    """What must hold for any training run: a useful hold-out AUC, importances that sum to 1."""
+    train, test = _split_gold(spark, d)
+    fitted = model.train(train, trees=8, depth=4)
+    auc = evaluation.roc_auc(model.predict(fitted, test)).select(
+        F.lit("auc_above_0.9").alias("name"), (F.col("auc") > 0.9).cast("int").alias("holds")
+    )
+    gains = model.feature_importance(spark, fitted, top=len(model.FEATURE_SPEC))
+    whole = gains.agg((F.abs(F.sum("importance") - 1) < 1e-6).cast("int").alias("holds"))
+    return auc.unionByName(whole.select(F.lit("importances_sum_to_1").alias("name"), "holds"))
+
+
 @query
 def perm_importance(spark, d):
     """AUC lost per permuted feature on the hold-out rows, for a smaller model."""
@@ -812,6 +849,9 @@ _sliced_forms = {
     "sequence_features": lambda s, d: _millis(
         sequence.sequence_features(fx.payments(s, d), max_key_rows=FEW), "timestamp"
     ),
+    "sequence_features_as_of": lambda s, d: _millis(
+        sequence.sequence_features(fx.payments(s, d), as_of=True, max_key_rows=FEW), "timestamp"
+    ),
     "campaign_features": lambda s, d: campaign.campaign_features(fx.payments(s, d), max_key_rows=FEW),
     "gold_master": lambda s, d: _millis(_gold_sliced(s, d).drop("feature_calculated_at"), "timestamp"),
     "roc_auc": lambda s, d: evaluation.roc_auc(fx.scores(s, d), max_key_rows=50),

@@ -35,6 +35,7 @@ from txlens.sources.tables import (
     ROWS_PER_FILE,
     read_newest,
     read_table,
+    stage,
     write_csv,
     write_table,
     write_version,
@@ -46,10 +47,16 @@ class Warehouse:
     """Table locations: raw landing files and the bronze, silver and gold layers."""
 
     def __init__(
-        self, spark: SparkSession, raw: str, root: str, since: str | None = None, kafka: str | None = None
+        self,
+        spark: SparkSession,
+        raw: str,
+        root: str,
+        since: str | None = None,
+        kafka: str | None = None,
+        as_of: bool = False,
     ):
         self.spark, self.raw_root, self.root = spark, raw, root
-        self.since, self.kafka = since, kafka
+        self.since, self.kafka, self.as_of = since, kafka, as_of
 
     def raw(self, name: str, kind=None) -> DataFrame:
         return read_table(self.spark, f"{self.raw_root}/{name}.parquet", kind)
@@ -109,7 +116,7 @@ def silver_sequence(w: Warehouse) -> None:
     tx = w.read("bronze", "transactions").withColumns(
         {c: F.col(c).cast("int") for c in ("is_fraud", "card_present")}
     )
-    features = sequence.to_silver(sequence.sequence_features(tx))
+    features = sequence.to_silver(sequence.sequence_features(tx, as_of=w.as_of))
     out = sequence.with_fraud_metadata(features, w.read("bronze", "fraud_metadata"))
     write_table(out, w.path("silver", "transactions"))
 
@@ -270,8 +277,12 @@ def train_model(w: Warehouse) -> None:
 
 
 def _scored_gold(w: Warehouse) -> DataFrame:
+    """All of gold with its scores: written once, as several audits read it."""
     fitted = PipelineModel.load(w.path("model", "classifier"))
-    return model.predict(fitted, model.training_rows(w.read("gold", "transactions")))
+    rows = model.training_rows(w.read("gold", "transactions"))
+    model.check_spec(rows, w.read("model", "feature_spec"))
+    scored = model.predict(fitted, rows).drop("features", "rawPrediction", "probability")
+    return stage(scored, "scored")[0]
 
 
 def test_model(w: Warehouse) -> None:
@@ -288,10 +299,17 @@ def leakage_audit(w: Warehouse) -> None:
 
 
 def attribution(w: Warehouse) -> None:
-    """Permutation importance on all frauds and up to 50 000 legitimate payments."""
+    """Permutation importance and, by fraud type, path contributions.
+
+    On all frauds and up to 50 000 legitimate payments.
+    """
     fitted = PipelineModel.load(w.path("model", "classifier"))
     rows = sampling.balanced_sample(model.training_rows(w.read("gold", "transactions")))
     model.permutation_importance(fitted, rows).orderBy(F.desc("importance")).show()
+    parts = model.path_contributions(fitted, rows, keep=("fraud_type",))
+    write_table(parts, w.path("model", "contributions"))
+    per_type = w.read("model", "contributions")
+    evaluation.segment_top_features(per_type, "fraud_type", list(model.FEATURE_SPEC)).show()
 
 
 # --- live --------------------------------------------------------------------------------------
@@ -369,8 +387,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--warehouse", required=True, help="folder for bronze, silver, gold")
     parser.add_argument("--since", help="publish payments from this time on; score-live starts from those before")
     parser.add_argument("--kafka", help="bootstrap servers; without them the live jobs use files")
+    parser.add_argument("--as-of", action="store_true", help="silver features look at earlier payments only")
     args = parser.parse_args(argv)
-    JOBS[args.job](Warehouse(build_session(), args.raw, args.warehouse, args.since, args.kafka))
+    JOBS[args.job](Warehouse(build_session(), args.raw, args.warehouse, args.since, args.kafka, args.as_of))
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from txlens.functions.names import CITY_NOISE
 from txlens.operators.evaluation import OPERATING_MODES, RECALL_TARGETS
+from txlens.operators.model import CATEGORICAL, FEATURE_SPEC
 from txlens.plans.catalog import (
     BIN_EDGES,
     BIN_NAMES,
@@ -162,6 +163,23 @@ SEQ_DOUBLES = (
     "hour_deviation_from_norm", "amount_deviation_z_score",
 )
 oracle("sequence_features", "SELECT * FROM seq", TX, SEQ, settle=SEQ_DOUBLES)
+SEQ_BEFORE = SEQ
+for _a, _b in (
+    ("avg(CAST(extract(hour FROM tx_ts) AS DOUBLE)) OVER (PARTITION BY customer_id)", "avg(CAST(extract(hour FROM tx_ts) AS DOUBLE)) OVER b"),
+    ("avg(amount) OVER (PARTITION BY customer_id)", "avg(amount) OVER b"),
+    (
+        "stddev_samp(amount) OVER (PARTITION BY customer_id)",
+        "CASE WHEN count(*) OVER b > 1 AND min(amount) OVER b = max(amount) OVER b THEN 0 ELSE stddev_samp(amount) OVER b END",
+    ),
+    (
+        "ORDER BY (epoch_us(tx_ts) // 1000), transaction_id))",
+        "ORDER BY (epoch_us(tx_ts) // 1000), transaction_id), b AS (PARTITION BY customer_id"
+        " ORDER BY (epoch_us(tx_ts) // 1000), transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))",
+    ),
+):
+    assert _a in SEQ_BEFORE
+    SEQ_BEFORE = SEQ_BEFORE.replace(_a, _b)
+oracle("sequence_features_as_of", "SELECT * FROM seq", TX, SEQ_BEFORE, settle=SEQ_DOUBLES)
 SILVER = """silver AS (SELECT seq.* REPLACE (
     coalesce(time_since_last_transaction, 0) AS time_since_last_transaction,
     coalesce(amount_deviation_z_score, 0) AS amount_deviation_z_score,
@@ -896,5 +914,26 @@ oracle(
     settle=("amount",),
 )
 
+_TRAIN = f"train AS (SELECT * FROM tx WHERE {_uniform('transaction_id', '42')} >= 0.2)"
+oracle(
+    "path_contributions",
+    f"""SELECT count(*) AS payments, 1 AS exact FROM tx WHERE {_uniform('transaction_id', '42')} < 0.2""",
+    TX,
+)
+oracle(
+    "feature_spec",
+    "SELECT feature, type, coalesce(levels, '') AS levels FROM (VALUES "
+    + ", ".join(f"({_quote(n)}, {_quote(k)})" for n, k in FEATURE_SPEC.items())
+    + ") s(feature, type) LEFT JOIN ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, string_agg({c}, ',' ORDER BY n DESC, {c}) AS levels"
+        f" FROM (SELECT {c}, count(*) AS n FROM train GROUP BY 1)"
+        for c in CATEGORICAL
+    )
+    + ") l ON name = feature",
+    TX, _TRAIN,
+)
+oracle("model_checks", "SELECT * FROM (VALUES ('auc_above_0.9', 1), ('importances_sum_to_1', 1)) v(name, holds)")
+
 # Splitting hot keys must not change an answer.
 ORACLES |= {f"{name}_sliced": ORACLES[name] for name in SLICED}
