@@ -199,6 +199,21 @@ def test_near_duplicate_edge_cases(spark):
     assert near_dedup.near_duplicates(table(spark, [(1, "one"), (2, "ONE"), (3, "two")]), 2).filter("kept").count() == 2
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    one, two = "a b c d e f g h i j", "quite another text of more than five words"
+    docs = table(spark, [(1, one), (2, one), (2, two), (None, one)])
+    left = near_dedup.keep_one_of_each(docs).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(1, one), (2, two), (None, one)], key=str)
+
+
+def test_repeated_rows_share_their_spans(spark):
+    """Hundreds of rows with one text, with and without an id, beside one that is earlier: work grows with the rows."""
+    words = [f"w{i}" for i in range(501)]
+    rows = [(1, " ".join(words))] + [(None, " ".join(words))] * 300 + [(7, " ".join(words[100:400]))] * 100
+    found = substring_dedup.substring_dedup(table(spark, rows)).collect()
+    assert sorted((r.n_words, r.n_removed) for r in found) == [(300, 300)] * 100 + [(501, 0)] + [(501, 501)] * 300
+
+
 # ---------------------------------------------------------------- lines
 
 ENDS = " \t\x0b\x0c\r"

@@ -106,3 +106,17 @@ def test_no_pages_and_no_rules(spark):
 def test_long_texts_are_kept_whole(spark):
     rows = dedup(table(spark, [(1, LONG + "a"), (2, LONG + "b"), (3, LONG.replace(" ", "\n") + "a")])).collect()
     assert {r.doc_id: r.keep_id for r in rows} == {1: 1, 2: 2, 3: 1}
+
+
+def test_ties_are_settled_alike_by_cascade_and_join(spark, monkeypatch):
+    """Equally long rules: the block rule wins, whichever way is taken; very long hosts cost no more."""
+    rules = [("block", "a.bc", "/"), ("allow", "bc", "/x/"), ("allow", "q.rs", "/"), ("block", "rs", "/y/"), ("allow", "a.b.c.d", "/")]
+    deep = ".".join(f"l{i}" for i in range(20_000))
+    urls = ["http://a.bc/x/y", "http://q.rs/y/", f"http://{deep}.a.bc/x/", f"https://{deep}.x/", "http://z.a.b.c.d/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = spark.createDataFrame(rules, "verdict string, host string, path string")
+    expected = [("a.bc/", "block"), ("rs/y/", "block"), ("a.bc/", "block"), (None, "allow"), ("a.b.c.d/", "allow")]
+    for limit in (url_filter.MAX_FILTER_KEYS, 2):
+        monkeypatch.setattr(url_filter, "MAX_FILTER_KEYS", limit)
+        found = filter_urls(pages, listed).orderBy("page_id").collect()
+        assert [(r.rule, r.verdict) for r in found] == expected

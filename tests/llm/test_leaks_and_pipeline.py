@@ -85,6 +85,20 @@ def test_leaks_are_found_and_others_left(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in find_contaminated(docs, items).collect()} == leaks
 
 
+def test_items_that_share_an_id(spark, monkeypatch):
+    """Two texts under one id: a document that holds either is found, once."""
+    one = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    two = "seven quick foxes jumped over nineteen lazy brown dogs today"
+    items = spark.createDataFrame([(1, one), (1, two), (1, one), (2, "some other words that nobody ever wrote down here")], "item_id long, text string")
+    docs = table(spark, [(1, f"x {one} y"), (2, f"{two} z"), (3, f"{one} and {two}"), (4, "none of them"), (5, None)])
+    expected = [(1, 1), (2, 1), (3, 1)]
+    assert sorted((r.doc_id, r.item_id) for r in find_contaminated(docs, items).collect()) == expected
+    several = build_indexes(items, max_postings=5)
+    assert len(several) > 1
+    monkeypatch.setattr(decontamination, "build_indexes", lambda items: several)
+    assert sorted((r.doc_id, r.item_id) for r in find_contaminated(docs, items).collect()) == expected
+
+
 def test_question_and_answer_columns(spark):
     items = spark.createDataFrame(
         [(1, None, "what is the capital city of the land", "quorvia"), (None, "x y z", None, None), (2, None, None, None)],

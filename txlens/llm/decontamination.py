@@ -96,7 +96,7 @@ def weigh_postings(items: DataFrame) -> DataFrame:
 class Index:
     """Postings of one shard: per term its blocks with maxima, per (term, block) its pieces."""
 
-    def __init__(self, postings: pd.DataFrame, parts: dict[int, tuple[list[str], list[str]]]):
+    def __init__(self, postings: pd.DataFrame, parts: dict[int, tuple[list[str], list[str]]], own: dict[int, int]):
         pieces = postings[["item_id", "piece"]].drop_duplicates().sort_values(["item_id", "piece"])
         self.items = pieces["item_id"].to_numpy(dtype=np.int64)
         number = {p: i for i, p in enumerate(zip(pieces["item_id"], pieces["piece"]))}
@@ -113,7 +113,7 @@ class Index:
         self.term_start = np.searchsorted(term[first], np.arange(len(names) + 1))
         self.term_max = np.maximum.reduceat(self.block_max, self.term_start[:-1])
         self.n_blocks = int(self.block.max()) + 1
-        self.parts = parts
+        self.parts, self.own = parts, own
 
     def _lists(self, terms: np.ndarray) -> np.ndarray:
         """Positions of all blocks of the terms."""
@@ -146,7 +146,7 @@ class Index:
         return [(int(p), float(score[p])) for p in np.flatnonzero(score >= threshold - 1e-9)]
 
     def matches(self, text: str | None, threshold: float, overlap: float) -> list[tuple[int, float, float, float]]:
-        """(item, best score, question overlap, answer overlap) of the items that a text holds."""
+        """(item_id, best score, question overlap, answer overlap) of the items that a text holds, one for each id."""
         words = words_of(text)
         known = np.fromiter((self.terms.get(w, -1) for w in words), dtype=np.int64, count=len(words))
         best: dict[int, float] = {}
@@ -157,12 +157,13 @@ class Index:
                 for piece, score in self.search(passage, threshold):
                     item = int(self.items[piece])
                     best[item] = max(score, best.get(item, 0.0))
-        out = []
+        out: dict[int, tuple] = {}
         for item, score in best.items():
             overlaps = [shared(part, words) for part in self.parts[item]]
             if min(overlaps) >= overlap:
-                out.append((item, score, *overlaps))
-        return out
+                found = (self.own[item], score, *overlaps)
+                out[found[0]] = max(found, out.get(found[0], found))
+        return list(out.values())
 
 
 def build_indexes(items: DataFrame, max_postings: int = MAX_POSTINGS) -> list[Index]:
@@ -170,8 +171,10 @@ def build_indexes(items: DataFrame, max_postings: int = MAX_POSTINGS) -> list[In
     for name in ("question", "answer"):
         if name not in items.columns:
             items = items.withColumn(name, F.lit(None).cast("string"))
+    # Inside, an item is a row's id and texts together: rows that share an id but not the texts are items of their own.
+    texts = [c for name in ("text", "question", "answer") for c in (F.col(name).isNull(), F.col(name))]
     items = items.filter("item_id IS NOT NULL").select(
-        F.col("item_id").cast("long").alias("item_id"), "text", "question", "answer"
+        F.col("item_id").cast("long").alias("own_id"), F.xxhash64("item_id", *texts).alias("item_id"), "text", "question", "answer"
     )
     postings = stored(weigh_postings(items), "impacts")
     n_shards = -(-n_rows(postings) // max_postings)
@@ -182,7 +185,7 @@ def build_indexes(items: DataFrame, max_postings: int = MAX_POSTINGS) -> list[In
         if len(rows):
             texts = items.filter(mine).orderBy("item_id", "text").collect()
             parts = {r["item_id"]: halves(r["text"], r["question"], r["answer"]) for r in texts}
-            indexes.append(Index(rows, parts))
+            indexes.append(Index(rows, parts, {r["item_id"]: r["own_id"] for r in texts}))
     return indexes
 
 
@@ -208,11 +211,17 @@ def find_contaminated(
 
         return texts.mapInPandas(search, kind)
 
-    found = None
-    for index in build_indexes(items):
+    found, indexes = None, build_indexes(items)
+    n_indexes = len(indexes)
+    for index in indexes:
         one = searched(index).withColumn("doc_id", id_or_null("doc_id"))
         found = one if found is None else found.unionByName(one)
-    return found if found is not None else documents.sparkSession.createDataFrame([], kind)
+    if found is None:
+        return documents.sparkSession.createDataFrame([], kind)
+    if n_indexes == 1:
+        return found
+    best = F.max_by(F.struct(*names[1:]), F.struct(*names[1:])).alias("_best")  # an id may have texts in several shards
+    return found.groupBy("doc_id", "mark", "item_id").agg(best).select("doc_id", "mark", "item_id", "_best.*")
 
 
 def remove_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:

@@ -82,7 +82,7 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch_documents(documents: DataFrame, shingle_words: int) -> DataFrame:
-    """doc_id, n_shingles, two set digests, tokens (array<int>) and sketch (one byte a token)."""
+    """doc_id, mark (hash of the text), n_shingles, two set digests, tokens (array<int>) and sketch (one byte a token)."""
 
     def sketch(batches):
         memo = _Words()
@@ -96,12 +96,11 @@ def sketch_documents(documents: DataFrame, shingle_words: int) -> DataFrame:
                 out["h2"].append(int(_mix(found).sum(dtype=np.uint64).astype(np.int64)))
                 out["tokens"].append(tokens.view(np.int32))
                 out["sketch"].append(tokens.astype(np.uint8).tobytes())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], **out})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "mark": batch["mark"], **out})
 
-    kinds = "doc_id long, n_shingles long, h1 long, h2 long, tokens array<int>, sketch binary"
-    return documents.select(id_or_last().alias("doc_id"), "text").mapInPandas(sketch, kinds).withColumn(
-        "doc_id", id_or_null("doc_id")
-    )
+    kinds = "doc_id long, mark long, n_shingles long, h1 long, h2 long, tokens array<int>, sketch binary"
+    rows = documents.select(id_or_last().alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    return rows.mapInPandas(sketch, kinds).withColumn("doc_id", id_or_null("doc_id"))
 
 
 def _cut(similarity: int) -> int:
@@ -300,7 +299,7 @@ def _texts(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, shingle_words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest linked id), kept."""
+    """One row per document: doc_id, mark (hash of the text), n_shingles, component_id (smallest linked id), kept."""
     sketched = stored(sketch_documents(documents, shingle_words), "sketches")
     usable = sketched.filter("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "h1", "h2"]
@@ -332,23 +331,27 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 5, similarity: in
     named = joined(classes, linked, ["id"], "left", MAX_SIDE)
     named = named.withColumn("component", F.coalesce("component", "id")).filter("n_rows > 1 or component != id")
     named = stored(named.select(*key, "component"), "named")
-    out = joined(sketched.select("doc_id", *key), named, key, "left", MAX_SIDE)
+    out = joined(sketched.select("doc_id", "mark", *key), named, key, "left", MAX_SIDE)
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return out.select("doc_id", "mark", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
 def keep_one_of_each(documents: DataFrame, shingle_words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    gone = near_duplicates(documents, shingle_words, similarity).filter("NOT kept").select("doc_id")
-    gone = stored(gone.distinct().toDF("_gone_id"), "near_copies")
+    """The document with the smallest id of each group of near duplicates.
+
+    Rows are told apart by id and text: one that shares its id with a near copy but not its text stays.
+    """
+    gone = near_duplicates(documents, shingle_words, similarity).filter("NOT kept").select("doc_id", "mark")
+    gone = stored(gone.distinct().toDF("_gone_id", "_gone_mark"), "near_copies")
     side = F.broadcast(gone) if within(gone, MAX_SIDE) else gone
-    return documents.join(side, documents["doc_id"].cast("long") == F.col("_gone_id"), "left_anti")
+    same = documents["doc_id"].cast("long") == F.col("_gone_id")
+    return documents.join(side, same & (F.xxhash64(documents["text"]) == F.col("_gone_mark")), "left_anti")
 
 
 def op10_near_dedup(spark, sf_dir):
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle_words=2)
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle_words=2).drop("mark")
 
 
 SQL = r"""

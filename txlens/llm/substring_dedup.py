@@ -274,7 +274,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     known = stored(joined(regions, groups, ["anchor", "region"], "inner", MAX_SIDE), "known_regions")
     whole = known.filter("id > first").select("id", "mark", "at", "n")
     doubtful = known.filter("id = first AND several").groupBy("id", "mark").agg(
-        F.collect_list(F.struct("at", "n", "anchor")).alias("spans")
+        F.collect_set(F.struct("at", "n", "anchor")).alias("spans")  # rows that repeat id and text share theirs
     )
     listed = stored(list_windows(_with_texts(texts, stored(doubtful, "doubtful"), "inner")), "windows")
     first = listed.groupBy("anchor", "window").agg(F.min("id").alias("first"), F.max("id").alias("last"))
@@ -301,7 +301,7 @@ def substring_dedup(documents: DataFrame) -> DataFrame:
     texts = documents.select(
         id_or_last().alias("id"), F.xxhash64("text").alias("mark"), "text"
     )
-    spans = repeated_spans(texts).groupBy("id", "mark").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    spans = repeated_spans(texts).groupBy("id", "mark").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
     out = cut_words(_with_texts(texts, stored(spans, "spans"), "left"))
     return out.withColumn("doc_id", id_or_null("id")).drop("id")
 

@@ -44,11 +44,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(url, found, 2), F.lit(""))
 
 
-def url_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every host suffix joined with every path prefix of a length that rules have."""
+def url_keys(host: Column, path: Column, lengths: list[int], most_labels: int) -> Column:
+    """Every host suffix of up to ``most_labels`` labels joined with every path prefix of a length that rules have."""
     labels = F.split(host, r"\.")
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        F.sequence(F.greatest(F.lit(1), F.size(labels) - most_labels + 1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     usable = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path))
@@ -126,9 +126,12 @@ class Cascade:
 
 
 def rules_by_join(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Longest rule of each row of (_row, _keys): the way for lists beyond a broadcast filter."""
+    """Longest rule of each row of (_row, _keys): the way for lists beyond a broadcast filter.
+
+    Of equally long rules a block rule wins, then the largest key, as with the cascade.
+    """
     keyed = pages.select("_row", F.explode("_keys").alias("key")).join(rules, "key")
-    best = F.max(F.struct(F.length("key"), "key", "verdict"))
+    best = F.max(F.struct(F.length("key"), (F.col("verdict") == "block").alias("blocked"), "key", "verdict"))
     return keyed.groupBy("_row").agg(best.alias("best")).select("_row", "best.key", "best.verdict")
 
 
@@ -140,16 +143,18 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     """
     listed = stored(
         rules.filter(F.col("host").isNotNull() & F.col("path").isNotNull()).select(
-            "verdict", F.concat("host", "path").alias("key"), F.length("path").alias("n")
+            "verdict", F.concat("host", "path").alias("key"), F.length("path").alias("n"),
+            F.size(F.split("host", r"\.")).alias("labels"),
         ),
         "rules",
-    )
+        most_labels=F.max("labels"),
+    )
     lengths = [r["n"] for r in listed.select("n").distinct().orderBy("n").limit(MAX_RULE_LENGTHS + 1).collect()]
     if len(lengths) > MAX_RULE_LENGTHS:
         raise ValueError(f"rule paths of more than {MAX_RULE_LENGTHS} lengths")
     host, path = host_and_path(F.col("url"))
     addressed = pages.select("page_id", host.alias("host"), path.alias("path"))
-    keyed = addressed.withColumn("_keys", url_keys(F.col("host"), F.col("path"), lengths or [0]))
+    keyed = addressed.withColumn("_keys", url_keys(F.col("host"), F.col("path"), lengths or [0], listed.seen.get("most_labels") or 1))
     if not within(listed, MAX_FILTER_KEYS):
         numbered = stored(keyed.withColumn("_row", F.monotonically_increasing_id()), "keyed")
         best = rules_by_join(numbered, listed.select("key", "verdict"))
