@@ -228,20 +228,19 @@ def draw_merchant(
         local = F.when(u < upto, _tiers(state)[name]).otherwise(local)
         upto = round(upto - TIER_SHARES[name], 6)
     drawn = residents.withColumns({"drawn_tier": tier, "_tier": tier, "_key": local})
-    places, _ = stage(places, "places")
+    places, seen = stage(places, "places", merchants=F.count_if(F.col("tier") == EVERYWHERE))
+    every = F.lit(seen.get("merchants") or None).cast("long")
     sizes, _ = stage(places.groupBy("tier", "key").agg(F.count(F.lit(1)).alias("n")), "sizes")
     named = {"tier": "_tier", "key": "_key", "n": "_n"}
     drawn = join_unique(drawn, sizes.withColumnsRenamed(named), ["_tier", "_key"], max_key_rows=max_key_rows)
-    every = sizes.filter(F.col("tier") == EVERYWHERE).select(F.lit(1).alias("_one"), F.col("n").alias("_every"))
-    drawn = drawn.withColumn("_one", F.lit(1)).join(F.broadcast(every), "_one", "left")  # one row
     empty = F.col("_n").isNull()
     drawn = drawn.withColumns(
         {
             "_tier": F.when(empty, EVERYWHERE).otherwise(F.col("_tier")),
             "_key": F.when(empty, "").otherwise(F.col("_key")),
-            "_place": hash_int(F.col(key), f"{seed}-place") % F.coalesce("_n", "_every"),
+            "_place": hash_int(F.col(key), f"{seed}-place") % F.coalesce(F.col("_n"), every),
         }
     )
     side = places.withColumnsRenamed({"tier": "_tier", "key": "_key", "place": "_place"})
     out = join_unique(drawn, side, ["_tier", "_key", "_place"], max_key_rows=max_key_rows)
-    return out.withColumnRenamed("_tier", "tier").drop("_key", "_place", "_n", "_one", "_every")
+    return out.withColumnRenamed("_tier", "tier").drop("_key", "_place", "_n")
