@@ -79,3 +79,31 @@ def test_recall_of_edits_anywhere(spark):
     expected = len(lines) - len(different) + len(plain_repeats(different))
     found = sum(r.n_removed for r in line_dedup.line_dedup(table(spark, rows)).collect())
     assert 0.97 * expected <= found <= expected
+
+
+def test_links_of_two_blocks_connect_what_is_alike_and_no_more(spark):
+    """As many links as components that meet, though all pairs of a block may be alike."""
+    rnd = random.Random(8)
+    pool = [[rnd.getrandbits(60) for _ in range(12)] for _ in range(6)]
+    entry = "array<struct<key: bigint, component: bigint, set: array<bigint>>>"
+    rows = []
+    for n in (1, 5, 40):
+        for kinds in (1, 6):
+            lines = [(k, rnd.choice([k, k, k % 3]), [*pool[rnd.randrange(kinds)], rnd.getrandbits(60)]) for k in range(2 * n)]
+            rows.append((lines[:n], lines))
+    df = spark.createDataFrame(rows, f"outsiders {entry}, lines {entry}")
+    found = df.select("outsiders", "lines", line_dedup.spanning_links("outsiders", "lines", 80).alias("links")).collect()
+    for row in found:
+        known = [(f"c{y.component}", y.key) for y in row.lines]
+        nodes = [y.key for y in row.lines] + [name for name, _ in known]
+        alike = [
+            (x.key, y.key)
+            for x in row.outsiders
+            for y in row.lines
+            if 100 * len(set(x.set) & set(y.set)) >= 80 * len(set(x.set) | set(y.set))
+        ]
+        links = [(k.a, k.b) for k in row.links]
+        order = {node: i for i, node in enumerate(dict.fromkeys(nodes))}
+        groups = lambda some: components(range(len(order)), [(order[a], order[b]) for a, b in known + some])  # noqa: E731,B023
+        assert groups(links) == groups(alike)
+        assert len(links) < len(row.lines) and all(a < b for a, b in links)

@@ -13,7 +13,8 @@ components, and the first occurrence (smallest id, then place) of a group stays.
    ones every line is paired with two leaders.
 3. Pairs are checked on the full sets, and confirmed pairs are merged. Where a large bucket still has lines
    outside its largest group, each of those is compared with the whole bucket on the full sets, block by
-   block. So every pair that shares a bucket is compared or connected already.
+   block, and each pair of blocks gives the links that connect its components, not all alike pairs. So every pair
+   that shares a bucket is compared or connected already.
 4. Repeats are listed per document, and the texts are put together without them.
 
 Equal lines (blanks at the ends aside) are one line from step 1 on, so copies cost nothing later. Two
@@ -70,27 +71,29 @@ def lines_of(documents: DataFrame) -> DataFrame:
     )
 
 
-def shingle_hashes(line: Column) -> Column:
-    found = F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+def shingles(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1))
 
 
-def minwise(hashes: str) -> Column:
-    """Least hash of a column under 16 exclusive-or permutations, upper halves.
+def shingle_hashes(line: Column) -> Column:
+    return F.array_distinct(F.transform(shingles(line), lambda s: F.xxhash64(s)))
 
-    The column is named 16 times, so Spark computes it once and does not fold it into the expression.
-    """
 
-    def least(salt: int) -> Column:
-        return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(salt))))
+def signatures(documents: DataFrame) -> DataFrame:
+    """(key, signature) of every different line: least shingle hash under 16 exclusive-or permutations, upper halves.
 
-    return F.array(*[F.shiftright(least(salt), 32).cast("int") for salt in SALTS])
+    Shingles are rows that are combined by line before the shuffle, so all of it is compiled code.
+    """
+    rows = lines_of(documents).select("key", F.explode(shingles(F.col("line"))).alias("shingle"))
+    hashes = rows.select("key", F.shiftright(F.xxhash64("shingle"), 32).cast("int").alias("hash"))
+    least = [F.min(F.col("hash").bitwiseXOR(F.lit(salt >> 32))) for salt in SALTS]
+    return hashes.groupBy("key").agg(F.array(*least).alias("signature"))
 
 
-def band_rows(occurrences: DataFrame) -> DataFrame:
+def band_rows(signed: DataFrame) -> DataFrame:
     """(band, key): the bands of every line."""
     bands = F.array(*[F.xxhash64(F.lit(n), *[F.col("signature")[i] for i in at]) for n, at in enumerate(BANDS)])
-    return occurrences.select("key", F.explode(bands).alias("band"))
+    return signed.select("key", F.explode(bands).alias("band"))
 
 
 def all_pairs(groups: DataFrame) -> DataFrame:
@@ -180,33 +183,58 @@ def leftovers(members: DataFrame, groups: DataFrame, documents: DataFrame, simil
     outside = outside.agg(F.collect_list(entry).alias("outsiders"))
     outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
 
+    pairs = blocks.join(outside, ["band", "block"])
+    return pairs.select(F.inline(spanning_links("outsiders", "lines", similarity))).distinct()
+
+
+def spanning_links(left: str, right: str, similarity: int) -> Column:
+    """Links (a, b) that connect what the alike lines of two blocks (arrays of key, component, set) connect.
+
+    ``names`` holds the component of every line of both blocks. The lines of the left block are taken in turn: one is
+    compared with the lines of other components only, gets one link to each component it meets, and
+    these take its name. So a block pair gives fewer links than it has components, however many pairs are alike.
+    """
+
     def alike(x: Column, y: Column) -> Column:
         n, m = F.size(x["set"]), F.size(y["set"])
         shared = F.size(F.array_intersect(x["set"], y["set"]))
-        return (
-            (x["component"] != y["component"])
-            & (100 * F.least(n, m) >= similarity * F.greatest(n, m))
-            & ((100 + similarity) * shared >= similarity * (n + m))
-        )
+        return (100 * F.least(n, m) >= similarity * F.greatest(n, m)) & ((100 + similarity) * shared >= similarity * (n + m))
 
     def link(x: Column, y: Column) -> Column:
         return F.struct(F.least(x["key"], y["key"]).alias("a"), F.greatest(x["key"], y["key"]).alias("b"))
 
-    pairs = F.flatten(
-        F.transform(
-            "outsiders",
-            lambda x: F.transform(F.filter("lines", lambda y: alike(x, y)), lambda y: link(x, y)),
+    def bound(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def merge(state: Column, i: Column) -> Column:
+        names, x, own = state["names"], F.get(left, i), F.get(state["names"], F.size(right) + i)
+        met = F.filter(right, lambda y, j: (F.get(names, j) != own) & alike(x, y))
+        return bound(
+            F.array_distinct(F.transform(met, lambda y: F.get(names, F.array_position(F.col(right)["key"], y["key"]).cast("int") - 1))),
+            lambda others: F.struct(
+                F.transform(names, lambda name: F.when(F.array_contains(others, name), own).otherwise(name)).alias("names"),
+                F.concat(
+                    state["links"],
+                    F.transform(others, lambda name: link(x, F.get(right, F.array_position(names, name).cast("int") - 1))),
+                ).alias("links"),
+            ),
         )
+
+    start = F.struct(
+        F.concat(F.col(right)["component"], F.col(left)["component"]).alias("names"),
+        F.expr("CAST(array() AS array<struct<a: bigint, b: bigint>>)").alias("links"),
     )
-    return blocks.join(outside, ["band", "block"]).select(F.inline(pairs)).distinct()
+    turns = F.sequence(F.lit(0), F.size(left) - 1)
+    return F.aggregate(turns, start, merge, lambda state: state["links"])
 
 
-def line_groups(documents: DataFrame, occurrences: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+def line_groups(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(node, component) of every line hash that is like another one's line."""
-    rows = band_rows(occurrences)
+    rows = band_rows(stored(signatures(documents), "line_signatures"))
     buckets = rows.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     buckets = stored(buckets.filter("low != high").select("band"), "buckets")
-    members = stored(joined(rows, buckets, ["band"], "inner", MAX_KEYS).distinct(), "bucket_members")
+    members = stored(joined(rows, buckets, ["band"], "inner", MAX_KEYS), "bucket_members")
     pairs = stored(bucket_pairs(members), "line_pairs")
     links = stored(confirm(pairs, documents, similarity), "line_links")
     groups = stored(connected_components(links), "line_components")
@@ -218,15 +246,8 @@ def line_groups(documents: DataFrame, occurrences: DataFrame, similarity: int =
 
 def repeated_lines(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(id, mark, places): the lines of each document that are like an earlier line."""
-    lines = lines_of(documents)
-    occurrences = stored(
-        lines.withColumn("hashes", shingle_hashes(F.col("line"))).select(
-            "id", "mark", "place", "key", minwise("hashes").alias("signature")
-        ),
-        "line_occurrences",
-    )
-    groups = line_groups(documents, occurrences, similarity)
-    spots = occurrences.select("id", "mark", "place", "key")
+    spots = stored(lines_of(documents).select("id", "mark", "place", "key"), "line_occurrences")
+    groups = line_groups(documents, similarity)
     named = seen_as(groups.select(F.col("node").alias("key"), "component"), groups)
     firsts = spots.groupBy("key").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = joined(firsts, named, ["key"], "left", MAX_SIDE).filter("n > 1 OR component IS NOT NULL")
