@@ -48,14 +48,19 @@ def test_pruned_search_scores_like_a_full_one(spark, monkeypatch):
             for i in range(index.block_start[at], index.block_end[at]):
                 scores[term, index.place[i]] = index.impact[i]
     assert np.allclose(scores.sum(axis=0), 1)
+    queries = []
     for _ in range(300):
         words = rnd.choices(vocabulary, k=40) + rnd.choice(texts).split()
-        terms = np.unique([index.terms[w] for w in words if w in index.terms])
-        full = scores[terms].sum(axis=0)
-        for threshold in (0.3, 0.6, 0.95):
-            found = dict(index.search(terms, threshold))
-            assert set(found) == set(np.flatnonzero(full >= threshold - 1e-9))
-            assert all(abs(full[p] - s) < 1e-9 for p, s in found.items())
+        queries.append(np.unique([index.terms[w] for w in words if w in index.terms]))
+    owner = np.repeat(np.arange(300), [len(terms) for terms in queries])
+    for threshold in (0.3, 0.6, 0.95):
+        together = list(zip(*index.search(np.concatenate(queries), owner, 300, threshold)))
+        for i, terms in enumerate(queries):
+            full = scores[terms].sum(axis=0)
+            alone = index.search(terms, np.zeros(len(terms), dtype=np.int64), 1, threshold)
+            for found in (dict(zip(*alone[1:])), {p: s for q, p, s in together if q == i}):
+                assert set(found) == set(np.flatnonzero(full >= threshold - 1e-9))
+                assert all(abs(full[p] - s) < 1e-9 for p, s in found.items())
 
 
 def test_leaks_are_found_and_others_left(spark, monkeypatch):

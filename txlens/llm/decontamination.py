@@ -10,7 +10,8 @@ Search. Every passage of every document (``2 * PIECE`` words, every ``PIECE`` wo
 ``PIECE`` words lies in one passage) is a query. As in WAND, its terms are ordered by their maximum: up to
 the pivot they cannot reach the threshold together, so only blocks that have a term from the
 pivot on are looked at. Blocks whose maxima cannot reach the threshold are skipped, the others
-are scored piece by piece. All pieces above the threshold are retrieved.
+are scored piece by piece. All pieces above the threshold are retrieved. The passages of a text go through
+these steps together, as arrays.
 
 Verification. Of an item retrieved, question and answer must each share at least ``OVERLAP`` of their word
 trigrams with the document. Items without question and answer columns are split in half.
@@ -23,6 +24,7 @@ empty tables give empty results; other columns are not looked at.
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,7 @@ BLOCK = 8
 THRESHOLD, OVERLAP = 0.6, 0.5
 K1, B = 1.2, 0.75
 MAX_POSTINGS = 1_000_000
+CELLS = 16_384  # passages times blocks looked at together; at most 2 * PIECE list entries a cell
 MAX_FOUND = 200_000  # broadcast bound of contaminated documents
 _WORD = re.compile(r"\w+")
 
@@ -120,45 +123,73 @@ class Index:
         start, size = self.term_start[terms], self.term_start[terms + 1] - self.term_start[terms]
         return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
 
-    def search(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
-        """All pieces whose score for a passage's distinct terms reaches the threshold."""
-        terms = terms[np.argsort(self.term_max[terms], kind="stable")]
-        reach = np.cumsum(self.term_max[terms])
-        pivot = int(np.searchsorted(reach, threshold))
-        if pivot == len(terms):
-            return []
-        after = self._lists(terms[pivot:])
-        bound = np.bincount(self.block[after], self.block_max[after], self.n_blocks)
-        open_blocks = bound >= threshold - (reach[pivot - 1] if pivot else 0.0)
-        open_blocks &= bound > 0
-        if not open_blocks.any():
-            return []
-        before = self._lists(terms[:pivot])
-        bound += np.bincount(self.block[before], self.block_max[before], self.n_blocks)
-        open_blocks &= bound >= threshold
-        if not open_blocks.any():
-            return []
-        every = np.concatenate((after, before))
-        every = every[open_blocks[self.block[every]]]
+    def search(
+        self, terms: np.ndarray, passage: np.ndarray, n: int, threshold: float
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, piece, score): all pieces whose score for a passage's distinct terms reaches the threshold.
+
+        The passages 0 to n - 1 are searched together: ``terms`` and ``passage`` are distinct pairs, and what is
+        kept per block is kept per cell of passage and block.
+        """
+        order = np.lexsort((self.term_max[terms], passage))
+        terms, passage = terms[order], passage[order]
+        upper = self.term_max[terms]
+        total = np.concatenate(([0.0], np.cumsum(upper)))
+        reach = total[1:] - total[np.searchsorted(passage, np.arange(n))][passage]
+        late = reach >= threshold - 1e-9  # terms from the pivot on
+        n_cells = n * self.n_blocks
+
+        def cells(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = self._lists(terms[some])
+            size = self.term_start[terms[some] + 1] - self.term_start[terms[some]]
+            return at, np.repeat(passage[some], size) * self.n_blocks + self.block[at]
+
+        after, cell_after = cells(late)
+        bound = np.bincount(cell_after, self.block_max[after], n_cells)
+        rest = np.bincount(passage[~late], upper[~late], n)
+        opened = (bound > 0) & (bound >= np.repeat(threshold - 1e-9 - rest, self.n_blocks))
+        searched = opened.reshape(n, self.n_blocks).any(axis=1)
+        before, cell_before = cells(~late & searched[passage])
+        bound += np.bincount(cell_before, self.block_max[before], n_cells)
+        opened &= bound >= threshold - 1e-9
+        every, cell = np.concatenate((after, before)), np.concatenate((cell_after, cell_before))
+        left = opened[cell]
+        every, cell = every[left], cell[left]
         start, size = self.block_start[every], self.block_end[every] - self.block_start[every]
         rows = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
-        score = np.bincount(self.place[rows], self.impact[rows])
-        return [(int(p), float(score[p])) for p in np.flatnonzero(score >= threshold - 1e-9)]
+        where = np.flatnonzero(opened)
+        slot = np.repeat(np.searchsorted(where, cell), size) * BLOCK + self.place[rows] % BLOCK
+        score = np.bincount(slot, self.impact[rows], len(where) * BLOCK)
+        hits = np.flatnonzero(score >= threshold - 1e-9)
+        owner, block = np.divmod(where[hits // BLOCK], self.n_blocks)
+        return owner, block * BLOCK + hits % BLOCK, score[hits]
+
+    def best_scores(self, words: list[str], threshold: float) -> dict[int, float]:
+        """Best score of every item that a passage of the text retrieves."""
+        known = np.fromiter(map(self.terms.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        n_passages = len(range(0, max(1, len(words) - PIECE), PIECE))
+        best: dict[int, float] = {}
+        at_once = max(1, CELLS // self.n_blocks)
+        for first in range(0, n_passages, at_once):
+            n = min(at_once, n_passages - first)
+            part = known[first * PIECE : (first + n + 1) * PIECE]
+            place = np.flatnonzero(part >= 0)
+            term, passage = part[place], place // PIECE
+            # A word lies in the passage that starts in its stretch of words and in the one before.
+            pairs = np.concatenate((passage * len(self.terms) + term, (passage - 1) * len(self.terms) + term))
+            pairs = np.unique(pairs[(pairs >= 0) & (pairs < n * len(self.terms))])
+            if len(pairs):
+                _, pieces, scores = self.search(pairs % len(self.terms), pairs // len(self.terms), n, threshold)
+                for piece, score in zip(pieces.tolist(), scores.tolist()):
+                    item = int(self.items[piece])
+                    best[item] = max(score, best.get(item, 0.0))
+        return best
 
     def matches(self, text: str | None, threshold: float, overlap: float) -> list[tuple[int, float, float, float]]:
         """(item_id, best score, question overlap, answer overlap) of the items that a text holds, one for each id."""
         words = words_of(text)
-        known = np.fromiter((self.terms.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        best: dict[int, float] = {}
-        for at in range(0, max(1, len(words) - PIECE), PIECE):
-            passage = np.unique(known[at : at + 2 * PIECE])
-            passage = passage[1:] if len(passage) and passage[0] < 0 else passage
-            if len(passage):
-                for piece, score in self.search(passage, threshold):
-                    item = int(self.items[piece])
-                    best[item] = max(score, best.get(item, 0.0))
         out: dict[int, tuple] = {}
-        for item, score in best.items():
+        for item, score in self.best_scores(words, threshold).items():
             overlaps = [shared(part, words) for part in self.parts[item]]
             if min(overlaps) >= overlap:
                 found = (self.own[item], score, *overlaps)
