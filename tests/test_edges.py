@@ -105,6 +105,29 @@ def test_range_text(spark):
     assert [(r.b.low, r.b.high, r.n) for r in row.collect()] == [(1.5, 4.0, 12), (0.8, 2.0, 0)]
 
 
+def test_cells_of_coordinates(spark):
+    """A known cell id is kept, a missing one comes from the coordinates; parents are prefixes."""
+    rows = [(1, 12.9, 77.6, "88618925c1fffff"), (2, 12.9, 77.6, None), (3, 12.9001, 77.6001, None), (4, 90.0, 180.0, None)]
+    found = nodes.classify_nodes(
+        spark.createDataFrame(rows, "id long, lat double, lon double, h3_index string").withColumn(
+            "tags", F.create_map(F.lit("shop"), F.lit("books"))
+        )
+    )
+    h3 = F.col("h3_index")
+    out = {r.osm_id: r for r in found.select("osm_id", "h3_index", cells.cell_parent(h3, 4).alias("up")).collect()}
+    assert out[1].h3_index == "88618925c1fffff" and out[1].up == "8461893ffffffff"
+    assert out[2].h3_index == out[3].h3_index and len(out[2].h3_index) == 16
+    assert out[2].up == out[2].h3_index[:10] and out[4].h3_index == "q" + "3" * 15
+    null = spark.range(1).select(cells.location_cell(F.lit(None).cast("double"), F.lit(1.0)).alias("c"))
+    assert null.first().c is None
+
+
+def test_rows_without_a_time_are_in_neither_part(spark):
+    rows = spark.sql("SELECT id, IF(id = 5, NULL, timestamp_seconds(id)) AS timestamp FROM range(9)")
+    split = {r.id: r.split for r in sampling.oot_split(rows, 0.5).collect()}
+    assert [split[i] for i in range(9)] == ["train"] * 4 + ["test", None] + ["test"] * 3
+
+
 def test_scaled_amount_limits(spark):
     df = spark.createDataFrame([(100.0,), (0.5,), (9e5,)], "a double")
     out = df.select(numeric.scaled_amount(F.col("a"), F.lit(1.5))).collect()

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from txlens.plans import jobs
 from txlens.sources import fixtures as fx
-from txlens.sources import schema
-from txlens.sources.tables import enforce, read_table, write_table
+from txlens.sources import lookups, schema
+from txlens.sources.tables import enforce, read_table, write_csv, write_table
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -56,6 +56,22 @@ def test_medallion(warehouse):
     assert frauds.count() == warehouse.read("bronze", "transactions").filter("is_fraud").count()
 
 
+def test_marts_with_other_lists(warehouse, spark):
+    """Lists given as CSV replace those of the library; a kind that is not listed falls back as before."""
+    folder = tempfile.mkdtemp(prefix="lists-")
+    kinds = spark.createDataFrame([(" Clothes", "TAILOR", "HIGH")], lookups.CATEGORY_SCHEMA)
+    states = spark.createDataFrame([("mh", "Maharashtra!")], lookups.STATE_SCHEMA)
+    write_csv(kinds, f"{folder}/category_map.csv")
+    write_csv(states, f"{folder}/state_map.csv")
+    run(warehouse, "extract-nodes")
+    other = jobs.Warehouse(spark, warehouse.raw_root, warehouse.root, lookups=folder)
+    run(other, "build-marts")
+    shops = other.read("marts", "merchants").select("merchant_category", "risk_level").distinct()
+    assert sorted(map(tuple, shops.collect())) == [("GENERAL_RETAIL", "LOW"), ("TAILOR", "HIGH")]
+    given = other.lookup("state_map", lookups.STATE_SCHEMA, lookups.state_map)
+    assert [tuple(r) for r in given.collect()] == [("mh", "Maharashtra!")]
+
+
 def test_further_payments_replace_by_id(warehouse):
     """A later file with corrected and new payments, loaded twice."""
     run(warehouse, "ingest")

@@ -1,8 +1,11 @@
 """The stateful stream equals its batch twins, also after a restart and a warm start."""
 
+import math
+import random
 import tempfile
 from datetime import timedelta
 
+import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -139,6 +142,82 @@ def test_late_payments_do_not_move_a_card_back(spark):
     assert rows[3].history == ["3", "1", "0"]
 
 
+def one_payment_at_a_time(stats, cards, rows):
+    """Plain version of the live step: payments in order, each against the state that those before it left."""
+    out = []
+    for row in rows:
+        count, mean, m2 = stats
+        std = math.sqrt(m2 / count) if count > 1 else 0.0
+        score = (row["amount"] - mean) / std if std > 0 else 0.0
+        delta = row["amount"] - mean
+        stats = (count + 1, mean + delta / (count + 1), m2 + delta * delta * count / (count + 1))
+        at, card = row["event_us"], cards.get(row["card_id"])
+        late = card is not None and at < card["last_us"]
+        before = None if late else card
+        newest = card["last_us"] if late else at
+        times = [t for t in (card["recent_us"] if card else []) + [at] if t > newest - 60_000_000]
+        gap = (at - before["last_us"]) / 1e6 if before else 0.0
+        km = 111.0 * math.hypot(row["location_lat"] - before["lat"], row["location_long"] - before["lon"]) if before else 0
+        ids = card["history"] if card else []
+        seen = {"seq": (card["seq"] if card else 0) + 1, "recent_us": sorted(times), "history": ids}
+        if not late:
+            seen |= {"history": [row["transaction_id"], *ids][:10], "last_us": at, "lat": row["location_lat"],
+                     "lon": row["location_long"], "category": row["merchant_category"], "amount": row["amount"]}
+        burst = max(1, sum(t <= at for t in times))
+        out.append(
+            {
+                "transaction_id": row["transaction_id"],
+                "time_since_last_transaction": gap,
+                "transaction_sequence_number": seen["seq"],
+                "burst_count": burst,
+                "rapid_fire_transaction_flag": int(burst > 3),
+                "escalating_amounts_flag": int(before is not None and row["amount"] > before["amount"]),
+                "merchant_category_switch_flag": int(
+                    before is not None and row["merchant_category"] != before["category"]
+                ),
+                "spatial_velocity": min(km / (gap / 3600.0), 1000.0) if gap > 0 else 0.0,
+                "late_flag": int(late),
+                "history": seen["history"],
+                "amount_deviation_z_score": score,
+            }
+        )
+        cards[row["card_id"]] = (card or {}) | seen
+    return out, stats
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_arrays_equal_one_payment_at_a_time(seed):
+    """Batches with late payments, equal times, equal amounts and missing categories."""
+    draw = random.Random(seed)
+    stats, cards, plain_stats, plain_cards, n = (0, 0.0, 0.0), {}, (0, 0.0, 0.0), {}, 0
+    for step in range(12):
+        rows = []
+        for _ in range(draw.choice([1, 2, 40])):
+            n += 1
+            rows.append(
+                {
+                    "transaction_id": f"{n:05d}", "card_id": draw.choice("abc"),
+                    "event_us": 1_000_000 * (step * draw.choice([20, 60]) + draw.randrange(90)),
+                    "amount": 0.1 if step < 3 else draw.choice([0.1, 7.25, 1e4 * draw.random()]),
+                    "merchant_category": draw.choice(["x", "y", None]),
+                    "location_lat": draw.random(), "location_long": draw.random(),
+                }
+            )
+        rows.sort(key=lambda r: (r["event_us"], r["transaction_id"]))
+        expected, plain_stats = one_payment_at_a_time(plain_stats, plain_cards, rows)
+        batch = pd.DataFrame(rows)
+        scores, stats = state.amount_scores(stats, batch["amount"].to_numpy())
+        parts = []
+        for card_id, part in batch.groupby("card_id", sort=False):
+            features, cards[card_id] = state.card_features(cards.get(card_id), part)
+            parts.append(features)
+        got = batch[["transaction_id"]].join(pd.concat(parts)).assign(amount_deviation_z_score=scores)
+        for mine, plain in zip(got.to_dict("records"), expected):
+            assert mine == {k: pytest.approx(v, abs=1e-9) if isinstance(v, float) else v for k, v in plain.items()}
+        assert cards == plain_cards
+        assert stats == pytest.approx(plain_stats, rel=1e-9, abs=1e-12)
+
+
 def test_idle_cards_are_forgotten(spark):
     """Card c2 moves the watermark on by 40 days; by then c1, unused for longer than 30, has no state."""
     day = 86_400

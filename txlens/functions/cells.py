@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,8 +11,29 @@ from pyspark.sql import functions as F
 _RES_SHIFT, _DIGIT_BITS, _MAX_RES = 52, 3, 15
 
 
+# A square cell stands in for a hexagon where only coordinates are known: its id is MARK and a quadkey of
+# FINEST digits, about the area of a hexagon at resolution 8.
+MARK, FINEST = "q", 15
+
+
+def location_cell(lat: Column, lon: Column) -> Column:
+    """Cell id of a point; null outside the ranges of latitude and longitude."""
+    inside = lat.between(-90, 90) & lon.between(-180, 180)
+    return F.when(inside, F.concat(F.lit(MARK), grid_cell(lat, lon, FINEST)))
+
+
+def square_level(resolution: int) -> int:
+    """Quadkey digits whose squares come nearest in area to hexagons of a resolution (steps of 4 against 7)."""
+    return round(FINEST - math.log(7, 4) * (8 - resolution))
+
+
 def cell_parent(cell: Column, resolution: int) -> Column:
-    """Ancestor of a hexagon cell id (hex text) at a coarser resolution."""
+    """Ancestor of a cell id at a coarser resolution, of hexagons (hex text) and of ``location_cell``."""
+    square = F.substring(cell, 1, len(MARK) + square_level(resolution))
+    return F.when(cell.startswith(MARK), square).otherwise(_hexagon_parent(cell, resolution))
+
+
+def _hexagon_parent(cell: Column, resolution: int) -> Column:
     bits = F.conv(cell, 16, 10).cast("bigint")
     unused = (1 << (_DIGIT_BITS * (_MAX_RES - resolution))) - 1
     cleared = bits.bitwiseAND(F.lit(~(0xF << _RES_SHIFT)))

@@ -200,7 +200,7 @@ def category_overrep(
     ]
     if label:
         columns.append(safe_div(F.col("_hits"), F.col("flag_count")).alias("verified_fraud_rate"))
-    return per.select(*columns).orderBy(F.desc("index"))
+    return per.select(*columns).orderBy(F.desc("index"), category)
 
 
 def class_weight(rows: DataFrame, label: str = "is_fraud") -> DataFrame:

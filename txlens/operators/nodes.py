@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from txlens.functions.cells import location_cell
 from txlens.functions.names import title_words
 from txlens.operators.ordered import MAX_KEY_ROWS, ordered_columns
 from txlens.sources import lookups
@@ -25,7 +26,8 @@ def _tag(name: str) -> Column:
 def classify_nodes(nodes: DataFrame) -> DataFrame:
     """Merchant category, financial kind and residential flag of each valid node.
 
-    The tag map is unpacked here once; the three outputs below only filter and project.
+    The tag map is unpacked here once; the three outputs below only filter and project. A node without a cell id
+    gets the square cell of its coordinates.
     """
     shop, amenity, tourism = _tag("shop"), _tag("amenity"), _tag("tourism")
     # A present but unlisted amenity hides the tourism tag.
@@ -38,6 +40,9 @@ def classify_nodes(nodes: DataFrame) -> DataFrame:
     homes = F.coalesce(_tag("building") == "residential", F.lit(False)) | F.coalesce(
         _tag("landuse") == "residential", F.lit(False)
     )
+    cell = location_cell(F.col("lat"), F.col("lon"))
+    if "h3_index" in nodes.columns:
+        cell = F.coalesce("h3_index", cell)
     valid = F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)
     chosen = (
         F.when(F.col("category") == "shop", shop)
@@ -49,7 +54,7 @@ def classify_nodes(nodes: DataFrame) -> DataFrame:
         .withColumn("category", category)
         .select(
             F.col("id").alias("osm_id"),
-            "h3_index",
+            cell.alias("h3_index"),
             "lat",
             "lon",
             F.coalesce(_tag("name"), F.lit("Unknown Merchant")).alias("name"),

@@ -62,10 +62,10 @@ def exact_split(
 
 
 def oot_split(rows: DataFrame, train_share: float = 0.75, ts: str = "timestamp") -> DataFrame:
-    """Out-of-time split: the last part of the time span is the test set."""
+    """Out-of-time split: the last part of the time span is the test set; rows without a time are in neither (null)."""
     ms = epoch_millis(F.col(ts))
     cut = rows.agg(F.min(ms) + (F.max(ms) - F.min(ms)) * F.lit(train_share)).scalar()
-    return rows.withColumn("split", F.when(ms < cut, "train").otherwise("test"))
+    return rows.withColumn("split", F.when(ms < cut, "train").when(ms >= cut, "test"))
 
 
 def balanced_sample(

@@ -30,7 +30,7 @@ from txlens.operators import (
 from txlens.session import use_utc
 from txlens.sources import fixtures as fx
 from txlens.sources import landing, lookups
-from txlens.sources.tables import scratch
+from txlens.sources.tables import scratch, write_csv
 from txlens.streaming import codec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,6 +235,24 @@ def customer_features(spark, d):
     return _millis(_customers(spark, d), "first_transaction_ts", "last_transaction_ts")
 
 
+@query
+def customer_features_gaps(spark, d):
+    """Missing merchants, categories and countries each count as one value."""
+    out = customer.customer_features(fx.payments_with_gaps(spark, d), fx.customers(spark, d), fx.accounts(spark, d))
+    return _millis(out, "first_transaction_ts", "last_transaction_ts")
+
+
+@query
+def merchant_features_gaps(spark, d):
+    """Payments without a merchant form a group of their own."""
+    return entity.merchant_features(fx.payments_with_gaps(spark, d))
+
+
+@query
+def campaign_features_gaps(spark, d):
+    return campaign.campaign_features(fx.payments_with_gaps(spark, d))
+
+
 @query
 def sequence_features(spark, d):
     return _millis(_sequence(spark, d), "timestamp")
@@ -281,6 +299,30 @@ def gold_full(spark, d):
     return _millis(out.drop("feature_calculated_at"), "timestamp")
 
 
+def _some_sides(spark, d):
+    """Customers known from card payments and merchants known from domestic ones; the others are strangers."""
+    tx = fx.payments(spark, d)
+    by_card = customer.customer_activity(tx.filter("transaction_channel = 'cards'"))
+    return by_card, entity.merchant_features(tx.filter("merchant_country = 'IN'"))
+
+
+@query
+def gold_master_strangers(spark, d):
+    """Payments of customers and merchants that have no features yet: their rates become 0."""
+    return _millis(gold.gold_master(_silver(spark, d), *_some_sides(spark, d)).drop("feature_calculated_at"), "timestamp")
+
+
+@query
+def gold_full_strangers(spark, d):
+    """The same in the full form: rates stay null, network and campaign figures become 0."""
+    tx = fx.payments(spark, d)
+    known = _network(spark, d).join(tx.filter("card_present = 1").select("transaction_id"), "transaction_id")
+    out = gold.gold_full(
+        tx, _silver(spark, d), *_some_sides(spark, d), known, campaign.campaign_features(tx)
+    )
+    return _millis(out.drop("feature_calculated_at"), "timestamp")
+
+
 @query
 def gold_wide(spark, d):
     tx = fx.payments(spark, d)
@@ -424,6 +466,19 @@ def city_district_intersect(spark, d):
     return nodes.city_district_intersect(cities, nodes.state_districts(fx.map_relations(spark, d)))
 
 
+@query
+def lookup_from_csv(spark, d):
+    """Customers by region over a list of nations kept as CSV, written by one job and read by another."""
+    listed = fx.table(spark, d, "nation").join(fx.table(spark, d, "region"), F.expr("n_regionkey = r_regionkey"))
+    names = listed.select(F.concat(F.lit(" "), F.lower("n_name")).alias("name"), F.col("r_name").alias("region"))
+    path = scratch(spark, "nations")
+    write_csv(names.unionByName(listed.select(F.col("n_name").alias("name"), F.col("r_name").alias("region"))), path)
+    known = lookups.unique_lookup(lookups.read_lookup(spark, path, "name string, region string"), "name")
+    nations = fx.table(spark, d, "nation").select("n_nationkey", F.upper("n_name").alias("name"))
+    homes = fx.table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey"))
+    return homes.join(nations, "n_nationkey").join(known, "name").groupBy("region").agg(F.count(F.lit(1)).alias("customers"))
+
+
 @query
 def cell_parent(spark, d):
     h3 = F.col("h3_index")
@@ -432,6 +487,14 @@ def cell_parent(spark, d):
     )
 
 
+@query
+def node_cells(spark, d):
+    """Nodes that come without a cell id get the square cell of their coordinates, and its parents."""
+    found = nodes.classify_nodes(fx.map_nodes(spark, d).drop("h3_index"))
+    h3 = F.col("h3_index")
+    return found.select("osm_id", "h3_index", *[cells.cell_parent(h3, r).alias(f"cell{r}") for r in (6, 4)])
+
+
 @query
 def grid_cell(spark, d):
     lat, lon = F.col("location_lat"), F.col("location_long")

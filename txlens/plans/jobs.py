@@ -8,6 +8,7 @@ Every job reads whole tables, runs one chain of operators and replaces its targe
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
@@ -54,13 +55,20 @@ class Warehouse:
         since: str | None = None,
         kafka: str | None = None,
         as_of: bool = False,
+        lookups: str | None = None,
     ):
         self.spark, self.raw_root, self.root = spark, raw, root
-        self.since, self.kafka, self.as_of = since, kafka, as_of
+        self.since, self.kafka, self.as_of, self.lookups = since, kafka, as_of, lookups
 
     def raw(self, name: str, kind=None) -> DataFrame:
         return read_table(self.spark, f"{self.raw_root}/{name}.parquet", kind)
 
+    def lookup(self, name: str, kind: str, built_in: Callable[[SparkSession], DataFrame]) -> DataFrame:
+        """The CSV list of that name if a folder of lists is given, else the list that comes with the library."""
+        if self.lookups is None:
+            return built_in(self.spark)
+        return lookups.read_lookup(self.spark, f"{self.lookups}/{name}.csv", kind)
+
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
@@ -199,7 +207,7 @@ def extract_nodes(w: Warehouse) -> None:
     """One pass over the raw tags; the three tables are cut from its compact result."""
     some_role = "kind IS NOT NULL OR category IS NOT NULL OR is_residential"
     write_table(
-        nodes.classify_nodes(w.raw("map_nodes")).filter(some_role), w.path("reference", "nodes")
+        nodes.classify_nodes(w.raw("map_nodes", schema.MAP_NODES)).filter(some_role), w.path("reference", "nodes")
     )
     classified = w.read("reference", "nodes")
     write_table(nodes.financial_nodes(classified), w.path("reference", "raw_financial"))
@@ -208,7 +216,7 @@ def extract_nodes(w: Warehouse) -> None:
 
 
 def map_city_state(w: Warehouse) -> None:
-    counts = nodes.city_state_counts(w.raw("map_nodes"))
+    counts = nodes.city_state_counts(w.raw("map_nodes", schema.MAP_NODES))
     write_table(nodes.report_order(counts), w.path("reference", "city_state"))
 
 
@@ -218,12 +226,12 @@ def normalize_states(w: Warehouse) -> None:
 
 
 def parse_districts(w: Warehouse) -> None:
-    out = nodes.state_districts(w.raw("map_relations"))
+    out = nodes.state_districts(w.raw("map_relations", schema.MAP_RELATIONS))
     write_table(out, w.path("reference", "state_districts"))
 
 
 def map_state_districts(w: Warehouse) -> None:
-    out = nodes.relation_districts(w.raw("map_relations"))
+    out = nodes.relation_districts(w.raw("map_relations", schema.MAP_RELATIONS))
     write_table(out, w.path("reference", "relation_districts"))
 
 
@@ -236,10 +244,10 @@ def compare_city_district(w: Warehouse) -> None:
 
 def build_marts(w: Warehouse) -> None:
     layers = marts.boundary_layers(w.raw("state_boundaries"), w.raw("district_boundaries"))
-    shops = marts.stage_merchants(
-        w.read("reference", "raw_merchants"), lookups.category_map(w.spark)
-    )
-    known = lookups.unique_lookup(lookups.state_map(w.spark), "raw_name")
+    kinds = w.lookup("category_map", lookups.CATEGORY_SCHEMA, lookups.category_map)
+    states = w.lookup("state_map", lookups.STATE_SCHEMA, lookups.state_map)
+    shops = marts.stage_merchants(w.read("reference", "raw_merchants"), kinds)
+    known = lookups.unique_lookup(states, "raw_name")
     homes = marts.stage_residential(w.read("reference", "raw_residential"), known)
     write_table(marts.mart_merchants(shops, layers), w.path("marts", "merchants"))
     write_table(marts.mart_residential(homes, layers), w.path("marts", "residential"))
@@ -389,9 +397,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--warehouse", required=True, help="folder for bronze, silver, gold")
     parser.add_argument("--since", help="publish payments from this time on; score-live starts from those before")
     parser.add_argument("--kafka", help="bootstrap servers; without them the live jobs use files")
+    parser.add_argument("--lookups", help="folder with category_map.csv and state_map.csv for build-marts")
     parser.add_argument("--as-of", action="store_true", help="silver features look at earlier payments only")
     args = parser.parse_args(argv)
-    JOBS[args.job](Warehouse(build_session(), args.raw, args.warehouse, args.since, args.kafka, args.as_of))
+    spark = build_session()
+    JOBS[args.job](
+        Warehouse(spark, args.raw, args.warehouse, args.since, args.kafka, args.as_of, args.lookups)
+    )
 
 
 if __name__ == "__main__":

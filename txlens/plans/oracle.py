@@ -80,6 +80,11 @@ oracle(
     TX,
     settle=("category_avg_amount", "category_fraud_baseline"),
 )
+GAPS = f"tx AS ({fx.sql_for_oracle(fx.PAYMENTS_WITH_GAPS)})"
+oracle(
+    "merchant_features_gaps", "SELECT * FROM merchant", GAPS, MERCHANT,
+    settle=("avg_transaction_amount", "std_transaction_amount", "merchant_fraud_rate"),
+)
 DEVICE = """device AS (SELECT user_agent, count(*) AS transaction_count,
   CAST(sum(is_fraud) AS BIGINT) AS fraud_tx_count,
   count(DISTINCT customer_id) AS unique_customers_per_device,
@@ -116,19 +121,22 @@ ACTIVITY = """activity AS (SELECT *,
     CAST(sum(CASE WHEN isodow(tx_ts) >= 6 THEN 1 ELSE 0 END) AS BIGINT) AS weekend_tx_count,
     (epoch_us(min(tx_ts)) // 1000) AS first_transaction_ts, (epoch_us(max(tx_ts)) // 1000) AS last_transaction_ts
     FROM tx GROUP BY customer_id) a)"""
-oracle(
-    "customer_features",
-    """SELECT cust.*, coalesce(n, 0) AS account_count, activity.* EXCLUDE (customer_id)
+CUSTOMER = """SELECT cust.*, coalesce(n, 0) AS account_count, activity.* EXCLUDE (customer_id)
     REPLACE (coalesce(fraud_rate, 0) AS fraud_rate, coalesce(total_transactions, 0) AS total_transactions)
     FROM cust LEFT JOIN (SELECT customer_id, count(*) AS n FROM acc GROUP BY customer_id) acc
       ON cust.customer_id = acc.customer_id
-    LEFT JOIN activity ON cust.customer_id = activity.customer_id""",
-    TX, CUST, ACC, ACTIVITY,
-    settle=(
-        "home_latitude", "home_longitude", "fraud_rate", "avg_transaction_amount",
-        "std_transaction_amount", "night_transaction_ratio", "weekend_transaction_ratio",
-    ),
+    LEFT JOIN activity ON cust.customer_id = activity.customer_id"""
+CUSTOMER_DOUBLES = (
+    "home_latitude", "home_longitude", "fraud_rate", "avg_transaction_amount",
+    "std_transaction_amount", "night_transaction_ratio", "weekend_transaction_ratio",
 )
+oracle("customer_features", CUSTOMER, TX, CUST, ACC, ACTIVITY, settle=CUSTOMER_DOUBLES)
+# A missing value counts as one value.
+ACTIVITY_GAPS = ACTIVITY
+for _name in ("merchant_id", "merchant_category", "merchant_country"):
+    _distinct = f"count(DISTINCT {_name})"
+    ACTIVITY_GAPS = ACTIVITY_GAPS.replace(_distinct, f"{_distinct} + max(CASE WHEN {_name} IS NULL THEN 1 ELSE 0 END)")
+oracle("customer_features_gaps", CUSTOMER, GAPS, CUST, ACC, ACTIVITY_GAPS, settle=CUSTOMER_DOUBLES)
 
 SEQ = """lagged AS (SELECT *, (epoch_us(tx_ts) // 1000) AS ms, CAST(extract(hour FROM tx_ts) AS DOUBLE) AS h,
     lag((epoch_us(tx_ts) // 1000)) OVER w AS p_ms, lag(location_lat) OVER w AS p_lat,
@@ -204,6 +212,9 @@ camp AS (SELECT transaction_id, campaign_id, n AS campaign_txn_count, total AS c
     sum(amount) AS total, count(DISTINCT merchant_id) AS merchants FROM sessions GROUP BY campaign_id) t
   USING (campaign_id))"""
 oracle("campaign_features", "SELECT * FROM camp", TX, CAMPAIGN, settle=("campaign_total_amount",))
+_diversity = "count(DISTINCT merchant_id)"
+CAMPAIGN_GAPS = CAMPAIGN.replace(_diversity, f"{_diversity} + max(CASE WHEN merchant_id IS NULL THEN 1 ELSE 0 END)")
+oracle("campaign_features_gaps", "SELECT * FROM camp", GAPS, CAMPAIGN_GAPS, settle=("campaign_total_amount",))
 
 # --- gold -----------------------------------------------------------------------------
 
@@ -220,6 +231,13 @@ oracle(
     "gold_master", "SELECT * FROM gold", *GOLD_CTES,
     settle=(*SEQ_DOUBLES, "cf_fraud_rate", "cf_night_tx_ratio", "mf_fraud_rate"),
 )
+# Customers known from card payments and merchants known from domestic ones.
+SOME_ACTIVITY = ACTIVITY.replace("FROM tx GROUP", "FROM tx WHERE transaction_channel = 'cards' GROUP")
+SOME_MERCHANT = MERCHANT.replace("FROM tx GROUP", "FROM tx WHERE merchant_country = 'IN' GROUP")
+oracle(
+    "gold_master_strangers", "SELECT * FROM gold", TX, META, SEQ, SILVER, SOME_ACTIVITY, SOME_MERCHANT, GOLD,
+    settle=(*SEQ_DOUBLES, "cf_fraud_rate", "cf_night_tx_ratio", "mf_fraud_rate"),
+)
 NET = f"""net AS (SELECT transaction_id, customer_id,
   greatest(ip_fraud_rate, dev_fraud_rate) AS shared_entity_fraud_rate,
   greatest(ip_degree, dev_degree) AS degree,
@@ -228,9 +246,7 @@ NET = f"""net AS (SELECT transaction_id, customer_id,
   FROM tx JOIN ip USING (ip_address) JOIN dev USING (user_agent))"""
 ROLLUP = """rollup_net AS (SELECT customer_id, max(suspicious_cluster_member) AS net_suspicious_cluster_member,
   avg(shared_entity_fraud_rate) AS net_avg_shared_entity_fraud_rate FROM net GROUP BY customer_id)"""
-oracle(
-    "gold_full",
-    """SELECT t.transaction_id, (epoch_us(t.tx_ts) // 1000) AS "timestamp", t.amount, t.merchant_id,
+GOLD_FULL = """SELECT t.transaction_id, (epoch_us(t.tx_ts) // 1000) AS "timestamp", t.amount, t.merchant_id,
     t.customer_id, t.merchant_category, t.transaction_channel, t.card_present, t.is_fraud,
     s.fraud_target, s.fraud_type, s.time_since_last_transaction, s.transaction_sequence_number,
     s.spatial_velocity, s.hour_deviation_from_norm, s.amount_deviation_z_score,
@@ -247,13 +263,20 @@ oracle(
     LEFT JOIN net n ON t.transaction_id = n.transaction_id
     LEFT JOIN camp k ON t.transaction_id = k.transaction_id
     LEFT JOIN activity c ON t.customer_id = c.customer_id
-    LEFT JOIN merchant m ON t.merchant_id = m.merchant_id""",
-    TX, META, SEQ, SILVER, ACTIVITY, MERCHANT, IP, DEV, NET, CAMPAIGN,
-    settle=(
-        "amount", "time_since_last_transaction", "spatial_velocity", "hour_deviation_from_norm",
-        "amount_deviation_z_score", "shared_entity_fraud_rate", "campaign_total_amount",
-        "cf_fraud_rate", "cf_night_tx_ratio", "mf_fraud_rate",
-    ),
+    LEFT JOIN merchant m ON t.merchant_id = m.merchant_id"""
+GOLD_FULL_DOUBLES = (
+    "amount", "time_since_last_transaction", "spatial_velocity", "hour_deviation_from_norm",
+    "amount_deviation_z_score", "shared_entity_fraud_rate", "campaign_total_amount",
+    "cf_fraud_rate", "cf_night_tx_ratio", "mf_fraud_rate",
+)
+oracle(
+    "gold_full", GOLD_FULL, TX, META, SEQ, SILVER, ACTIVITY, MERCHANT, IP, DEV, NET, CAMPAIGN,
+    settle=GOLD_FULL_DOUBLES,
+)
+SOME_NET = f"all_{NET}, net AS (SELECT all_net.* FROM all_net JOIN tx USING (transaction_id) WHERE tx.card_present = 1)"
+oracle(
+    "gold_full_strangers", GOLD_FULL, TX, META, SEQ, SILVER, SOME_ACTIVITY, SOME_MERCHANT, IP, DEV, SOME_NET, CAMPAIGN,
+    settle=GOLD_FULL_DOUBLES,
 )
 oracle(
     "gold_wide",
@@ -410,6 +433,11 @@ def _parent(bits: str, level: int) -> str:
     return f"lower(hex(({bits} & {keep}) | {level << 52} | {unused}))"
 
 
+oracle(
+    "lookup_from_csv",
+    """SELECT r_name AS region, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
+)
 oracle(
     "cell_parent",
     f"""SELECT id, lower(hex(cell_bits)) AS h3_index, {_parent('cell_bits', 6)} AS cell6,
@@ -418,15 +446,21 @@ oracle(
 )
 
 
-def _quadkey(level: int) -> str:
-    x = f"CAST(least(floor((location_long + 180.0) / 360.0 * {1 << level}), {(1 << level) - 1}) AS BIGINT)"
-    y = f"CAST(least(floor((location_lat + 90.0) / 180.0 * {1 << level}), {(1 << level) - 1}) AS BIGINT)"
+def _quadkey(level: int, lat: str = "location_lat", lon: str = "location_long") -> str:
+    x = f"CAST(least(floor(({lon} + 180.0) / 360.0 * {1 << level}), {(1 << level) - 1}) AS BIGINT)"
+    y = f"CAST(least(floor(({lat} + 90.0) / 180.0 * {1 << level}), {(1 << level) - 1}) AS BIGINT)"
     return " || ".join(
         f"CAST((({x} >> {s}) & 1) + 2 * (({y} >> {s}) & 1) AS VARCHAR)" for s in range(level - 1, -1, -1)
     )
 
 
 oracle("grid_cell", f"SELECT transaction_id, {_quadkey(8)} AS grid8, {_quadkey(5)} AS grid5 FROM tx", TX)
+oracle(
+    "node_cells",
+    f"""SELECT id AS osm_id, 'q' || q AS h3_index, 'q' || left(q, 12) AS cell6, 'q' || left(q, 9) AS cell4
+    FROM (SELECT id, {_quadkey(15, 'lat', 'lon')} AS q FROM valid) v""",
+    NODES, VALID,
+)
 INDEX = f"""cells AS (SELECT *, ('0x' || h3_index)::BIGINT AS bits FROM staged),
 idx AS (SELECT tier, "key", count(*) AS merchants FROM (
   SELECT 'cell6' AS tier, {_parent('bits', 6)} AS "key" FROM cells

@@ -35,6 +35,17 @@ SELECT event_id AS transaction_id,
 FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM {events}) e
 """
 
+# Foreign merchants are not named, upi payments over the counter have no category, online ones no country.
+PAYMENTS_WITH_GAPS = f"""
+SELECT transaction_id, card_id, account_id, customer_id,
+  CASE WHEN merchant_country = 'IN' THEN merchant_id END AS merchant_id,
+  CASE WHEN transaction_channel <> 'upi' OR card_present = 0 THEN merchant_category END AS merchant_category,
+  CASE WHEN transaction_channel <> 'online' THEN merchant_country END AS merchant_country,
+  amount, tx_ts, transaction_channel, card_present, user_agent, ip_address, is_fraud, chargeback,
+  chargeback_days, location_lat, location_long
+FROM ({PAYMENTS}) p
+"""
+
 FRAUD_METADATA = """
 SELECT event_id AS transaction_id,
   CASE WHEN value > 60 THEN 1 ELSE 0 END AS fraud_target,
@@ -183,6 +194,11 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapt(spark, sf_dir, PAYMENTS).withColumnRenamed("tx_ts", "timestamp")
 
 
+def payments_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payments, of which some lack merchant, category or country."""
+    return adapt(spark, sf_dir, PAYMENTS_WITH_GAPS).withColumnRenamed("tx_ts", "timestamp")
+
+
 def fraud_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapt(spark, sf_dir, FRAUD_METADATA)
 

@@ -50,7 +50,7 @@ CARDS = _struct(
 )
 
 MAP_MEMBER = _struct(type=_S, ref=_L)
-MAP_NODES = _struct(id=_L, lat=_D, lon=_D, tags=T.MapType(_S, _S))
+MAP_NODES = _struct(id=_L, lat=_D, lon=_D, tags=T.MapType(_S, _S), h3_index=_S)
 MAP_RELATIONS = _struct(id=_L, tags=T.MapType(_S, _S), members=T.ArrayType(MAP_MEMBER))
 
 RING = T.ArrayType(_struct(lon=_D, lat=_D))

@@ -1,9 +1,9 @@
 """Live features: one stateful operator keyed by customer.
 
 A card belongs to one customer, so a single shuffle on the customer serves the customer's
-running mean and every card's last payment. Payments of a customer are handled in
-(timestamp, id) order within a micro-batch; the size of a batch, and with it the rows of a
-busy customer held at once, is set by the source's per-trigger limit.
+running mean and every card's last payment. Payments of a customer are put in
+(timestamp, id) order within a micro-batch and computed as arrays, one step per card; the size of a batch, and with it
+the rows of a busy customer held at once, is set by the source's per-trigger limit.
 
 Late payments: one that is older than the card's latest payment is scored, with ``late_flag`` 1, but does
 not move the card back. It counts as a payment of the card (sequence number) and of the customer (running
@@ -17,10 +17,10 @@ older than the watermark are then dropped by Spark, as their state may be gone.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
@@ -89,62 +89,102 @@ FEATURES = T.StructType(
 )
 
 
-def _z_score(stats: tuple[int, float, float], amount: float) -> float:
-    count, mean, m2 = stats
-    std = math.sqrt(m2 / count) if count > 1 else 0.0
-    return (amount - mean) / std if std > 0 else 0.0
-
-
-def _absorb(stats: tuple[int, float, float], amount: float) -> tuple[int, float, float]:
-    """Running count, mean and sum of squared deviations after one more amount."""
-    count, mean, m2 = stats
-    count += 1
-    delta = amount - mean
-    mean += delta / count
-    return count, mean, m2 + delta * (amount - mean)
-
-
-def _step(card: dict | None, row, at: int) -> tuple[dict, dict]:
-    """(features of this payment, next card state)."""
-    late = card is not None and at < card["last_us"]
-    before = None if late else card  # what the payment is compared with
-    gap = (at - before["last_us"]) / MICROS if before else 0.0
-    velocity = 0.0
-    if before and gap > 0:
-        km = 111.0 * math.hypot(row.location_lat - before["lat"], row.location_long - before["lon"])
-        velocity = min(km / (gap / 3600.0), MAX_LIVE_VELOCITY)
-    newest = card["last_us"] if late else at
-    span = BURST_SECONDS * MICROS
-    recent = sorted(t for t in [*(card["recent_us"] if card else []), at] if t > newest - span)
-    burst = max(1, sum(at - span < t <= at for t in recent))
-    history = list(card["history"]) if card else []
-    history = history if late else [row.transaction_id, *history][:HISTORY_LENGTH]
-    seq = (card["seq"] if card else 0) + 1
-    features = {
-        "time_since_last_transaction": gap,
-        "transaction_sequence_number": seq,
-        "burst_count": burst,
-        "rapid_fire_transaction_flag": int(burst > BURST_LIMIT),
-        "escalating_amounts_flag": int(bool(before) and row.amount > before["amount"]),
-        "merchant_category_switch_flag": int(
-            bool(before) and row.merchant_category != before["category"]
-        ),
-        "spatial_velocity": velocity,
-        "hour_deviation_from_norm": 0.0,
-        "late_flag": int(late),
-        "history": history,
-    }
-    if late:
-        return features, card | {"seq": seq, "recent_us": recent}
+def amount_scores(
+    stats: tuple[int, float, float], amount: np.ndarray
+) -> tuple[np.ndarray, tuple[int, float, float]]:
+    """z-score of every amount against all amounts before it; then count, mean and squared deviations after the last.
+
+    Sums are taken of differences to the first amount, so that equal amounts deviate by exactly 0.
+    """
+    seen, mean_before, m2_before = stats
+    diff = amount - amount[0]
+    n = np.arange(len(amount) + 1)
+    total = np.concatenate(([0.0], np.cumsum(diff)))
+    squares = np.concatenate(([0.0], np.cumsum(diff * diff)))
+    count = seen + n
+    mean = amount[0] + total / np.maximum(n, 1)
+    m2 = np.maximum(squares - total * total / np.maximum(n, 1), 0.0)
+    # Joined with what was known before the batch.
+    weight = n / np.maximum(count, 1)
+    shift = mean - mean_before
+    m2 = m2_before + m2 + shift * shift * seen * weight
+    mean = mean_before + shift * weight
+    std = np.where(count > 1, np.sqrt(m2 / np.maximum(count, 1)), 0.0)[:-1]
+    scores = np.divide(amount - mean[:-1], std, out=np.zeros(len(amount)), where=std > 0)
+    return scores, (int(count[-1]), float(mean[-1]), float(m2[-1]))
+
+
+def card_features(card: dict | None, rows: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
+    """(features of one card's payments, its state after them); ``rows`` are in (event_us, transaction_id) order.
+
+    Late payments are the first of these rows, so the others form one run that continues the state.
+    """
+    at = rows["event_us"].to_numpy("int64")
+    n_late = int(np.searchsorted(at, card["last_us"])) if card else 0
+    late = np.arange(len(at)) < n_late
+    known = np.ones(len(at) - n_late, dtype=bool)
+    if card is None:
+        known[0] = False
+    category = rows["merchant_category"].astype(object).where(rows["merchant_category"].notna(), None)
+
+    def with_before(values: np.ndarray, field: str) -> np.ndarray:
+        """Values of the run, led by the state's; a new card's first row stands before itself."""
+        return np.concatenate((np.array([card[field] if card else values[0]], dtype=values.dtype), values[n_late:]))
+
+    def not_late(values: np.ndarray) -> np.ndarray:
+        return np.concatenate((np.zeros(n_late, dtype=values.dtype), values))
+
+    amount = with_before(rows["amount"].to_numpy("float64"), "amount")
+    kinds = with_before(category.to_numpy(object), "category")
+    gap = np.diff(with_before(at, "last_us")) / MICROS
+    km = 111.0 * np.hypot(
+        np.diff(with_before(rows["location_lat"].to_numpy("float64"), "lat")),
+        np.diff(with_before(rows["location_long"].to_numpy("float64"), "lon")),
+    )
+    velocity = np.divide(km, gap / 3600.0, out=np.zeros(len(gap)), where=known & (gap > 0))
+
+    # Times of the last minute, in the state and in this batch up to the row itself.
+    recent = np.sort(np.array(card["recent_us"] if card else [], dtype="int64"))
+    newest = np.maximum(at, card["last_us"]) if card else at
+    start = newest - BURST_SECONDS * MICROS
+    stored = np.searchsorted(recent, at, "right") - np.searchsorted(recent, start, "right")
+    fresh = np.arange(1, len(at) + 1) - np.searchsorted(at, start, "right")
+    burst = np.maximum(1, np.maximum(stored, 0) + np.maximum(fresh, 0))
+
+    seq = (card["seq"] if card else 0) + np.arange(1, len(at) + 1)
+    past = list(card["history"]) if card else []
+    ids = [*past[::-1], *rows["transaction_id"].iloc[n_late:]]  # oldest first
+    upto = len(past) + np.maximum(np.arange(1, len(at) + 1) - n_late, 0)
+    history = [ids[max(0, k - HISTORY_LENGTH) : k][::-1] for k in upto]
+
+    features = pd.DataFrame(
+        {
+            "time_since_last_transaction": not_late(np.where(known, gap, 0.0)),
+            "transaction_sequence_number": seq,
+            "burst_count": burst,
+            "rapid_fire_transaction_flag": (burst > BURST_LIMIT).astype("int32"),
+            "escalating_amounts_flag": not_late((known & (amount[1:] > amount[:-1])).astype("int32")),
+            "merchant_category_switch_flag": not_late((known & (kinds[1:] != kinds[:-1])).astype("int32")),
+            "spatial_velocity": not_late(np.minimum(velocity, MAX_LIVE_VELOCITY)),
+            "late_flag": late.astype("int32"),
+            "history": history,
+        },
+        index=rows.index,
+    )
     after = {
-        "last_us": at,
-        "lat": float(row.location_lat),
-        "lon": float(row.location_long),
-        "category": row.merchant_category,
-        "amount": float(row.amount),
-        "seq": seq,
-        "recent_us": recent,
-        "history": history,
+        "seq": int(seq[-1]),
+        "recent_us": np.sort(np.concatenate((recent[recent > start[-1]], at[at > start[-1]]))).tolist(),
+    }
+    if late.all():
+        return features, card | after
+    last = rows.iloc[-1]
+    after |= {
+        "last_us": int(at[-1]),
+        "lat": float(last["location_lat"]),
+        "lon": float(last["location_long"]),
+        "category": category.iloc[-1],
+        "amount": float(last["amount"]),
+        "history": history[-1],
     }
     return features, after
 
@@ -162,22 +202,18 @@ class PaymentState(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["event_us", "transaction_id"], kind="stable")
+        batch = batch.sort_values(["event_us", "transaction_id"], kind="stable", ignore_index=True)
         stats = tuple(self.stats.get()) if self.stats.exists() else (0, 0.0, 0.0)
-        cards: dict[str, dict] = {}
-        out = []
-        for row in batch.itertuples(index=False):
-            card = cards.get(row.card_id) or self._load(row.card_id)
-            features, cards[row.card_id] = _step(card, row, int(row.event_us))
-            features["amount_deviation_z_score"] = _z_score(stats, row.amount)
-            stats = _absorb(stats, row.amount)
-            features |= {c: getattr(row, c) for c in PASSED}
-            features["customer_id"] = key[0]
-            out.append(features)
+        scores, stats = amount_scores(stats, batch["amount"].to_numpy("float64"))
         self.stats.update(stats)
-        for card_id, state in cards.items():
-            self._store(card_id, state)
-        yield pd.DataFrame(out, columns=FEATURES.fieldNames())
+        parts = []
+        for card_id, payments in batch.groupby("card_id", sort=False):
+            features, card = card_features(self._load(card_id), payments)
+            self._store(card_id, card)
+            parts.append(features)
+        out = batch[PASSED].join(pd.concat(parts))
+        out = out.assign(customer_id=key[0], amount_deviation_z_score=scores, hour_deviation_from_norm=0.0)
+        yield out[FEATURES.fieldNames()]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Forget the cards that have been idle; a card used since then has a later timer."""
