@@ -3,6 +3,7 @@
 import random
 
 import xxhash
+from pyspark.sql import functions as F
 from helpers import components, plain_set, table
 
 from txlens.llm import line_dedup
@@ -107,3 +108,16 @@ def test_links_of_two_blocks_connect_what_is_alike_and_no_more(spark):
         groups = lambda some: components(range(len(order)), [(order[a], order[b]) for a, b in known + some])  # noqa: E731,B023
         assert groups(links) == groups(alike)
         assert len(links) < len(row.lines) and all(a < b for a, b in links)
+
+
+def test_shingles_start_where_they_should(spark):
+    """Random lines of letters, blanks, control characters, unspaced scripts, marks and characters beyond 16 bits."""
+    draw = random.Random(5)
+    lines = ["".join(draw.choices("abcdeZ. \t\x01é中한！😀", [9, 9, 9, 9, 9, 2, 2, 6, 1, 1, 2, 1, 1, 1, 1], k=n)).strip(" \t")
+             for n in range(1, 60) for _ in range(30)]
+    lines = sorted({x for x in lines if x})
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").select(
+        "line", line_dedup.shingles(F.col("line")).alias("shingles")
+    )
+    for r in rows.collect():
+        assert set(r.shingles) == plain_set(r.line), r.line

@@ -29,6 +29,7 @@ columns are passed through.
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +46,16 @@ MAX_REPEATS = 1_000_000  # broadcast bound of removed places, 4 bytes each
 BLOCK = 64
 BLOCK_SHINGLES = 100_000  # 800 kB a block, or one line if that is longer
 ENDS = " \t\x0b\x0c\r"
-# A shingle starts at a word, at any letter of the scripts from CJK radicals to Hangul, or inside a long word.
-SHINGLES = r"(?s)(?:^|(?<=\s)|(?=[\x{2E80}-\x{D7AF}\x{F900}-\x{FAFF}])|(?=\S{%d}))(?=(\S.{0,%d}))" % (
-    SHINGLE,
+# Scripts written without blanks: from CJK radicals to Hangul, and the compatibility ideographs.
+UNSPACED = r"\x{2E80}-\x{D7AF}\x{F900}-\x{FAFF}"
+# The group of a match is a shingle; the match itself goes on to the next place where one starts: the next character if
+# enough of the word is left from there, else past the word (the plain range is a quick way for most) and
+# the blanks after it, or up to a character of a script without blanks.
+SHINGLES = r"(?s)(?=(\S(?:.{%d}|.{0,%d}+)))(?:\S(?=\S{%d})|[!-\x{2E7F}]++(?=\s)|\S[^\s%s]*+)\s*+" % (
+    SHINGLE - 1,
     SHINGLE - 1,
+    SHINGLE,
+    UNSPACED,
 )
 _RANDOM = random.Random(97)
 SALTS = [_RANDOM.getrandbits(64) - 2**63 for _ in range(16)]
@@ -59,18 +66,26 @@ BANDS += [[4 * j + (i ^ d * j) for j in range(4)] for d in (0, 1) for i in range
 
 def lines_of(documents: DataFrame) -> DataFrame:
     """Every line that is not blank: id, mark (hash of the text), place, line and its hash."""
+    # Split first, so that the hash of a text is not taken again for each of its lines.
     texts = documents.select(
-        id_or_last().alias("id"),
-        F.xxhash64("text").alias("mark"),
-        F.posexplode(F.split("text", "\n")).alias("place", "line"),
+        id_or_last().alias("id"), F.xxhash64("text").alias("mark"), F.split("text", "\n").alias("lines")
     )
+    lines = texts.select("id", "mark", F.posexplode("lines").alias("place", "line"))
     return (
-        texts.withColumn("line", F.btrim("line", F.lit(ENDS)))
+        lines.withColumn("line", F.ltrim("line", F.lit(ENDS)))
         .filter("line != ''")
+        .withColumn("line", without_end("line"))
         .withColumn("key", F.xxhash64("line"))
     )
 
 
+def without_end(name: str) -> Column:
+    """The line without blanks at its end; trimming walks the whole line, so only lines with such an end are trimmed."""
+    line = F.col(name)
+    ends = reduce(Column.__or__, [line.endswith(c) for c in ENDS])
+    return F.when(ends, F.rtrim(line, F.lit(ENDS))).otherwise(line)
+
+
 def shingles(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1))
 
@@ -270,19 +285,19 @@ def line_dedup(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     same = (id_or_last(documents["doc_id"]) == F.col("_gone_id")) & (
         F.xxhash64(documents["text"]) == F.col("_gone_mark")
     )
-    lines = F.split("text", "\n")
-    left = F.filter(lines, lambda line, i: ~F.array_contains("_gone_places", i))
-    blank = F.filter(lines, lambda line: F.btrim(line, F.lit(ENDS)) == "")
+    left = F.filter("_lines", lambda line, i: ~F.array_contains("_gone_places", i))
+    blank = F.filter("_lines", lambda line: F.ltrim(line, F.lit(ENDS)) == "")
     return (
         documents.join(side, same, "left")
+        .withColumn("_lines", F.split("text", "\n"))
         .withColumns(
             {
-                "n_lines": F.coalesce(F.size(lines) - F.size(blank), F.lit(0)).cast("long"),
+                "n_lines": F.coalesce(F.size("_lines") - F.size(blank), F.lit(0)).cast("long"),
                 "n_removed": F.coalesce(F.size("_gone_places"), F.lit(0)).cast("long"),
                 "text": F.when(F.col("_gone_places").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),
             }
         )
-        .drop("_gone_id", "_gone_mark", "_gone_places")
+        .drop("_gone_id", "_gone_mark", "_gone_places", "_lines")
     )
 
 
