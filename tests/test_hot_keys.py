@@ -112,6 +112,22 @@ def test_hot_rows_really_are_spread(spark, skewed):
     assert len(sizes) >= 3 and max(sizes) < split.n_rows * 0.6
 
 
+def test_small_limits_do_not_make_a_task_of_every_few_rows(spark):
+    """The number of slices stays low until they are large; the rows are those of plain windows."""
+    rows = spark.range(900).select(
+        (F.col("id") % 3).alias("k"), (F.col("id") % 50).alias("t"), F.col("id"), (F.col("id") % 7).cast("double").alias("v")
+    )
+    slices = ordered._slices(rows, ["k", "t", "id"], 900, 2)
+    assert slices.rdd.getNumPartitions() == ordered.FEW_SLICES
+    assert ordered._n_slices(36_000_000, 12) == 36_000_000 / ordered.MIN_SLICE_ROWS
+    assert ordered._n_slices(36_000_000, ordered.MAX_KEY_ROWS) == 8
+    spec = {"lags": {"p": ("v", 1)}, "running": {"s": ("sum", F.col("v"))}}
+    plain = ordered.ordered_columns(rows, ["k"], ["t", "id"], **spec)
+    same(plain, ordered.ordered_columns(rows, ["k"], ["t", "id"], **spec, max_key_rows=2))
+    moments = [ordered.running_moments(rows, ["k"], ["t", "id"], "v", max_key_rows=n) for n in (10**6, 2)]
+    same(*moments)
+
+
 def test_entity_joins_with_hot_entities(spark, skewed):
     """Customer 3 owns a third of the rows, and each of 17 addresses many more than 20."""
     silver = sequence.to_silver(sequence.sequence_features(skewed))

@@ -6,9 +6,10 @@ a large share of the table. The functions here count rows per key first:
 
 * keys of at most ``max_key_rows`` rows use ordinary windows (one shuffle);
 * larger keys are range-partitioned on (key, order) into slices of about
-  ``max_key_rows`` rows. Each slice is processed by its own task and the slices are
-  stitched together with their totals. Slices are checkpointed to the shared folder,
-  so a lost executor cannot change where the cuts are.
+  ``max_key_rows`` rows, or, beyond ``FEW_SLICES`` slices, of at least ``MIN_SLICE_ROWS``.
+  Each slice is processed by its own task and the slices are stitched together with their
+  totals. Slices are checkpointed to the shared folder, so a lost executor cannot change
+  where the cuts are.
 
 The order columns must identify a row within its key.
 """
@@ -29,6 +30,8 @@ from txlens.session import ensure_checkpoint_dir
 MAX_KEY_ROWS = 5_000_000
 MAX_BROADCAST_ROWS = 500_000
 MAX_SINGLE_ROWS = 250_000  # without a key a window is one task for the whole table
+# A slice is a task and a file in every pass: more than a few of them must be worth it.
+FEW_SLICES, MIN_SLICE_ROWS = 64, 100_000
 
 _SLICE, _POS = "_slice", "_pos"
 _SALTS = 4096
@@ -148,11 +151,16 @@ def join_entities(
     return left
 
 
+def _n_slices(rows: int, max_rows: int) -> int:
+    """Slices of ``max_rows`` rows, as long as they are few or not small."""
+    enough = max(FEW_SLICES, math.ceil(rows / MIN_SLICE_ROWS))
+    return max(2, min(math.ceil(rows / max_rows), enough))
+
+
 def _slices(df: DataFrame, order: list[str], rows: int, max_rows: int) -> DataFrame:
     """Range-partition by ``order`` and fix the partition number as a column."""
     ensure_checkpoint_dir(df.sparkSession)
-    parts = max(2, math.ceil(rows / max_rows))
-    ranged = df.repartitionByRange(parts, *[F.col(c) for c in order])
+    ranged = df.repartitionByRange(_n_slices(rows, max_rows), *[F.col(c) for c in order])
     return ranged.withColumn(_SLICE, F.spark_partition_id()).checkpoint()
 
 
@@ -286,7 +294,7 @@ def sliced_columns(
             stats = F.broadcast(stats)
         rows = join_null_safe(rows, stats, keys, "left")
     parts = _slices(rows, [*keys, *order], split.n_rows, max_key_rows)
-    n_totals = math.ceil(split.n_rows / max_key_rows) + 2 + split.n_keys
+    n_totals = _n_slices(split.n_rows, max_key_rows) + split.n_keys
     if lags:
         parts = _lags_over_slices(parts, keys, order, lags, n_totals)
     if running:
@@ -345,7 +353,7 @@ def _moments_over_slices(
 ) -> DataFrame:
     """Moments inside each slice merged with those of the earlier slices of the key."""
     parts = _slices(split.hot, [*keys, *order], split.n_rows, max_key_rows)
-    n_totals = math.ceil(split.n_rows / max_key_rows) + 2 + split.n_keys
+    n_totals = _n_slices(split.n_rows, max_key_rows) + split.n_keys
     ranked = Window.partitionBy(*keys).orderBy(_SLICE)
     earlier = ranked.rowsBetween(Window.unboundedPreceding, -1)
     totals = parts.groupBy(*keys, _SLICE).agg(
