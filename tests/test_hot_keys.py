@@ -161,6 +161,43 @@ def test_hot_sides_do_not_multiply_the_left_side(spark, skewed):
     assert "Union" not in text
 
 
+def _reads(spark, build):
+    """Result of ``build`` and how often its source row was computed, by an accumulator in the source."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    out = build(count)
+    rows = out.collect()
+    return len(rows), seen.value
+
+
+def test_places_and_tiers_read_their_rows_once(spark):
+    """However many tiers have hot localities, the (costly) classified nodes are computed once."""
+    nodes_ = spark.range(200).select(
+        F.col("id").alias("osm_id"),
+        F.lit("88608b5a81fffff").alias("h3_index"),
+        F.when(F.col("id") % 2 == 0, "MH").alias("state"),
+    )
+    index = marts.locality_index(nodes_)
+    n, read = _reads(
+        spark, lambda f: marts.locality_match(nodes_.mapInPandas(f, nodes_.schema), index, max_key_rows=20)
+    )
+    assert n == 200 and read == 200
+    n, read = _reads(
+        spark, lambda f: marts.locality_places(nodes_.mapInPandas(f, nodes_.schema), max_key_rows=20)
+    )
+    assert n == 700 and read == 200
+    places = marts.locality_places(nodes_)
+    n, read = _reads(
+        spark, lambda f: marts.draw_merchant(nodes_.mapInPandas(f, nodes_.schema), places, max_key_rows=5)
+    )
+    assert n == 200 and read == 200
+
+
 def test_rows_without_a_time(spark):
     """They have no burst, count in no other, and stay."""
     second = F.timestamp_micros(1_700_000_000_000_000 + F.col("id") * 1_000_000)

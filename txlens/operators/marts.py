@@ -168,11 +168,12 @@ def locality_match(
 ) -> DataFrame:
     """Nearest tier that has merchants for each resident, else 'global'.
 
-    The index is stored first: three joins read it, and it must not be counted three times.
+    The index is stored first: three joins read it, and it must not be counted three times. So are
+    the residents, which are read for the sizes of their localities and then joined.
     """
     tiers = _tiers(state)
     index, _ = stage(index, "locality")
-    out = residents.withColumns({f"_{t}": key for t, key in tiers.items()})
+    out, _ = stage(residents.withColumns({f"_{t}": key for t, key in tiers.items()}), "residents")
     sides = []
     for tier in TIERS:
         side = index.filter(F.col("tier") == tier).select(
@@ -202,6 +203,7 @@ def locality_places(
     keys = {**_tiers(state), EVERYWHERE: F.lit("")}
     pairs = F.array(*[F.struct(F.lit(t).alias("tier"), k.alias("key")) for t, k in keys.items()])
     rows = merchants.select(F.col(merchant).alias("merchant"), F.inline(pairs)).filter(F.col("key").isNotNull())
+    rows, _ = stage(rows, "localities")  # counted per locality, then placed
     placed = ordered_columns(
         rows, ["tier", "key"], ["merchant"], running={"place": ("sum", F.lit(1))}, max_key_rows=max_key_rows
     )
@@ -227,7 +229,7 @@ def draw_merchant(
         tier = F.when(u < upto, F.lit(name)).otherwise(tier)
         local = F.when(u < upto, _tiers(state)[name]).otherwise(local)
         upto = round(upto - TIER_SHARES[name], 6)
-    drawn = residents.withColumns({"drawn_tier": tier, "_tier": tier, "_key": local})
+    drawn, _ = stage(residents.withColumns({"drawn_tier": tier, "_tier": tier, "_key": local}), "residents")
     places, seen = stage(places, "places", merchants=F.count_if(F.col("tier") == EVERYWHERE))
     every = F.lit(seen.get("merchants") or None).cast("long")
     sizes, _ = stage(places.groupBy("tier", "key").agg(F.count(F.lit(1)).alias("n")), "sizes")

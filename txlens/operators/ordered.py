@@ -75,11 +75,15 @@ def split_hot(df: DataFrame, keys: list[str], max_key_rows: int) -> Split | None
     counts = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_key_rows)
     )
-    found = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()
-    if found["keys"] == 0:
-        return None
-    ensure_checkpoint_dir(df.sparkSession)
-    hot_keys = counts.checkpoint()
+    counts = counts.persist()  # read twice; the hot keys only
+    try:
+        found = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()
+        if found["keys"] == 0:
+            return None
+        ensure_checkpoint_dir(df.sparkSession)
+        hot_keys = counts.checkpoint()
+    finally:
+        counts.unpersist()
     # There are at most (rows / max_key_rows) hot keys; the count is known here.
     side = hot_keys.select(*keys)
     if found["keys"] <= MAX_BROADCAST_ROWS:
@@ -90,16 +94,22 @@ def split_hot(df: DataFrame, keys: list[str], max_key_rows: int) -> Split | None
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, keys: list[str], *, max_key_rows: int = MAX_KEY_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    *,
+    counted: DataFrame | None = None,
+    max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
     """Left join to a table with at most one row per key, safe for hot keys on the left.
 
     The run-time skew split does not apply when the right side is an aggregate, so hot keys
     are handled here: their right rows, one per hot key, are broadcast to all rows. The shuffled
     join that follows is for the others; a salt, which the right side has not, deals the hot
-    rows out evenly. The left side is read once, however many tables are joined.
+    rows out evenly. The left side is read once, however many tables are joined. ``counted`` may
+    name a cheaper frame with the same keys and row counts as ``left``.
     """
-    split = split_hot(left, keys, max_key_rows)
+    split = split_hot(left if counted is None else counted, keys, max_key_rows)
     if split is None:
         return left.join(right, keys, "left")
     values = [c for c in right.columns if c not in keys]
@@ -129,6 +139,7 @@ def join_entities(
     ``counted`` may name a cheaper frame with the same keys and row counts as ``left``.
     Keys are counted by hash, so a collision can only cause a needless second look.
     """
+    counted = left if counted is None else counted  # before any join, which adds no rows
     marks = F.array(
         *[
             F.struct(F.lit(i).alias("side"), F.xxhash64(*keys).alias("key"))
@@ -136,8 +147,7 @@ def join_entities(
         ]
     )
     busy = (
-        (left if counted is None else counted)
-        .select(F.inline(marks))
+        counted.select(F.inline(marks))
         .groupBy("side", "key")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > max_key_rows)
@@ -145,7 +155,7 @@ def join_entities(
     hot = {row["side"] for row in busy.select("side").distinct().collect()}  # one row per side
     for i, (right, keys) in enumerate(sides):
         if i in hot:
-            left = join_unique(left, right, keys, max_key_rows=max_key_rows)
+            left = join_unique(left, right, keys, counted=counted, max_key_rows=max_key_rows)
         else:
             left = left.join(right, keys, "left")
     return left
