@@ -49,3 +49,13 @@ def test_permutation_audit_and_its_slices(rows, fitted):
     sliced = model.permutation_importance(fitted, rows, max_key_rows=100)
     both = [rows_of(df.columns, [tuple(r) for r in settle(df).collect()]) for df in (plain, sliced)]
     assert both[0] == both[1]
+
+
+def test_scores_and_split_read_stored_rows(spark, rows, fitted):
+    """The trees are not walked, nor the gold joins computed, anew by every pass over the rows."""
+    from txlens.plans import catalog
+
+    for part in catalog._split_gold(spark, "/root/testdata/sf0.001"):
+        assert part.inputFiles() and not [f for f in part.inputFiles() if "events" in f]
+    audit = model.permutation_importance(fitted, rows)
+    assert any("/scores-" in f for f in audit.inputFiles())

@@ -223,7 +223,8 @@ def permutation_importance(
     mixed = mixed.withColumns(
         {n: F.when(F.col("variant") == n, F.col(f"_other_{n}")).otherwise(F.col(n)) for n in names}
     )
-    scored = predict(model, mixed.select("variant", "label", *names))
+    scored = predict(model, mixed.select("variant", "label", *names)).select("variant", "label", "score")
+    scored, _ = stage(scored, "scores")  # counted per variant, then ranked: walk the trees once
     steps = score_steps(scored, by=["variant"], max_key_rows=max_key_rows)
     below = (F.col("neg_upto") - F.col("neg")).cast("double")
     auc = safe_div(

@@ -30,7 +30,7 @@ from txlens.operators import (
 from txlens.session import use_utc
 from txlens.sources import fixtures as fx
 from txlens.sources import landing, lookups
-from txlens.sources.tables import scratch, write_csv
+from txlens.sources.tables import scratch, stage, write_csv
 from txlens.streaming import codec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -834,7 +834,9 @@ def event_json_decode(spark, d):
 
 
 def _split_gold(spark, d):
-    rows = sampling.strat_split(model.training_rows(_gold(spark, d)))
+    """Training and hold-out rows. The features are stored: weights, levels, bins and scores each read them anew."""
+    features, _ = stage(_gold(spark, d).select("transaction_id", "is_fraud", *model.FEATURE_SPEC), "features")
+    rows = sampling.strat_split(model.training_rows(features))
     return rows.filter("split = 'train'"), rows.filter("split = 'test'")
 
 
