@@ -110,6 +110,41 @@ def test_links_of_two_blocks_connect_what_is_alike_and_no_more(spark):
         assert len(links) < len(row.lines) and all(a < b for a, b in links)
 
 
+def test_bits_of_the_sets_change_no_link(spark):
+    """Lines of all likenesses around the similarity, short and longer than the bits."""
+    rnd = random.Random(9)
+    rows = []
+    for size in (1, 5, 60, 2000):
+        common = [rnd.getrandbits(64) - 2**63 for _ in range(size)]
+        own = [rnd.randrange(size // 3 + 2) for _ in range(24)]
+        rows.append([(k, k, common[n:] + [rnd.getrandbits(64) - 2**63 for _ in range(n)]) for k, n in enumerate(own)])
+    entry = "key bigint, component bigint, set array<bigint>"
+    for lines in rows:
+        sets = line_dedup.with_bits(spark.createDataFrame(lines, entry))
+        bits = [F.struct("key", "component", "set", *names) for names in ([], line_dedup.bit_names(line_dedup.MAPS))]
+        blocks = sets.agg(*[F.sort_array(F.collect_list(x)).alias(name) for x, name in zip(bits, ("plain", "marked"))])
+        plain, marked = blocks.select(
+            line_dedup.spanning_links("plain", "plain", 80), line_dedup.spanning_links("marked", "marked", 80, line_dedup.MAPS)
+        ).first()
+        assert plain == marked
+        for row in sets.collect():
+            places = {(h >> 6 & line_dedup.MAPS - 1, h & 63) for h in row.set}
+            assert places == {(i, b) for i, name in enumerate(line_dedup.bit_names(line_dedup.MAPS)) for b in range(64) if row[name] >> b & 1}
+
+
+def test_a_text_is_split_once_and_sets_are_built_once(spark, monkeypatch):
+    plan = line_dedup.lines_of(table(spark, [(1, "a b")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    built, build = [], line_dedup.line_sets
+    monkeypatch.setattr(line_dedup, "line_sets", lambda *given: built.append(1) or build(*given))
+    monkeypatch.setattr(line_dedup, "BUCKET", 3)
+    rnd = random.Random(6)
+    common = " ".join(f"{rnd.randrange(10**8):08d}" for _ in range(40))
+    lines = [f"{common} " + " ".join(f"{rnd.randrange(10**8):08d}" for _ in range(6)) for _ in range(40)]
+    lines += [x[:-2] + "zz" for x in lines]
+    assert repeats(spark, lines) == plain_repeats(lines) and len(built) == 1
+
+
 def test_shingles_start_where_they_should(spark):
     """Random lines of letters, blanks, control characters, unspaced scripts, marks and characters beyond 16 bits."""
     draw = random.Random(5)

@@ -11,7 +11,7 @@ components, and the first occurrence (smallest id, then place) of a group stays.
    0.9 with 0.999.
 2. Buckets of one band with several lines are kept. Up to ``BUCKET`` lines are all paired; of larger
    ones every line is paired with two leaders.
-3. Pairs are checked on the full sets, and confirmed pairs are merged. Where a large bucket still has lines
+3. Pairs are checked on the full sets (built once), and confirmed pairs are merged. Where a large bucket still has lines
    outside its largest group, each of those is compared with the whole bucket on the full sets, block by
    block, and each pair of blocks gives the links that connect its components, not all alike pairs. So every pair
    that shares a bucket is compared or connected already.
@@ -45,16 +45,18 @@ MAX_KEYS = 1_000_000  # broadcast bound of 8-byte line hashes
 MAX_REPEATS = 1_000_000  # broadcast bound of removed places, 4 bytes each
 BLOCK = 64
 BLOCK_SHINGLES = 100_000  # 800 kB a block, or one line if that is longer
+MAPS = 8  # longs of a line's bits, a power of two
 ENDS = " \t\x0b\x0c\r"
 # Scripts written without blanks: from CJK radicals to Hangul, and the compatibility ideographs.
 UNSPACED = r"\x{2E80}-\x{D7AF}\x{F900}-\x{FAFF}"
-# The group of a match is a shingle; the match itself goes on to the next place where one starts: the next character if
-# enough of the word is left from there, else past the word (the plain range is a quick way for most) and
-# the blanks after it, or up to a character of a script without blanks.
-SHINGLES = r"(?s)(?=(\S(?:.{%d}|.{0,%d}+)))(?:\S(?=\S{%d})|[!-\x{2E7F}]++(?=\s)|\S[^\s%s]*+)\s*+" % (
-    SHINGLE - 1,
+# The group of a match is a shingle; the match itself goes on to the next place where one starts: past a word of SHINGLE
+# characters at most (the quick way, first for most words), else to the next character if enough of the word is left from
+# there, else past the word and the blanks after it, or up to a character of a script without blanks.
+SHINGLES = r"(?s)(?=(\S(?:%s|.{0,%d}+)))(?:[!-\x{2E7F}]{1,%d}+\s++|\S(?=\S{%d})|[!-\x{2E7F}]++\s++|\S[^\s%s]*+\s*+)" % (
+    "." * (SHINGLE - 1),
     SHINGLE - 1,
     SHINGLE,
+    SHINGLE,
     UNSPACED,
 )
 _RANDOM = random.Random(97)
@@ -66,11 +68,10 @@ BANDS += [[4 * j + (i ^ d * j) for j in range(4)] for d in (0, 1) for i in range
 
 def lines_of(documents: DataFrame) -> DataFrame:
     """Every line that is not blank: id, mark (hash of the text), place, line and its hash."""
-    # Split first, so that the hash of a text is not taken again for each of its lines.
-    texts = documents.select(
-        id_or_last().alias("id"), F.xxhash64("text").alias("mark"), F.split("text", "\n").alias("lines")
-    )
-    lines = texts.select("id", "mark", F.posexplode("lines").alias("place", "line"))
+    # Hashed first, so that it is not done again for each line. Of a column of lines Spark would first ask the size,
+    # and so split a text three times.
+    texts = documents.select(id_or_last().alias("id"), F.xxhash64("text").alias("mark"), "text")
+    lines = texts.select("id", "mark", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     return (
         lines.withColumn("line", F.ltrim("line", F.lit(ENDS)))
         .filter("line != ''")
@@ -125,17 +126,11 @@ def all_pairs(groups: DataFrame) -> DataFrame:
 
 
 def bucket_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of members (band, key): all of a small bucket, stars around two leaders of a large one."""
-    sizes = stored(
-        members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
-        .filter("n > 1"),
-        "bucket_sizes",
-    )
-    few = joined(members, sizes.filter(F.col("n") <= BUCKET).select("band"), ["band"], "inner", MAX_KEYS)
-    few = few.groupBy("band").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    many = joined(
-        members, sizes.filter(F.col("n") > BUCKET).select("band", "low", "high"), ["band"], "inner", MAX_SIDE
-    )
+    """Pairs of members (band, n, key): all of a small bucket, stars around two leaders of a large one."""
+    few = members.filter(F.col("n") <= BUCKET).groupBy("band").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    large = members.filter(F.col("n") > BUCKET)
+    leaders = large.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    many = joined(large, stored(leaders, "bucket_leaders"), ["band"], "inner", MAX_SIDE)
     star = many.select(F.explode(F.array("low", "high")).alias("leader"), "key").filter("leader != key")
     star = star.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b"))
     return all_pairs(few).unionByName(star).distinct()
@@ -149,33 +144,45 @@ def line_sets(wanted: DataFrame, documents: DataFrame) -> DataFrame:
     return stored(sets.select("key", shingle_hashes(F.col("line")).alias("set")), "line_sets")
 
 
-def confirm(pairs: DataFrame, documents: DataFrame, similarity: int) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) of line hashes whose full shingle sets reach the similarity."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted_lines")
-    sets = line_sets(wanted, documents)
     left = sets.select(F.col("key").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("key").alias("b"), F.col("set").alias("set_b"))
-    sizes = F.size("set_a") + F.size("set_b")
+    n, m = F.size("set_a"), F.size("set_b")
+    # Sets of too different sizes need no look at what they share, which is computed once, being named once.
+    near = 100 * F.least(n, m) >= similarity * F.greatest(n, m)
     shared = F.size(F.array_intersect("set_a", "set_b"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.filter(100 * shared >= similarity * (sizes - shared)).select("a", "b")
+    return both.filter(near & ((100 + similarity) * shared >= similarity * (n + m))).select("a", "b")
+
+
+def with_bits(sets: DataFrame) -> DataFrame:
+    """(key, set, MAPS longs): each hash of the set sets one bit of the longs."""
+    hashes = sets.select("key", F.explode("set").alias("hash"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("hash").bitwiseAND(63)).cast("int"))
+    place = F.shiftright("hash", 6).bitwiseAND(MAPS - 1)
+    bits = [F.bit_or(F.when(place == i, bit).otherwise(0)).alias(name) for i, name in enumerate(bit_names(MAPS))]
+    return sets.join(hashes.groupBy("key").agg(*bits), "key")
 
 
-def leftovers(members: DataFrame, groups: DataFrame, documents: DataFrame, similarity: int) -> DataFrame | None:
+def bit_names(maps: int) -> list[str]:
+    return [f"bits_{i}" for i in range(maps)]
+
+
+def leftovers(members: DataFrame, groups: DataFrame, sets: DataFrame, similarity: int) -> DataFrame | None:
     """Links (a, b) between lines of different components in large buckets, found on the full sets.
 
-    None if every large bucket is one component.
+    None if every large bucket is one component. ``sets`` has every line of a large bucket, as each is in a pair.
 
     Lines of a bucket's largest component are connected already, so only the others are compared: in
     blocks, each block of outsiders with each block of the bucket. A block pair is one row.
     """
-    large = stored(members.groupBy("band").count().filter(F.col("count") > BUCKET).select("band"), "large_buckets")
-    if not n_rows(large):
-        return None
-    inside = joined(members, large, ["band"], "inner", MAX_SIDE)
+    inside = members.filter(F.col("n") > BUCKET).select("band", "key")
     named = seen_as(groups.select(F.col("node").alias("key"), "component"), groups)
     placed = joined(inside, named, ["key"], "left", MAX_SIDE).withColumn("component", F.coalesce("component", "key"))
     placed = stored(placed.select("band", "key", "component"), "large_members")
+    if not n_rows(placed):
+        return None
     counted = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     main = counted.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
     main = main.filter(F.col("all") > F.col("top.n")).select("band", F.col("top.component").alias("main"))
@@ -183,7 +190,8 @@ def leftovers(members: DataFrame, groups: DataFrame, documents: DataFrame, simil
     if not n_rows(main):
         return None
     mixed = stored(joined(placed, main, ["band"], "inner", MAX_SIDE), "mixed_members")
-    sets = line_sets(stored(mixed.select("key").distinct(), "wanted_lines"), documents)
+    wanted = stored(mixed.select("key").distinct(), "wanted_lines")
+    sets = stored(with_bits(joined(sets, wanted, ["key"], "left_semi", MAX_KEYS)), "line_sets")
     sized = mixed.join(sets.select("key", F.size("set").alias("n")), "key")
     sized = sized.withColumn("out", F.col("component") != F.col("main"))
     # Blocks are limited in lines and in shingles.
@@ -192,28 +200,34 @@ def leftovers(members: DataFrame, groups: DataFrame, documents: DataFrame, simil
     rooms = sized.groupBy("band").agg(F.ceil(room).alias("n_blocks"), F.ceil(room_out).alias("n_out"))
     rooms = stored(rooms, "bucket_blocks")
     full = joined(mixed, rooms, ["band"], "inner", MAX_SIDE).join(sets, "key")
-    entry = F.struct("key", "component", "set")
+    entry = F.struct("key", "component", "set", *bit_names(MAPS))
     blocks = full.groupBy("band", F.pmod("key", "n_blocks").alias("block")).agg(F.collect_list(entry).alias("lines"))
     outside = full.filter("component != main").groupBy("band", "n_blocks", F.pmod("key", "n_out").alias("out"))
     outside = outside.agg(F.collect_list(entry).alias("outsiders"))
     outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
 
     pairs = blocks.join(outside, ["band", "block"])
-    return pairs.select(F.inline(spanning_links("outsiders", "lines", similarity))).distinct()
+    return pairs.select(F.inline(spanning_links("outsiders", "lines", similarity, MAPS))).distinct()
 
 
-def spanning_links(left: str, right: str, similarity: int) -> Column:
-    """Links (a, b) that connect what the alike lines of two blocks (arrays of key, component, set) connect.
+def spanning_links(left: str, right: str, similarity: int, maps: int = 0) -> Column:
+    """Links (a, b) that connect what the alike lines of two blocks (arrays of key, component, set, bits) connect.
 
     ``names`` holds the component of every line of both blocks. The lines of the left block are taken in turn: one is
     compared with the lines of other components only, gets one link to each component it meets, and
     these take its name. So a block pair gives fewer links than it has components, however many pairs are alike.
+
+    A bit that only the left line has (of ``maps`` longs) stands for a hash or more that only it has. If those are too
+    many already, the sets are not compared.
     """
 
     def alike(x: Column, y: Column) -> Column:
         n, m = F.size(x["set"]), F.size(y["set"])
+        near = 100 * F.least(n, m) >= similarity * F.greatest(n, m)
+        only = [F.bit_count(x[name].bitwiseAND(F.bitwise_not(y[name]))) for name in bit_names(maps)]
         shared = F.size(F.array_intersect(x["set"], y["set"]))
-        return (100 * F.least(n, m) >= similarity * F.greatest(n, m)) & ((100 + similarity) * shared >= similarity * (n + m))
+        most = reduce(Column.__sub__, only, n)
+        return near & ((100 + similarity) * most >= similarity * (n + m)) & ((100 + similarity) * shared >= similarity * (n + m))
 
     def link(x: Column, y: Column) -> Column:
         return F.struct(F.least(x["key"], y["key"]).alias("a"), F.greatest(x["key"], y["key"]).alias("b"))
@@ -223,7 +237,10 @@ def spanning_links(left: str, right: str, similarity: int) -> Column:
         return F.get(F.transform(F.array(value), use), F.lit(0))
 
     def merge(state: Column, i: Column) -> Column:
-        names, x, own = state["names"], F.get(left, i), F.get(state["names"], F.size(right) + i)
+        return bound(F.get(left, i), lambda x: merge_line(state, x, F.get(state["names"], F.size(right) + i)))
+
+    def merge_line(state: Column, x: Column, own: Column) -> Column:
+        names = state["names"]
         met = F.filter(right, lambda y, j: (F.get(names, j) != own) & alike(x, y))
         return bound(
             F.array_distinct(F.transform(met, lambda y: F.get(names, F.array_position(F.col(right)["key"], y["key"]).cast("int") - 1))),
@@ -247,13 +264,15 @@ def spanning_links(left: str, right: str, similarity: int) -> Column:
 def line_groups(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(node, component) of every line hash that is like another one's line."""
     rows = band_rows(stored(signatures(documents), "line_signatures"))
-    buckets = rows.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    buckets = stored(buckets.filter("low != high").select("band"), "buckets")
-    members = stored(joined(rows, buckets, ["band"], "inner", MAX_KEYS), "bucket_members")
+    # Every line has one row, so the rows of a band are its lines.
+    buckets = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    members = stored(joined(rows, buckets, ["band"], "inner", MAX_KEYS).select("band", "n", "key"), "bucket_members")
     pairs = stored(bucket_pairs(members), "line_pairs")
-    links = stored(confirm(pairs, documents, similarity), "line_links")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted_lines")
+    sets = line_sets(wanted, documents)
+    links = stored(confirm(pairs, sets, similarity), "line_links")
     groups = stored(connected_components(links), "line_components")
-    more = leftovers(members, groups, documents, similarity)
+    more = leftovers(members, groups, sets, similarity)
     if more is not None and n_rows(more := stored(more, "line_links")):
         groups = stored(connected_components(links.unionByName(more)), "line_components")
     return groups
