@@ -156,3 +156,52 @@ def test_shingles_start_where_they_should(spark):
     )
     for r in rows.collect():
         assert set(r.shingles) == plain_set(r.line), r.line
+
+
+def test_runs_of_shingles_change_no_band(spark, monkeypatch):
+    """Lines of one shingle and of numbers of shingles around those of whole runs, one of them in several documents."""
+    rnd = random.Random(11)
+    lines = [" ".join(rnd.choice("abc") * rnd.randrange(1, 6) + str(rnd.randrange(99)) for _ in range(n)) for n in range(1, 36)]
+    lines += ["x", "中文字符没有空格", "0123456789abcdef" * 3]
+    docs = table(spark, list(enumerate([*lines, lines[4], lines[4]])))
+    expected = sorted(band for line in set(lines) for band in plain_bands(line))
+    for run in (2, 3, line_dedup.RUN, 64):
+        monkeypatch.setattr(line_dedup, "RUN", run)
+        signed = line_dedup.signatures(docs)
+        assert line_dedup.band_rows(signed).count() == 12 * len(set(lines))
+        seen = [(n, *(row[f"least_{i}"] for i in at)) for row in signed.collect() for n, at in enumerate(line_dedup.BANDS)]
+        assert sorted(seen) == expected
+
+
+def test_a_run_of_shingles_is_one_row(spark):
+    """What is combined by line are runs: an eighth of the rows, and no list of numbers to be stored."""
+    line = " ".join(f"w{n}" for n in range(100))
+    signed = line_dedup.signatures(table(spark, [(1, line)]))
+    plan = signed._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(sequence(" in plan and "explode(regexp" not in plan
+    assert [kind for _, kind in signed.dtypes] == ["bigint", *["int"] * 16]
+
+
+def test_pairs_of_buckets_of_two_and_more(spark):
+    buckets = {n: sorted(random.Random(n).sample(range(-50, 50), n)) for n in (2, 3, 16, 17)}
+    rows = [(b, len(keys), k) for b, keys in buckets.items() for k in keys]
+    found = line_dedup.bucket_pairs(spark.createDataFrame(rows, "band bigint, n bigint, key bigint")).collect()
+    expected = {(a, b) for n in (2, 3, 16) for i, a in enumerate(buckets[n]) for b in buckets[n][i + 1 :]}
+    large = buckets[17]
+    expected |= {(large[0], k) for k in large[1:]} | {(k, large[-1]) for k in large[:-1]}
+    assert len(found) == len(expected) and {(r.a, r.b) for r in found} == expected
+
+
+def test_lines_that_occur_once_are_counted_without_a_sort(spark, monkeypatch):
+    plans, write = {}, line_dedup.stored
+
+    def stored(df, label, **figures):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString(), (out := write(df, label, **figures)).seen["n_rows"]
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    docs = [(1, "alone\ntwice"), (2, "twice\nalso alone"), (3, "twice"), (None, "twice\ntwice")]
+    out = {r.doc_id: r.n_removed for r in line_dedup.line_dedup(table(spark, docs)).collect()}
+    assert out == {1: 0, 2: 1, 3: 1, None: 2}
+    assert "SortAggregate" not in plans["repeated_keys"][0]
+    assert plans["repeated_keys"][1] == 1 and plans["repeated_occurrences"][1] == 5

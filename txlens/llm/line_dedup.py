@@ -45,6 +45,7 @@ MAX_KEYS = 1_000_000  # broadcast bound of 8-byte line hashes
 MAX_REPEATS = 1_000_000  # broadcast bound of removed places, 4 bytes each
 BLOCK = 64
 BLOCK_SHINGLES = 100_000  # 800 kB a block, or one line if that is longer
+RUN = 8  # shingles hashed in one row
 MAPS = 8  # longs of a line's bits, a power of two
 ENDS = " \t\x0b\x0c\r"
 # Scripts written without blanks: from CJK radicals to Hangul, and the compatibility ideographs.
@@ -96,19 +97,25 @@ def shingle_hashes(line: Column) -> Column:
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """(key, signature) of every different line: least shingle hash under 16 exclusive-or permutations, upper halves.
+    """(key, least_0, ...) of every different line: least shingle hash under 16 exclusive-or permutations, upper halves.
 
-    Shingles are rows that are combined by line before the shuffle, so all of it is compiled code.
+    Runs of ``RUN`` shingles are rows that are combined by line before the shuffle, so all of it is compiled code, and
+    a line's values are looked up once a run. The last run is filled up with its first shingle, which changes no least.
     """
-    rows = lines_of(documents).select("key", F.explode(shingles(F.col("line"))).alias("shingle"))
-    hashes = rows.select("key", F.shiftright(F.xxhash64("shingle"), 32).cast("int").alias("hash"))
-    least = [F.min(F.col("hash").bitwiseXOR(F.lit(salt >> 32))) for salt in SALTS]
-    return hashes.groupBy("key").agg(F.array(*least).alias("signature"))
+    lines = lines_of(documents).select("key", shingles(F.col("line")).alias("shingles"))
+    # A line has a shingle at least, as it starts with no blank.
+    runs = lines.select("key", "shingles", F.explode(F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(RUN))).alias("at"))
+    texts = [F.coalesce(F.get("shingles", F.col("at") + i), F.get("shingles", F.col("at"))) for i in range(RUN)]
+    hashes = [F.shiftright(F.xxhash64(text), 32).cast("int").alias(f"hash_{i}") for i, text in enumerate(texts)]
+    names = [f"hash_{i}" for i in range(RUN)]
+    least = [F.min(F.least(*[F.col(name).bitwiseXOR(F.lit(salt >> 32)) for name in names])) for salt in SALTS]
+    hashed = runs.select("key", *hashes)
+    return hashed.groupBy("key").agg(*[value.alias(f"least_{i}") for i, value in enumerate(least)])
 
 
 def band_rows(signed: DataFrame) -> DataFrame:
     """(band, key): the bands of every line."""
-    bands = F.array(*[F.xxhash64(F.lit(n), *[F.col("signature")[i] for i in at]) for n, at in enumerate(BANDS)])
+    bands = F.array(*[F.xxhash64(F.lit(n), *[F.col(f"least_{i}") for i in at]) for n, at in enumerate(BANDS)])
     return signed.select("key", F.explode(bands).alias("band"))
 
 
@@ -127,13 +134,16 @@ def all_pairs(groups: DataFrame) -> DataFrame:
 
 def bucket_pairs(members: DataFrame) -> DataFrame:
     """Pairs of members (band, n, key): all of a small bucket, stars around two leaders of a large one."""
-    few = members.filter(F.col("n") <= BUCKET).groupBy("band").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    # Most buckets have two lines, which need no list.
+    twos = members.filter("n = 2").groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("b")).select("a", "b")
+    few = members.filter((F.col("n") > 2) & (F.col("n") <= BUCKET))
+    few = few.groupBy("band").agg(F.sort_array(F.collect_list("key")).alias("keys"))
     large = members.filter(F.col("n") > BUCKET)
     leaders = large.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     many = joined(large, stored(leaders, "bucket_leaders"), ["band"], "inner", MAX_SIDE)
     star = many.select(F.explode(F.array("low", "high")).alias("leader"), "key").filter("leader != key")
     star = star.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b"))
-    return all_pairs(few).unionByName(star).distinct()
+    return twos.unionByName(all_pairs(few)).unionByName(star).distinct()
 
 
 def line_sets(wanted: DataFrame, documents: DataFrame) -> DataFrame:
@@ -283,14 +293,16 @@ def repeated_lines(documents: DataFrame, similarity: int = SIMILARITY) -> DataFr
     spots = stored(lines_of(documents).select("id", "mark", "place", "key"), "line_occurrences")
     groups = line_groups(documents, similarity)
     named = seen_as(groups.select(F.col("node").alias("key"), "component"), groups)
-    firsts = spots.groupBy("key").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = joined(firsts, named, ["key"], "left", MAX_SIDE).filter("n > 1 OR component IS NOT NULL")
-    firsts = stored(firsts.withColumn("component", F.coalesce("component", "key")), "line_firsts")
-    best = stored(firsts.groupBy("component").agg(F.min("first").alias("best")), "group_firsts")
-    keep = joined(firsts.select("key", "component"), best, ["component"], "inner", MAX_SIDE)
-    keep = stored(keep.select("key", F.col("best.id").alias("keep_id"), F.col("best.place").alias("keep_place")), "keep")
-    seen = joined(spots, keep, ["key"], "inner", MAX_SIDE)
-    gone = seen.filter("id != keep_id OR place != keep_place")
+    # Rows are only counted here, without their places, for the many lines that occur once and are like no other.
+    counted = joined(spots.groupBy("key").agg(F.count(F.lit(1)).alias("n")), named, ["key"], "left", MAX_SIDE)
+    counted = counted.filter("n > 1 OR component IS NOT NULL")
+    repeated = stored(counted.select("key", F.coalesce("component", "key").alias("component")), "repeated_keys")
+    seen = joined(spots, repeated, ["key"], "inner", MAX_SIDE)
+    seen = stored(seen.select("component", "id", "mark", "place"), "repeated_occurrences")
+    best = seen.groupBy("component").agg(F.min(F.struct("id", "place")).alias("best"))
+    best = best.select("component", F.col("best.id").alias("keep_id"), F.col("best.place").alias("keep_place"))
+    kept = joined(seen, stored(best, "group_firsts"), ["component"], "inner", MAX_SIDE)
+    gone = kept.filter("id != keep_id OR place != keep_place")
     return gone.groupBy("id", "mark").agg(F.collect_set("place").alias("places"))
 
 
